@@ -2,8 +2,8 @@
 
 ``count_statistics`` never puts one key's tuples into a single window
 partition: the joint counts are aggregated once (map-side partial
-aggregation absorbs hot keys), all marginals come from one grouping-sets
-aggregation over those counts, and each marginal is joined back by its key.
+aggregation absorbs hot keys), each marginal is a partial aggregation over
+those counts, and each marginal is joined back by its key.
 Marginal tables hold one row per distinct value, so adaptive execution
 broadcasts them when they are small and otherwise runs a sort-merge join whose
 skewed partitions it splits.
@@ -51,22 +51,20 @@ def statistics_from_counts(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A2 over precomputed :func:`group_counts`."""
     if not cols:
         raise ValueError("count_statistics needs at least one column")
-    keys = [f"__tally_k{i}" for i in range(len(cols))]
-    margs = counts.groupingSets([[_c(c)] for c in cols], *[_c(c) for c in cols]).agg(
-        F.sum(_N).alias("__tally_m"), F.grouping_id().alias("__tally_g")
-    )
     out = counts
     for i, c in enumerate(cols):
-        # grouping_id sets a bit for every column left out of the set; the
-        # bit of column i is the (n - 1 - i)-th.
-        gid = ((1 << len(cols)) - 1) ^ (1 << (len(cols) - 1 - i))
-        marg = margs.filter(F.col("__tally_g") == gid).select(
-            _c(c).alias(keys[i]), F.col("__tally_m").cast("bigint").alias(f"{c}_count")
-        )
-        out = out.join(marg, _c(c).eqNullSafe(F.col(keys[i])), "inner").drop(keys[i])
-    return out.select(*[_c(c) for c in cols], *[_c(f"{c}_count") for c in cols]).orderBy(
-        *[_c(f"{c}_count").desc() for c in cols], *[_c(c).asc() for c in cols]
-    )
+        key = f"__tally_k{i}"
+        # One partial aggregation per column over the joint counts; the
+        # counts' shuffle is shared by all of them and by the base side.
+        marg = counts.groupBy(_c(c).alias(key)).agg(F.sum(_N).cast("bigint").alias(f"{c}_count"))
+        out = out.join(marg, _c(c).eqNullSafe(F.col(key)), "inner").drop(key)
+    # Ties on every marginal are broken by the joint count, then the keys:
+    # the order is total (balanced range partitions), and because the sort
+    # reads the joint count the base side stays the very aggregate the
+    # marginals reuse, so the input is read once.
+    return out.orderBy(
+        *[_c(f"{c}_count").desc() for c in cols], F.col(_N).desc(), *[_c(c).asc() for c in cols]
+    ).select(*[_c(c) for c in cols], *[_c(f"{c}_count") for c in cols])
 
 
 def count_statistics(df: DataFrame, *cols: str) -> DataFrame:
