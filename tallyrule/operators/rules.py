@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 #: Rule-set ceiling: one header row and 999 rules.
 MAX_RULES = 999
 
+#: Rules per CASE expression; longer rule sets become a coalesce of chunks.
+CHUNK_SIZE = 16
+
 
 class RuleTableError(ValueError):
     """The rule table cannot be compiled."""
@@ -46,6 +49,7 @@ def compile_rules(
     expr_col: str = "reg_exp",
     order_col: str | None = "num",
     max_rules: int = MAX_RULES,
+    chunk_size: int = CHUNK_SIZE,
 ) -> CompiledRules:
     """Compile ``rules`` into a first-match column and its SQL text.
 
@@ -70,13 +74,22 @@ def compile_rules(
     compiled = tuple((r["n"], r["e"], _safe_label(r["b"])) for r in rows)
     if not compiled:
         return CompiledRules(F.lit(None).cast("string"), "cast(null as string)", ())
-    column = None
-    for _, e, b in compiled:
-        column = F.when(F.expr(e), F.lit(b)) if column is None else column.when(F.expr(e), F.lit(b))
+    # Labels are never null, so the first non-null chunk holds the first
+    # matching rule: coalesce over ordered chunks equals one long CASE, but
+    # each chunk compiles to its own method instead of one oversized one.
+    chunks = [_case(compiled[i : i + chunk_size]) for i in range(0, len(compiled), chunk_size)]
+    column = chunks[0] if len(chunks) == 1 else F.coalesce(*chunks)
     sql = "case " + "\n".join(f"when {e} then '{b}'" for _, e, b in compiled) + " end"
     return CompiledRules(column, sql, compiled)
 
 
+def _case(rules: tuple[tuple[int | None, str, str], ...]) -> Column:
+    column = None
+    for _, e, b in rules:
+        column = F.when(F.expr(e), F.lit(b)) if column is None else column.when(F.expr(e), F.lit(b))
+    return column
+
+
 def label_by_rules(
     df: DataFrame,
     name: str,

@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+from merchants import GOLDEN, merchant
+
+from tallyrule.operators.classify import Expr, Group, IsIn, Matches, Rule, Spec, Tree, classify
+from tallyrule.plans.merchant_spec import MERCHANT_SPEC
+from tallyrule.plans.schemas import MERCHANT_FIELDS, MERCHANT_SCHEMA
+
+
+def test_every_label_of_the_merchant_tree(spark):
+    rows = [r for r, _ in GOLDEN]
+    df = spark.createDataFrame(rows, MERCHANT_SCHEMA)
+    got = [r["brands_part"] for r in classify(df, MERCHANT_SPEC).collect()]
+    # classify is a projection: row order is kept within the single partition
+    assert got == [label for _, label in GOLDEN]
+    assert sorted(set(got)) == sorted(MERCHANT_SPEC.labels())
+    assert len(MERCHANT_SPEC.labels()) == 39
+
+
+def test_label_column_first_and_string(spark):
+    df = spark.createDataFrame([merchant("Неизвестно", "x")], MERCHANT_SCHEMA)
+    out = classify(df, MERCHANT_SPEC)
+    assert out.columns == ["brands_part", *MERCHANT_FIELDS]
+    # A frame where every row falls through stays a string column ("0").
+    assert dict(out.dtypes)["brands_part"] == "string"
+    assert out.first()["brands_part"] == "0"
+
+
+def test_sample_style_rows_with_stray_suffixes(spark):
+    # Category values with a stray trailing letter never match exactly.
+    cases = [
+        (merchant("Всё для дома", "Всё для домw"), "home_3"),
+        (merchant("Личный транспорт", "Автозаправкw"), "car_3"),
+        (merchant("Супермаркеты и продуктовые магазины", "Супермаркеты и продуктw"), "super_market_4"),
+        (merchant("Интернет-магазины", "Интернет-покупки разных товаров"), "internet_market_1"),
+        (merchant("Всё остальное", "Страхованиw"), "other_4"),
+    ]
+    df = spark.createDataFrame([r for r, _ in cases], MERCHANT_SCHEMA)
+    assert [r[0] for r in classify(df, MERCHANT_SPEC).collect()] == [lab for _, lab in cases]
+
+
+def test_null_inner_column_falls_to_default(spark):
+    df = spark.createDataFrame([merchant("Общепит", None)], MERCHANT_SCHEMA)
+    assert classify(df, MERCHANT_SPEC).first()[0] == "burger_3"
+
+
+def test_phone_patterns_are_case_sensitive_and_unanchored(spark):
+    rows = [
+        merchant("Телефония и интернет", "Связь - оплата мобильных телефонов", name=n)
+        for n in ("XX MEGAFON", "TELE2 SHOP", "megafon", None)
+    ]
+    df = spark.createDataFrame(rows, MERCHANT_SCHEMA)
+    assert [r[0] for r in classify(df, MERCHANT_SPEC).collect()] == [
+        "phone_internet_1",
+        "phone_internet_1",
+        "phone_internet_2",
+        "phone_internet_2",
+    ]
+
+
+def test_generic_spec_and_existing_label_column(spark):
+    spec = Spec(
+        outer="k",
+        groups=(
+            Group("a", "g", Tree((Rule(Expr("v > 10"), 1), Rule(Matches("s", ("^x",)), 2)), default=3)),
+            Group("b", "h", Tree((), default=7)),
+        ),
+        fallback="none",
+    )
+    df = spark.createDataFrame(
+        [("a", 11, "y", "old"), ("a", 1, "xz", "old"), ("a", 1, "z", "old"), ("b", 0, "", "old"), ("c", 0, "", "old")],
+        "k string, v int, s string, lab string",
+    )
+    out = classify(df, spec, name="lab")
+    assert out.columns == ["lab", "k", "v", "s"]
+    assert [r[0] for r in out.collect()] == ["g_1", "g_2", "g_3", "h_7", "none"]
+    assert spec.labels() == ["g_1", "g_2", "g_3", "h_7", "none"]
+
+
+def test_classify_is_a_projection(spark):
+    df = spark.range(100).selectExpr("cast(id % 3 as string) as k")
+    spec = Spec("k", (Group("0", "z", Tree((Rule(IsIn("k", ("0",)), 1),), default=2)),))
+    plan = classify(df, spec)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan

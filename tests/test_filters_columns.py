@@ -1,0 +1,63 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallyrule.functions.columns import (
+    ELISION,
+    clip_left,
+    clip_right,
+    elide_middle,
+    make_label,
+    normalised_prefix,
+    pattern_extract,
+    put_first,
+    with_expr_column,
+)
+from tallyrule.operators.filters import filter_eq_or_null, filter_none_rlike, filter_rlike_or_null, unlabelled
+from tallyrule.plans.merchant_spec import BRAND_PATTERN
+
+
+def test_filters(spark):
+    df = spark.createDataFrame([("Общепит",), ("Общепит x",), (None,), ("Прочее",)], "c string")
+    assert filter_eq_or_null(df, "c", "Общепит").count() == 1
+    assert filter_eq_or_null(df, "c").count() == 1
+    assert filter_rlike_or_null(df, "c", "^Общ").count() == 2
+    assert filter_rlike_or_null(df, "c").count() == 1
+    # Null rows are dropped by the "none of the patterns" filter.
+    assert [r[0] for r in filter_none_rlike(df, "c").collect()] == ["Прочее"]
+    assert filter_none_rlike(df, "c", []).count() == 4
+    assert unlabelled(df, "c").count() == 1
+
+
+def test_clip_and_elide(spark):
+    df = spark.createDataFrame([("abcdefghij",), ("",), (None,)], "s string")
+    row = df.select(
+        clip_left("s", 3).alias("l"),
+        clip_right("s", 3).alias("r"),
+        clip_left("s", -1).alias("ln"),
+        clip_left("s", 99).alias("lw"),
+        elide_middle("s", 10).alias("e10"),
+        elide_middle("s", 5).alias("e5"),
+        elide_middle("s", 11).alias("e11"),
+        elide_middle("s", -1).alias("eneg"),
+    ).collect()
+    assert tuple(row[0]) == ("abc", "hij", "", "abcdefghij", "abcde" + ELISION + "fghij", "ab" + ELISION + "ij",
+                             "abcdefghij", "abcdefghij")
+    assert tuple(row[1])[:4] == ("", "", "", "")
+    assert row[1]["e10"] == ""
+    assert all(v is None for v in row[2])
+
+
+def test_prefix_and_extract(spark):
+    df = spark.createDataFrame([("  WWW.PayPal.RU store ",), ("Fix Price",), (None,)], "n string")
+    rows = df.select(normalised_prefix("n", 10).alias("p"), pattern_extract("n", BRAND_PATTERN).alias("x")).collect()
+    assert tuple(rows[0]) == ("www.paypal", "www.paypal.ru")
+    assert tuple(rows[1]) == ("fix price", "")
+    assert tuple(rows[2]) == (None, None)
+
+
+def test_labels_and_projection(spark):
+    df = spark.createDataFrame([(1, "a")], "x int, y string")
+    assert df.select(make_label("home", 3)).first()[0] == "home_3"
+    assert with_expr_column(df, "z", "x + 1").first()["z"] == 2
+    assert put_first(df, "y", F.lit("new")).columns == ["y", "x"]

@@ -1,0 +1,55 @@
+from __future__ import annotations
+
+from pyspark.sql import Row
+from pyspark.sql import types as T
+
+from tallyrule.operators.rows import drop_equal_rows, first_row, relabel, split_lines, with_schema
+from tallyrule.plans.schemas import MERCHANT_SCHEMA
+
+
+def lines(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "line string")
+
+
+def line(n, fill="f"):
+    return "\t".join(f"{fill}{i}" for i in range(n))
+
+
+def test_split_keeps_exactly_17_parts(spark):
+    middle_empty = "\t".join(["a"] * 5 + [""] + ["b"] * 11)
+    cases = [line(17), line(16), line(18), line(16) + "\t", middle_empty, "", None, "x$y\t" + line(16)]
+    out = split_lines(lines(spark, cases), "\t", MERCHANT_SCHEMA).collect()
+    assert len(out) == 3
+    assert out[0]["merchant_nm"] == "f0" and out[0]["latitude_mt"] == "f16"
+    assert out[1]["mcc_cat"] == ""  # the empty middle field stays an empty string
+    assert out[2]["merchant_nm"] == "x$y"
+
+
+def test_trailing_empty_fields_are_discarded_before_counting(spark):
+    # 18 fields whose last one is empty → 17 parts, kept (as a regex split would).
+    out = split_lines(lines(spark, [line(17) + "\t", line(17) + "\t\t\t"]), "\t", 17).collect()
+    assert len(out) == 2
+    # A carriage return is data, not a line end.
+    assert split_lines(lines(spark, [line(16) + "\t\r"]), "\t", 17).count() == 1
+
+
+def test_separator_is_a_regex(spark):
+    out = split_lines(lines(spark, ["a, b,c", "a,b"]), r",\s*", ["x", "y", "z"]).collect()
+    assert [tuple(r) for r in out] == [("a", "b", "c")]
+
+
+def test_with_schema_casts_by_position(spark):
+    df = spark.createDataFrame([("1", "2.5")], "a string, b string")
+    schema = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("x", T.DoubleType())])
+    assert with_schema(df, schema).collect() == [Row(n=1, x=2.5)]
+    assert relabel(spark.createDataFrame([(1, 2.5)], "a int, b double"), schema).columns == ["n", "x"]
+
+
+def test_first_row_and_drop_every_copy(spark):
+    df = spark.createDataFrame([("h", None), ("a", 1), ("h", None), ("h", 2)], "k string, v int")
+    assert first_row(df.limit(0)) is None
+    head = first_row(df, "v", "k")
+    assert tuple(head) == ("h", None)
+    assert sorted(map(tuple, drop_equal_rows(df, head).collect())) == [("a", 1), ("h", 2)]
+    assert drop_equal_rows(df, None).count() == 4
+    assert drop_equal_rows(df, {"k": "a", "v": 1}).count() == 3
