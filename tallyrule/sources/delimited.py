@@ -49,14 +49,18 @@ def read_partitioned(
     path: str,
     schema: T.StructType,
     label: str = LABEL_COL,
+    mode: str | None = "PERMISSIVE",
     **kwargs,
 ) -> DataFrame:
-    """Read a tree written by :func:`write_partitioned` from its root.
+    """Read a tree written by :func:`write_partitioned` (or the stream) from its root.
 
     The label comes back from the directory names as a string column after the
-    data columns.
+    data columns. Trees written by this library hold well-formed rows only, so
+    the default mode is ``PERMISSIVE``: over a streaming sink's committed-file
+    index, ``DROPMALFORMED`` without column pruning counts the label as a data
+    field and drops every row.
     """
-    return read_delimited(spark, path, with_label_field(schema, label), **kwargs)
+    return read_delimited(spark, path, with_label_field(schema, label), mode=mode, **kwargs)
 
 
 def read_lines(
