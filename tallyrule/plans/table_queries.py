@@ -14,11 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyrule.functions.columns import clip_left, clip_right, elide_middle, normalised_prefix, pattern_extract
+from tallyrule.functions.columns import (
+    clip_left,
+    clip_right,
+    elide_middle,
+    normalised_prefix,
+    pattern_extract,
+    with_expr_column,
+)
 from tallyrule.operators.classify import Group, IsIn, Matches, Rule, Spec, Tree, classify
 from tallyrule.operators.filters import filter_eq_or_null, filter_none_rlike, filter_rlike_or_null
 from tallyrule.operators.rows import drop_equal_rows, first_row, split_lines, with_schema
-from tallyrule.operators.rules import label_by_rules
+from tallyrule.operators.rules import compile_rules, label_by_rules
 from tallyrule.operators.stats import count_group_by, count_statistics, rows_per_partition
 from tallyrule.plans.jobs import check_result, create_brands, create_clusters
 from tallyrule.plans.schemas import RULE_SCHEMA
@@ -161,6 +168,12 @@ def q_label_by_rules(spark, sf_dir):
     return count_group_by(label_by_rules(_t(spark, sf_dir, "part"), "brand", rules), "brand")
 
 
+def q_label_by_rules_sql(spark, sf_dir):
+    # The rule set applied through its SQL text, as a derived column.
+    compiled = compile_rules(filter_eq_or_null(_part_rules(spark), "mcc_supercat", "A"))
+    return count_group_by(with_expr_column(_t(spark, sf_dir, "part"), "brand", compiled.sql), "brand")
+
+
 def q_classify(spark, sf_dir):
     return classify(_t(spark, sf_dir, "part"), PART_SPEC)
 
@@ -321,6 +334,7 @@ QUERIES: dict[str, Query] = {
     "count_group_by": q_count_group_by,
     "count_statistics": q_count_statistics,
     "label_by_rules": q_label_by_rules,
+    "label_by_rules_sql": q_label_by_rules_sql,
     "classify": q_classify,
     "filter_eq_or_null": q_filter_eq_or_null,
     "filter_eq_value": q_filter_eq_value,
@@ -372,6 +386,12 @@ ORACLE: dict[str, str] = {
         "WHEN regexp_matches(p_name, 'bolt|ring') THEN 'M' "
         "WHEN p_size <= 10 THEN 'S' END AS brand FROM part) GROUP BY brand"
     ),
+    "label_by_rules_sql": (
+        "SELECT brand, count(*) AS count FROM (SELECT CASE "
+        "WHEN regexp_matches(p_name, 'red') THEN 'R`s' "
+        "WHEN regexp_matches(p_name, 'bolt|ring') THEN 'M' "
+        "WHEN p_size <= 10 THEN 'S' END AS brand FROM part) GROUP BY brand"
+    ),
     "classify": f"SELECT {PART_SPEC_SQL} AS brands_part, * FROM part",
     "filter_eq_or_null": (
         "SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic "

@@ -53,3 +53,27 @@ def test_first_row_and_drop_every_copy(spark):
     assert sorted(map(tuple, drop_equal_rows(df, head).collect())) == [("a", 1), ("h", 2)]
     assert drop_equal_rows(df, None).count() == 4
     assert drop_equal_rows(df, {"k": "a", "v": 1}).count() == 3
+
+
+def java_split(s: str, sep: str = "\t") -> list[str]:
+    """A regex split with limit 0: trailing empty parts are removed."""
+    if sep not in s:
+        return [s]
+    parts = s.split(sep)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def test_split_matches_regex_split_semantics(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=10, deadline=None)
+    @given(st.lists(st.text(alphabet="ab\t ", max_size=8), min_size=1, max_size=25), st.integers(1, 4))
+    def check(values, n):
+        got = [tuple(r) for r in split_lines(lines(spark, values), "\t", n).collect()]
+        want = [tuple(p) for p in (java_split(v) for v in values) if len(p) == n]
+        assert got == want
+
+    check()
