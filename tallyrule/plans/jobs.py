@@ -87,12 +87,13 @@ def create_clusters(
     text = read_lines(spark, source)
     header_row = first_row(text) if drop_row is FIRST else drop_row
     data = with_schema(split_lines(drop_equal_rows(text, header_row), sep, schema), schema)
-    input_statistics = count_statistics(data, spec.outer)
     labelled, obs = observe_rows(classify(data, spec, label))
     write_partitioned(labelled, target, [label], sep=sep, salt=salt, **write_options)
     written = read_partitioned(spark, target, schema, label, sep=sep)
+    # Labelling keeps every row, so both reports come from the written tree:
+    # the raw lines are parsed once, by the write.
     return ClusterRun(
-        input_statistics=input_statistics,
+        input_statistics=count_statistics(written, spec.outer),
         label_statistics=count_statistics(written, spec.outer, label),
         written=written,
         rows_written=obs.get["rows"],

@@ -45,17 +45,23 @@ def write_partitioned(
     header: bool = True,
     sep: str = "\t",
     salt: int | None = None,
+    rebalance: bool = True,
     **options: str,
 ) -> None:
     """Write ``df`` under ``path`` with one directory per value of ``cols``.
 
     ``salt`` forces a fixed number of hash buckets per label instead of the
     adaptive rebalance; ``maxRecordsPerFile`` can be passed to bound files.
+    ``rebalance=False`` skips the shuffle: each task writes straight into the
+    directories of the labels it holds (no data movement, up to tasks × labels
+    files).
     """
     cols = list(cols)
     if not cols:
         raise ValueError("write_partitioned needs at least one column; use write_unpartitioned")
-    if salt is None and _adaptive(df):
+    if not rebalance:
+        grouped = df
+    elif salt is None and _adaptive(df):
         grouped = df.hint("rebalance", *cols)
     else:
         grouped = df.repartition(*[F.col(f"`{c}`") for c in cols], _salt(df, salt or DEFAULT_SALT))

@@ -147,3 +147,10 @@ def test_read_rules_blanks_and_cap(spark, scratch):
     assert all(r["mcc_supercat"] is None for r in rows)
     assert [r["comment"] for r in rows] == [None, "c", None, "c", None]
     assert [r["num"] for r in read_rules(spark, d, max_rules=2).collect()] == [1, 2]
+
+
+def test_write_without_shuffle(spark, scratch):
+    out = scratch("noshuffle")
+    df = hot_frame(spark)
+    write_partitioned(df, out, ["lab"], rebalance=False)
+    assert read_delimited(spark, out, VL).count() == 20000
