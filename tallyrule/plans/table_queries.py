@@ -22,7 +22,7 @@ from tallyrule.functions.columns import (
     pattern_extract,
     with_expr_column,
 )
-from tallyrule.operators.classify import Group, IsIn, Matches, Rule, Spec, Tree, classify
+from tallyrule.operators.classify import Expr, Group, IsIn, Matches, Rule, Spec, Tree, classify
 from tallyrule.operators.filters import filter_eq_or_null, filter_none_rlike, filter_rlike_or_null
 from tallyrule.operators.rows import drop_equal_rows, first_row, split_lines, with_schema
 from tallyrule.operators.rules import compile_rules, label_by_rules
@@ -90,6 +90,22 @@ PART_SPEC_SQL = (
     "ELSE '0' END"
 )
 
+LINEITEM_SPEC = Spec(
+    outer="l_returnflag",
+    groups=(
+        Group("R", "returned", Tree((Rule(IsIn("l_linestatus", ("F",)), 1),), default=2)),
+        Group("A", "accepted", Tree((Rule(Expr("l_discount >= 0.05"), 1), Rule(Expr("l_quantity > 25"), 2)), default=3)),
+    ),
+)
+
+LINEITEM_SPEC_SQL = (
+    "CASE WHEN l_returnflag IS NOT DISTINCT FROM 'R' THEN "
+    "CASE WHEN l_linestatus IN ('F') THEN 'returned_1' ELSE 'returned_2' END "
+    "WHEN l_returnflag IS NOT DISTINCT FROM 'A' THEN "
+    "CASE WHEN l_discount >= 0.05 THEN 'accepted_1' WHEN l_quantity > 25 THEN 'accepted_2' ELSE 'accepted_3' END "
+    "ELSE '0' END"
+)
+
 PART_RULES = [
     (1, "p_name rlike 'red'", "R's", "A", "apostrophe in the label"),
     (2, "p_name rlike 'bolt|ring'", "M", "A", None),
@@ -178,6 +194,11 @@ def q_classify(spark, sf_dir):
     return classify(_t(spark, sf_dir, "part"), PART_SPEC)
 
 
+def q_classify_lineitem(spark, sf_dir):
+    labelled = classify(_t(spark, sf_dir, "lineitem"), LINEITEM_SPEC)
+    return count_statistics(labelled, "l_returnflag", "l_linestatus", "brands_part")
+
+
 def q_filter_eq_or_null(spark, sf_dir):
     docs = _t(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     return filter_eq_or_null(docs.join(_t(spark, sf_dir, "labels"), "doc_id", "left"), "toxic")
@@ -336,6 +357,7 @@ QUERIES: dict[str, Query] = {
     "label_by_rules": q_label_by_rules,
     "label_by_rules_sql": q_label_by_rules_sql,
     "classify": q_classify,
+    "classify_lineitem": q_classify_lineitem,
     "filter_eq_or_null": q_filter_eq_or_null,
     "filter_eq_value": q_filter_eq_value,
     "filter_rlike_or_null": q_filter_rlike_or_null,
@@ -393,6 +415,10 @@ ORACLE: dict[str, str] = {
         "WHEN p_size <= 10 THEN 'S' END AS brand FROM part) GROUP BY brand"
     ),
     "classify": f"SELECT {PART_SPEC_SQL} AS brands_part, * FROM part",
+    "classify_lineitem": _marginals_sql(
+        f"SELECT l_returnflag, l_linestatus, {LINEITEM_SPEC_SQL} AS brands_part FROM lineitem",
+        ["l_returnflag", "l_linestatus", "brands_part"],
+    ),
     "filter_eq_or_null": (
         "SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic "
         "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.toxic IS NULL"
