@@ -32,7 +32,11 @@ def split_lines(
     elif isinstance(names, T.StructType):
         names = names.fieldNames()
     line = F.col(f"`{line_col or df.columns[0]}`")
-    parts = F.split(F.regexp_replace(line, f"(?:{sep})+\\z", ""), sep, -1)
+    stripped = F.regexp_replace(line, f"(?:{sep})+\\z", "")
+    # A line of separators only has no parts at all (an empty line has one).
+    parts = F.when((stripped == "") & (line != ""), F.array().cast("array<string>")).otherwise(
+        F.split(stripped, sep, -1)
+    )
     n = len(names)
     return (
         df.select(parts.alias("__parts"))

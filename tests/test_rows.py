@@ -69,7 +69,7 @@ def test_split_matches_regex_split_semantics(spark):
     from hypothesis import given, settings
     from hypothesis import strategies as st
 
-    @settings(max_examples=10, deadline=None)
+    @settings(max_examples=25, deadline=None)
     @given(st.lists(st.text(alphabet="ab\t ", max_size=8), min_size=1, max_size=25), st.integers(1, 4))
     def check(values, n):
         got = [tuple(r) for r in split_lines(lines(spark, values), "\t", n).collect()]
