@@ -13,13 +13,14 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyrule.functions.columns import normalised_prefix, pattern_extract
 from tallyrule.operators.classify import Spec, classify
-from tallyrule.operators.filters import filter_eq_or_null, unlabelled
+from tallyrule.operators.filters import filter_eq_or_null
 from tallyrule.operators.rows import drop_equal_rows, first_row, split_lines, with_schema
-from tallyrule.operators.rules import MAX_RULES, compile_rules, label_by_rules
+from tallyrule.operators.rules import MAX_RULES, compile_rules
 from tallyrule.operators.stats import (
     count_statistics,
     group_counts,
@@ -132,8 +133,11 @@ def unbranded(
     prefix) and ``test_reg_exp`` (``pattern`` found in the normalised name).
     """
     compiled = compile_rules(filter_eq_or_null(rules, "mcc_supercat", supercat), max_rules=max_rules)
+    # Same rows as labelling then keeping null labels, but the rules run once
+    # per row: a kept row's label is null by definition.
     return (
-        unlabelled(label_by_rules(data, brand, compiled), brand)
+        data.filter(compiled.column.isNull())
+        .withColumn(brand, F.lit(None).cast("string"))
         .withColumn("merchant_clr", normalised_prefix(name_col, prefix_len))
         .withColumn("test_reg_exp", pattern_extract(name_col, pattern))
     )
