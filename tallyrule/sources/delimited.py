@@ -99,7 +99,7 @@ def read_rules(
     schema: T.StructType = RULE_SCHEMA,
     **options: str,
 ) -> DataFrame:
-    """Read a rule table under ``schema``; blank text cells become null.
+    """Read a rule table under ``schema``; empty text cells become null.
 
     Like a sheet range of one header row and 999 data rows, at most
     ``max_rules`` rules are kept, the lowest ``num`` first (``None``: all).
@@ -110,7 +110,7 @@ def read_rules(
     df = reader.options(**options).load(path)
     df = df.select(
         *[
-            F.when(F.trim(F.col(f.name)) == "", None).otherwise(F.col(f.name)).alias(f.name)
+            F.when(F.col(f.name) == "", None).otherwise(F.col(f.name)).alias(f.name)
             if isinstance(f.dataType, T.StringType)
             else F.col(f.name)
             for f in schema.fields

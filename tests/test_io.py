@@ -139,13 +139,13 @@ def test_read_lines_semantics(spark, scratch):
 
 def test_read_rules_blanks_and_cap(spark, scratch):
     d = scratch("rules")
-    write_text(d, "r.csv", ["num,reg_exp,brand,mcc_supercat,comment"] + [f"{i},x = {i},b{i}, ,{'' if i % 2 else 'c'}" for i in range(5, 0, -1)])
+    write_text(d, "r.csv", ["num,reg_exp,brand,mcc_supercat,comment"] + [f"{i},x = {i},b{i},,{'' if i % 2 else 'c'}" for i in range(5, 0, -1)] + ["6,y,b6, ,c"])
     df = read_rules(spark, d)
     assert df.schema == RULE_SCHEMA
     rows = df.collect()
-    assert [r["num"] for r in rows] == [1, 2, 3, 4, 5]
-    assert all(r["mcc_supercat"] is None for r in rows)
-    assert [r["comment"] for r in rows] == [None, "c", None, "c", None]
+    assert [r["num"] for r in rows] == [1, 2, 3, 4, 5, 6]
+    assert [r["mcc_supercat"] for r in rows] == [None] * 5 + [" "]
+    assert [r["comment"] for r in rows] == [None, "c", None, "c", None, "c"]
     assert [r["num"] for r in read_rules(spark, d, max_rules=2).collect()] == [1, 2]
 
 

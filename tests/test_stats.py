@@ -53,6 +53,9 @@ def test_column_named_count_and_empty_columns(spark):
 def test_marginal_properties(spark, rows):
     df = spark.createDataFrame(rows, "k string, n int")
     stats = count_statistics(df, "k", "n").collect()
+    kc, nc = Counter(k for k, _ in rows), Counter(n for _, n in rows)
+    want = sorted({(k, n, kc[k], nc[n]) for k, n in rows}, key=repr)
+    assert sorted(map(tuple, stats), key=repr) == want
     # Each marginal, taken once per distinct value, sums to the row count.
     assert sum(dict((r["k"], r["k_count"]) for r in stats).values()) == len(rows)
     assert sum(dict((r["n"], r["n_count"]) for r in stats).values()) == len(rows)
