@@ -51,6 +51,10 @@ def statistics_from_counts(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A2 over precomputed :func:`group_counts`."""
     if not cols:
         raise ValueError("count_statistics needs at least one column")
+    if len(cols) == 1:
+        # One key: its marginal is the joint count itself.
+        (c,) = cols
+        return counts.select(_c(c), _c(_N).alias(f"{c}_count")).orderBy(F.col(f"{c}_count").desc(), _c(c).asc())
     out = counts
     for i, c in enumerate(cols):
         key = f"__tally_k{i}"
