@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Characters that make a one-character separator a regex, not a literal.
+_REGEX_META = set("\\^$.|?*+()[]{}")
+
 
 def split_lines(
     df: DataFrame,
@@ -32,7 +35,12 @@ def split_lines(
     elif isinstance(names, T.StructType):
         names = names.fieldNames()
     line = F.col(f"`{line_col or df.columns[0]}`")
-    stripped = F.regexp_replace(line, f"(?:{sep})+\\z", "")
+    if len(sep) == 1 and sep not in _REGEX_META:
+        # A single literal character: trimming it is the same as stripping
+        # the regex and about twice as fast.
+        stripped = F.rtrim(line, F.lit(sep))
+    else:
+        stripped = F.regexp_replace(line, f"(?:{sep})+\\z", "")
     # A line of separators only has no parts at all (an empty line has one).
     parts = F.when((stripped == "") & (line != ""), F.array().cast("array<string>")).otherwise(
         F.split(stripped, sep, -1)

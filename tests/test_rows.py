@@ -77,3 +77,12 @@ def test_split_matches_regex_split_semantics(spark):
         assert got == want
 
     check()
+
+
+def test_literal_and_regex_separators_agree(spark):
+    values = ["a,b,,", "a,,b", ",,", "", "a,b", "a.b.c"]
+    lit = [tuple(r) for r in split_lines(lines(spark, values), ",", 2).collect()]
+    rgx = [tuple(r) for r in split_lines(lines(spark, values), "(?:,)", 2).collect()]
+    assert lit == rgx == [("a", "b"), ("a", "b")]
+    # "." is a regex: every character is a separator, so nothing is left.
+    assert split_lines(lines(spark, ["a.b"]), ".", 2).count() == 0
