@@ -76,3 +76,24 @@ def test_hot_key_stays_out_of_single_window(spark):
     df = spark.range(2000).selectExpr("'hot' as k", "cast(id as string) as v")
     plan = count_statistics(df, "k", "v")._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_marginals_without_broadcast_use_sort_merge_joins(spark):
+    keys = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in keys}
+    rows = [(k if k != "z" else None, str(i % 7)) for i, k in enumerate("aaaabbbcz" * 30)]
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        df = count_statistics(spark.createDataFrame(rows, "k string, v string"), "k", "v")
+        got = sorted(map(tuple, df.collect()), key=repr)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    kc, vc = Counter(k for k, _ in rows), Counter(v for _, v in rows)
+    assert got == sorted({(k, v, kc[k], vc[v]) for k, v in rows}, key=repr)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
