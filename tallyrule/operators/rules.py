@@ -37,6 +37,12 @@ class CompiledRules:
     def __len__(self) -> int:
         return len(self.rules)
 
+    def preview(self, n: int = 1000) -> str:
+        """The SQL text cut to its first and last ``n // 2`` characters."""
+        if not 0 <= n <= len(self.sql):
+            return self.sql
+        return self.sql[: n // 2] + "\n...\n" + self.sql[len(self.sql) - n // 2 :]
+
 
 def _safe_label(brand: str) -> str:
     # Apostrophes become backticks, so the label also fits in SQL text.

@@ -63,6 +63,7 @@ class ClusterRun:
     label_statistics: DataFrame
     written: DataFrame
     rows_written: int
+    lines_read: int
     header_row: Any
 
 
@@ -87,7 +88,9 @@ def create_clusters(
     """
     text = read_lines(spark, source)
     header_row = first_row(text) if drop_row is FIRST else drop_row
-    data = with_schema(split_lines(drop_equal_rows(text, header_row), sep, schema), schema)
+    # Both counts are taken in flight by the write; no extra pass.
+    observed_text, lines_obs = observe_rows(text, "lines")
+    data = with_schema(split_lines(drop_equal_rows(observed_text, header_row), sep, schema), schema)
     labelled, obs = observe_rows(classify(data, spec, label))
     write_partitioned(labelled, target, [label], sep=sep, salt=salt, **write_options)
     written = read_partitioned(spark, target, schema, label, sep=sep)
@@ -98,6 +101,7 @@ def create_clusters(
         label_statistics=count_statistics(written, spec.outer, label),
         written=written,
         rows_written=obs.get["rows"],
+        lines_read=lines_obs.get["rows"],
         header_row=header_row,
     )
 

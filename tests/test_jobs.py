@@ -25,6 +25,8 @@ def test_create_clusters_end_to_end(spark, scratch):
     run = create_clusters(spark, src, scratch("out"))
     assert tuple(run.header_row) == (as_line(first),)
     assert run.rows_written == len(rows)
+    # header excluded; first row, its copy, every data row and the short line
+    assert run.lines_read == len(rows) + 3
     labels = Counter(r["brands_part"] for r in run.written.collect())
     assert labels == Counter(lab for r, lab in GOLDEN if None not in r)
     stats = {(r[0], r[1]): r for r in run.label_statistics.collect()}

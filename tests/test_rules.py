@@ -38,6 +38,8 @@ def test_sql_text_form(spark):
     c = compile_rules(rules_df(spark, [(2, "b = 1", "B", "A", None), (1, "a = 1", "it's", "A", None)]))
     assert c.sql == "case when a = 1 then 'it`s'\nwhen b = 1 then 'B' end"
     assert len(c) == 2
+    assert c.preview(10) == "case \n...\n' end"
+    assert c.preview(1000) == c.sql
 
 
 def test_empty_rule_table_gives_null_string(spark):
