@@ -78,13 +78,16 @@ def create_clusters(
     drop_row: Any = FIRST,
     label: str = LABEL_COL,
     salt: int | None = None,
+    format: str = "csv",
     **write_options: str,
 ) -> ClusterRun:
     """Raw tab lines → typed rows → labels → tree partitioned by label.
 
     Each file's header line is consumed; then ``drop_row`` (by default the
     first remaining row) and every line equal to it are removed. Lines that do
-    not split into exactly ``len(schema)`` fields are dropped.
+    not split into exactly ``len(schema)`` fields are dropped. The tree is
+    written (and read back for the reports) in ``format``: delimited text by
+    default, or e.g. ``"parquet"`` for a columnar result.
     """
     text = read_lines(spark, source)
     header_row = first_row(text) if drop_row is FIRST else drop_row
@@ -92,8 +95,8 @@ def create_clusters(
     observed_text, lines_obs = observe_rows(text, "lines")
     data = with_schema(split_lines(drop_equal_rows(observed_text, header_row), sep, schema), schema)
     labelled, obs = observe_rows(classify(data, spec, label))
-    write_partitioned(labelled, target, [label], sep=sep, salt=salt, **write_options)
-    written = read_partitioned(spark, target, schema, label, sep=sep)
+    write_partitioned(labelled, target, [label], sep=sep, salt=salt, format=format, **write_options)
+    written = read_partitioned(spark, target, schema, label, sep=sep, format=format)
     # Labelling keeps every row, so both reports come from the written tree:
     # the raw lines are parsed once, by the write.
     return ClusterRun(

@@ -84,3 +84,15 @@ def test_merchant_fields_cover_the_spec():
             if hasattr(r.then, "rules"):
                 stack.extend(r.then.rules)
     assert used <= set(MERCHANT_FIELDS)
+
+
+def test_create_clusters_columnar_result(spark, scratch):
+    src, out = scratch("src"), scratch("out")
+    rows = [r for r, _ in GOLDEN if None not in r]
+    write_text(src, "a.tsv", ["H", "drop\tme", *map(as_line, rows)])
+    run = create_clusters(spark, src, out, format="parquet")
+    assert run.rows_written == len(rows)
+    assert Counter(r["brands_part"] for r in run.written.collect()) == Counter(
+        lab for r, lab in GOLDEN if None not in r
+    )
+    assert "parquet" in run.written._jdf.queryExecution().executedPlan().toString().lower()
