@@ -6,7 +6,9 @@ aggregation absorbs hot keys), each marginal is a partial aggregation over
 those counts, and each marginal is joined back by its key.
 Marginal tables hold one row per distinct value, so adaptive execution
 broadcasts them when they are small and otherwise runs a sort-merge join whose
-skewed partitions it splits.
+skewed partitions it splits. The joint counts are read once per key column
+(plus once for the base side) but only the small marginals are written,
+whereas one window per column would re-shuffle and sort the tuples each time.
 """
 
 from __future__ import annotations
