@@ -121,7 +121,7 @@ def _part_rules(spark: SparkSession) -> DataFrame:
 
 
 def _brand_rules(part: DataFrame) -> DataFrame:
-    """One rule per brand found in ``part``: odd brand numbers in group A."""
+    """One rule per brand found in ``part``: brands 1 to 12 in group A."""
     num = F.regexp_extract("p_brand", r"#(\d+)", 1).cast("int")
     return (
         part.groupBy("p_brand")
@@ -130,8 +130,8 @@ def _brand_rules(part: DataFrame) -> DataFrame:
             num.alias("num"),
             F.concat(F.lit("p_brand = '"), F.col("p_brand"), F.lit("'")).alias("reg_exp"),
             F.lower(F.regexp_replace("p_brand", "#", "_")).alias("brand"),
-            F.when(num % 2 == 1, F.lit("A")).otherwise(F.lit("B")).alias("mcc_supercat"),
-            F.when(num % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("parts "), F.col("n").cast("string"))).alias(
+            F.when(num <= 12, F.lit("A")).otherwise(F.lit("B")).alias("mcc_supercat"),
+            F.when(num >= 20, F.lit("")).otherwise(F.concat(F.lit("parts "), F.col("n").cast("string"))).alias(
                 "comment"
             ),
         )
@@ -142,8 +142,8 @@ BRAND_RULES_SQL = """
 SELECT CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS INTEGER) AS num,
        'p_brand = ''' || p_brand || '''' AS reg_exp,
        lower(replace(p_brand, '#', '_')) AS brand,
-       CASE WHEN CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS INTEGER) % 2 = 1 THEN 'A' ELSE 'B' END AS mcc_supercat,
-       CASE WHEN CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS INTEGER) % 3 = 0 THEN NULL
+       CASE WHEN CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS INTEGER) <= 12 THEN 'A' ELSE 'B' END AS mcc_supercat,
+       CASE WHEN CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS INTEGER) >= 20 THEN NULL
             ELSE 'parts ' || CAST(count(*) AS VARCHAR) END AS comment
 FROM part GROUP BY p_brand
 """
@@ -393,7 +393,7 @@ SELECT p_type, p_brand, CAST(NULL AS VARCHAR) AS brand,
        regexp_extract(trim(lower(p_name), ' '), '{NAME_PATTERN}', 0) AS test_reg_exp,
        substring(trim(lower(p_name), ' '), 1, 4) AS merchant_clr
 FROM part
-WHERE CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS INTEGER) % 2 = 0
+WHERE CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS INTEGER) > 12
 """
 
 _BRAND_KEYS_SQL = ", ".join(_BRAND_KEYS)
