@@ -82,3 +82,55 @@ def test_classify_is_a_projection(spark):
     spec = Spec("k", (Group("0", "z", Tree((Rule(IsIn("k", ("0",)), 1),), default=2)),))
     plan = classify(df, spec)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def _walk(spec: Spec, row: dict) -> str:
+    """Plain-Python meaning of a spec, for comparison."""
+    import re
+
+    def holds(cond) -> bool:
+        v = row[cond.column]
+        if isinstance(cond, IsIn):
+            return v is not None and v in cond.values
+        if isinstance(cond, Matches):
+            return v is not None and any(re.search(p, v) for p in cond.patterns)
+        return v is None  # IsNull
+
+    def tree(name, t: Tree) -> str:
+        for r in t.rules:
+            if holds(r.when):
+                return tree(name, r.then) if isinstance(r.then, Tree) else f"{name}_{r.then}"
+        return f"{name}_{t.default}"
+
+    for g in spec.groups:
+        if row[spec.outer] == g.value:  # None == None selects the null group
+            return tree(g.name, g.tree)
+    return spec.fallback
+
+
+def test_classify_matches_python_walk(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from tallyrule.operators.classify import IsNull
+
+    spec = Spec(
+        outer="a",
+        groups=(
+            Group("x", "gx", Tree((Rule(IsIn("b", ("p", "q")), Tree((Rule(Matches("c", ("^z", "y$")), 1),), default=2)),
+                                   Rule(IsNull("c"), 3)), default=4)),
+            Group(None, "gn", Tree((Rule(Matches("b", ("p",)), 5),), default=6)),
+            Group("y", "gy", Tree((), default=7)),
+        ),
+        fallback="0",
+    )
+    vals = st.one_of(st.none(), st.sampled_from(["x", "y", "p", "q", "zz", "ay", "pq", ""]))
+
+    @settings(max_examples=10, deadline=None)
+    @given(st.lists(st.tuples(vals, vals, vals), min_size=1, max_size=30))
+    def check(rows):
+        df = spark.createDataFrame(rows, "a string, b string, c string")
+        got = [r[0] for r in classify(df, spec).collect()]
+        assert got == [_walk(spec, dict(zip("abc", r))) for r in rows]
+
+    check()
