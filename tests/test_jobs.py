@@ -96,3 +96,42 @@ def test_create_clusters_columnar_result(spark, scratch):
         lab for r, lab in GOLDEN if None not in r
     )
     assert "parquet" in run.written._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_sample_shaped_file_keeps_lines_three_to_five(spark, scratch):
+    # Five tab lines, no header line of their own: the first is consumed as
+    # the header and the second dropped as the first row.
+    sample = [
+        merchant("Всё для дома", "Всё для домw", mcc_name="Универсальные магазинw"),
+        merchant("Личный транспорт", "Автозаправкw", mcc_name="Продажа топливw"),
+        merchant("Супермаркеты и продуктовые магазины", "Супермаркеты и продуктw"),
+        merchant("Интернет-магазины", "Интернет-покупки разных товаров"),
+        merchant("Всё остальное", "Страхованиw"),
+    ]
+    src = scratch("sample")
+    write_text(src, "sample.csv", [as_line(r) for r in sample])
+    run = create_clusters(spark, src, scratch("out"))
+    assert sorted(r["brands_part"] for r in run.written.collect()) == [
+        "internet_market_1",
+        "other_4",
+        "super_market_4",
+    ]
+
+
+def test_sample_shaped_file_through_the_row_reader(spark, scratch):
+    from tallyrule.operators.classify import classify
+    from tallyrule.sources import read_delimited
+
+    sample = [
+        merchant("Всё для дома", "Всё для домw", house_mt="\\N"),
+        merchant("Личный транспорт", "Автозаправкw", street_mt="\\N"),
+        merchant("Супермаркеты и продуктовые магазины", "Супермаркеты и продуктw"),
+        merchant("Интернет-магазины", "Интернет-покупки разных товаров"),
+        merchant("Всё остальное", "Страхованиw"),
+    ]
+    src = scratch("sample")
+    write_text(src, "sample.csv", [as_line(r) for r in sample])
+    rows = classify(read_delimited(spark, src, MERCHANT_SCHEMA), MERCHANT_SPEC).collect()
+    # The reader consumes line 1 as the header; "\N" stays text.
+    assert [r["brands_part"] for r in rows] == ["car_3", "super_market_4", "internet_market_1", "other_4"]
+    assert rows[0]["street_mt"] == "\\N"
