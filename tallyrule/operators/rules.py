@@ -30,6 +30,13 @@ class RuleTableError(ValueError):
 
 @dataclass(frozen=True)
 class CompiledRules:
+    """A rule set as a column (chunked, the form to apply) and as SQL text.
+
+    The text is one ``case`` expression, as the rule set reads in SQL; applied
+    through ``with_expr_column`` it gives the same labels, but past a few
+    hundred rules it no longer compiles to code and runs interpreted.
+    """
+
     column: Column
     sql: str
     rules: tuple[tuple[int | None, str, str], ...]
