@@ -31,6 +31,11 @@ def group_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.groupBy(*[_c(c) for c in cols]).agg(F.count(F.lit(1)).alias(_N))
 
 
+def coarser_counts(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Counts over a subset of the keys of :func:`group_counts`, from the finer ones."""
+    return counts.groupBy(*[_c(c) for c in cols]).agg(F.sum(_N).cast("bigint").alias(_N))
+
+
 def groups_from_counts(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A1 over precomputed :func:`group_counts`."""
     return counts.select(*[_c(c) for c in cols], _c(_N).alias("count")).orderBy(

@@ -22,7 +22,7 @@ from tallyrule.operators.filters import filter_eq_or_null
 from tallyrule.operators.rows import drop_equal_rows, first_row, split_lines, with_schema
 from tallyrule.operators.rules import MAX_RULES, compile_rules
 from tallyrule.operators.stats import (
-    count_statistics,
+    coarser_counts,
     group_counts,
     groups_from_counts,
     observe_rows,
@@ -30,6 +30,7 @@ from tallyrule.operators.stats import (
 )
 from tallyrule.plans.merchant_spec import BRAND_PATTERN, BRAND_SUPERCAT, MERCHANT_SPEC, PREFIX_LEN
 from tallyrule.plans.schemas import LABEL_COL, MERCHANT_SCHEMA
+from tallyrule.scratch import checkpoint_dir
 from tallyrule.sources.delimited import read_lines, read_partitioned
 from tallyrule.sources.sinks import write_partitioned
 
@@ -97,11 +98,17 @@ def create_clusters(
     labelled, obs = observe_rows(classify(data, spec, label))
     write_partitioned(labelled, target, [label], sep=sep, salt=salt, format=format, **write_options)
     written = read_partitioned(spark, target, schema, label, sep=sep, format=format)
-    # Labelling keeps every row, so both reports come from the written tree:
-    # the raw lines are parsed once, by the write.
+    # Labelling keeps every row, so both reports come from the written tree
+    # (the raw lines are parsed once, by the write), and both from the same
+    # joint counts: one small table, checkpointed when a shared folder is set,
+    # so the tree is scanned once for both.
+    keys = [spec.outer, label]
+    counts = group_counts(written, keys)
+    if checkpoint_dir(spark) is not None:
+        counts = counts.checkpoint(eager=True)
     return ClusterRun(
-        input_statistics=count_statistics(written, spec.outer),
-        label_statistics=count_statistics(written, spec.outer, label),
+        input_statistics=statistics_from_counts(coarser_counts(counts, [spec.outer]), [spec.outer]),
+        label_statistics=statistics_from_counts(counts, keys),
         written=written,
         rows_written=obs.get["rows"],
         lines_read=lines_obs.get["rows"],

@@ -32,6 +32,8 @@ def test_create_clusters_end_to_end(spark, scratch):
     stats = {(r[0], r[1]): r for r in run.label_statistics.collect()}
     assert sum(r["mcc_supercat_count"] for r in {k[0]: v for k, v in stats.items()}.values()) == len(rows)
     assert run.input_statistics.columns == ["mcc_supercat", "mcc_supercat_count"]
+    per_supercat = {r[0]: r[1] for r in run.input_statistics.collect()}
+    assert per_supercat == dict(Counter(r[4] for r in rows))
 
 
 def test_check_result_reports(spark, scratch):
