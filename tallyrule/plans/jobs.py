@@ -46,13 +46,17 @@ class Reports:
     groups: DataFrame
 
 
-def reports(df: DataFrame, keys: Sequence[str], reuse: bool = False) -> Reports:
+def reports(df: DataFrame, keys: Sequence[str], reuse: bool | None = None) -> Reports:
     """Both count reports from one grouping.
 
     With ``reuse`` the joint counts are checkpointed to the session's shared
-    checkpoint folder, so evaluating both reports reads the input once.
+    checkpoint folder, so evaluating both reports reads the input once. The
+    default (``None``) reuses whenever that folder is set; pass ``False`` when
+    only one report will be evaluated.
     """
     counts = group_counts(df, keys)
+    if reuse is None:
+        reuse = checkpoint_dir(df.sparkSession) is not None
     if reuse:
         counts = counts.checkpoint(eager=True)
     return Reports(statistics_from_counts(counts, keys), groups_from_counts(counts, keys))
@@ -123,7 +127,7 @@ def check_result(
     schema: T.StructType = MERCHANT_SCHEMA,
     keys: Sequence[str] = ("mcc_supercat", LABEL_COL, "mcc_cat"),
     label: str = LABEL_COL,
-    reuse: bool = False,
+    reuse: bool | None = None,
     **read_options: str,
 ) -> Reports:
     """Statistics and group counts over a tree written by :func:`create_clusters`."""
@@ -170,7 +174,7 @@ def create_brands(
         "test_reg_exp",
         "merchant_clr",
     ),
-    reuse: bool = False,
+    reuse: bool | None = None,
     **kwargs: Any,
 ) -> Reports:
     """Label ``data`` with one super-category's rules and report on what stays unbranded."""

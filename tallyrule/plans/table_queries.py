@@ -320,13 +320,13 @@ def q_create_clusters(spark, sf_dir):
 
 def q_check_result(spark, sf_dir):
     return check_result(
-        spark, _classified_tree(spark, sf_dir), schema=PART_SCHEMA, keys=("p_type", "brands_part", "p_brand")
+        spark, _classified_tree(spark, sf_dir), schema=PART_SCHEMA, keys=("p_type", "brands_part", "p_brand"), reuse=False
     ).statistics
 
 
 def q_check_result_groups(spark, sf_dir):
     return check_result(
-        spark, _classified_tree(spark, sf_dir), schema=PART_SCHEMA, keys=("p_type", "brands_part", "p_brand")
+        spark, _classified_tree(spark, sf_dir), schema=PART_SCHEMA, keys=("p_type", "brands_part", "p_brand"), reuse=False
     ).groups
 
 
@@ -338,6 +338,7 @@ def _brands(spark, sf_dir):
         _t(spark, sf_dir, "part"),
         _written_rules(spark, sf_dir),
         keys=_BRAND_KEYS,
+        reuse=False,  # each query evaluates one report
         supercat="A",
         name_col="p_name",
         pattern=NAME_PATTERN,
