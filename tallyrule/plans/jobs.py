@@ -84,6 +84,7 @@ def create_clusters(
     label: str = LABEL_COL,
     salt: int | None = None,
     format: str = "csv",
+    reuse: bool | None = None,
     **write_options: str,
 ) -> ClusterRun:
     """Raw tab lines → typed rows → labels → tree partitioned by label.
@@ -92,7 +93,8 @@ def create_clusters(
     first remaining row) and every line equal to it are removed. Lines that do
     not split into exactly ``len(schema)`` fields are dropped. The tree is
     written (and read back for the reports) in ``format``: delimited text by
-    default, or e.g. ``"parquet"`` for a columnar result.
+    default, or e.g. ``"parquet"`` for a columnar result. ``reuse`` works as
+    in :func:`reports`.
     """
     text = read_lines(spark, source)
     header_row = first_row(text) if drop_row is FIRST else drop_row
@@ -108,7 +110,9 @@ def create_clusters(
     # so the tree is scanned once for both.
     keys = [spec.outer, label]
     counts = group_counts(written, keys)
-    if checkpoint_dir(spark) is not None:
+    if reuse is None:
+        reuse = checkpoint_dir(spark) is not None
+    if reuse:
         counts = counts.checkpoint(eager=True)
     return ClusterRun(
         input_statistics=statistics_from_counts(coarser_counts(counts, [spec.outer]), [spec.outer]),

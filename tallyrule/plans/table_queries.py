@@ -314,6 +314,7 @@ def q_create_clusters(spark, sf_dir):
         spec=PART_SPEC,
         schema=PART_LINE_SCHEMA,
         drop_row=(drop["line"],),
+        reuse=False,  # the query evaluates one report
     )
     return run.label_statistics
 
