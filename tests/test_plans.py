@@ -39,3 +39,25 @@ def test_filters_reach_the_parquet_scan(spark):
     df = filter_eq_or_null(spark.read.parquet(PART), "p_type", "PROMO").select("p_partkey")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [EqualNullSafe(p_type,PROMO)]" in plan
+
+
+FORBIDDEN = (
+    "CartesianProduct",  # all pairs
+    "BroadcastNestedLoopJoin",  # all pairs
+    "Window",  # one key's rows in one task
+    "BatchEvalPython",  # row-at-a-time Python
+    "ArrowEvalPython",
+    "FlatMapGroupsInPandas",
+    "MapInPandas",
+)
+
+
+def test_no_registered_query_uses_a_forbidden_operator(spark):
+    import __spark_entry__ as entry
+
+    for name, q in entry.queries().items():
+        df = q(spark, "/root/testdata/sf0.001")
+        df.write.format("noop").mode("overwrite").save()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        found = [op for op in FORBIDDEN if op in plan]
+        assert not found, (name, found)
