@@ -13,14 +13,13 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyrule.functions.columns import normalised_prefix, pattern_extract
 from tallyrule.operators.classify import Spec, classify
-from tallyrule.operators.filters import filter_eq_or_null
+from tallyrule.operators.filters import filter_eq_or_null, unlabelled
 from tallyrule.operators.rows import drop_equal_rows, first_row, split_lines, with_schema
-from tallyrule.operators.rules import MAX_RULES, compile_rules
+from tallyrule.operators.rules import MAX_RULES, compile_rules, label_by_rules
 from tallyrule.operators.stats import (
     coarser_counts,
     group_counts,
@@ -40,10 +39,15 @@ FIRST = object()
 
 @dataclass
 class Reports:
-    """Marginal statistics and plain group counts over the same keys."""
+    """Marginal statistics and plain group counts over the same keys.
+
+    ``labelled`` (brand job only) counts every labelled row; it is filled by
+    the first action that reads the input.
+    """
 
     statistics: DataFrame
     groups: DataFrame
+    labelled: Any = None
 
 
 def reports(df: DataFrame, keys: Sequence[str], reuse: bool | None = None) -> Reports:
@@ -148,21 +152,29 @@ def unbranded(
     pattern: str = BRAND_PATTERN,
     prefix_len: int = PREFIX_LEN,
     max_rules: int = MAX_RULES,
+    observation: list | None = None,
 ) -> DataFrame:
     """Rows of ``data`` no rule of ``supercat`` labels, with the derived name columns.
 
     Adds ``brand`` (always null here), ``merchant_clr`` (normalised name
     prefix) and ``test_reg_exp`` (``pattern`` found in the normalised name).
+    If ``observation`` is a list, the Observation counting all labelled rows
+    is appended to it; it is filled by the first action on the result.
     """
     compiled = compile_rules(filter_eq_or_null(rules, "mcc_supercat", supercat), max_rules=max_rules)
-    # Same rows as labelling then keeping null labels, but the rules run once
-    # per row: a kept row's label is null by definition.
-    return (
-        data.filter(compiled.column.isNull())
-        .withColumn(brand, F.lit(None).cast("string"))
+    # Labelled rows are counted in flight. The filter on the label stays above
+    # that count, so the rules run once per row, in the labelling projection,
+    # and the label stays a data column (a literal null would turn the
+    # statistics' joins on it into joins without keys).
+    labelled, counted = observe_rows(label_by_rules(data, brand, compiled), "labelled")
+    out = (
+        unlabelled(labelled, brand)
         .withColumn("merchant_clr", normalised_prefix(name_col, prefix_len))
         .withColumn("test_reg_exp", pattern_extract(name_col, pattern))
     )
+    if observation is not None:
+        observation.append(counted)
+    return out
 
 
 def create_brands(
@@ -182,4 +194,7 @@ def create_brands(
     **kwargs: Any,
 ) -> Reports:
     """Label ``data`` with one super-category's rules and report on what stays unbranded."""
-    return reports(unbranded(data, rules, **kwargs), keys, reuse)
+    counted: list = []
+    out = reports(unbranded(data, rules, observation=counted, **kwargs), keys, reuse)
+    out.labelled = counted[0]
+    return out

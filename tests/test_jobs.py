@@ -68,8 +68,9 @@ def test_create_brands_reports_unbranded_rows(spark):
         ("fix price ", "", None),
         ("www.paypal", "www.paypal.ru", None),
     ]
-    rep = create_brands(data, rules)
+    rep = create_brands(data, rules, reuse=False)
     stats = rep.statistics.collect()
+    assert rep.labelled.get["rows"] == 3
     assert len(stats) == 2 and all(r["brand_count"] == 2 for r in stats)
     assert rep.statistics.columns[:7] == ["mcc_supercat", "brands_part", "mcc_name", "mcc_code", "brand",
                                           "test_reg_exp", "merchant_clr"]
