@@ -83,7 +83,9 @@ def count_statistics(df: DataFrame, *cols: str) -> DataFrame:
 
     Output: the key columns, then ``<col>_count`` for each, without the joint
     count; ordered by the marginals, largest first, in argument order. Null
-    keys form one group.
+    keys form one group. Keys should be data columns: for a literal column
+    (say ``lit(None)``), Spark folds the join key away and attaches the
+    one-row marginal without a key, which is linear but a nested-loop join.
     """
     return statistics_from_counts(group_counts(df, cols), cols)
 
