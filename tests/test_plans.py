@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from tallyrule.operators.classify import classify
 from tallyrule.operators.rules import label_by_rules
 from tallyrule.operators.stats import count_statistics
@@ -61,3 +63,8 @@ def test_no_registered_query_uses_a_forbidden_operator(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         found = [op for op in FORBIDDEN if op in plan]
         assert not found, (name, found)
+        # Nothing funnels through one partition, except a bounded top-k
+        # (the rule table's 999-row range).
+        assert "SinglePartition" not in plan, name
+        for limit in re.findall(r"TakeOrderedAndProject\(limit=(\d+)", plan):
+            assert int(limit) <= 999, (name, limit)
