@@ -68,3 +68,19 @@ def test_no_registered_query_uses_a_forbidden_operator(spark):
         assert "SinglePartition" not in plan, name
         for limit in re.findall(r"TakeOrderedAndProject\(limit=(\d+)", plan):
             assert int(limit) <= 999, (name, limit)
+
+
+def test_label_filter_prunes_result_directories(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from tallyrule.plans.table_queries import PART_SCHEMA
+    from tallyrule.sources import read_partitioned, write_partitioned
+
+    out = scratch("tree")
+    write_partitioned(classify(spark.read.parquet(PART), PART_SPEC), out, ["brands_part"])
+    df = read_partitioned(spark, out, PART_SCHEMA).filter(F.col("brands_part") == "promo_1")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(brands_part" in plan and "(brands_part#" in plan
+    assert df.count() == spark.read.parquet(PART).filter(
+        "p_type = 'PROMO' and p_brand in ('Brand#1', 'Brand#2')"
+    ).count()
