@@ -106,6 +106,36 @@ LINEITEM_SPEC_SQL = (
     "ELSE '0' END"
 )
 
+CUSTOMER_SPEC = Spec(
+    outer="c_mktsegment",
+    groups=(
+        Group("AUTOMOBILE", "auto", Tree((Rule(Expr("c_acctbal < 0"), 1), Rule(Expr("c_acctbal >= 5000"), 2)), default=3)),
+        Group("BUILDING", "build", Tree((Rule(Expr("c_nationkey < 10"), 1),), default=2)),
+    ),
+)
+
+CUSTOMER_SPEC_SQL = (
+    "CASE WHEN c_mktsegment IS NOT DISTINCT FROM 'AUTOMOBILE' THEN "
+    "CASE WHEN c_acctbal < 0 THEN 'auto_1' WHEN c_acctbal >= 5000 THEN 'auto_2' ELSE 'auto_3' END "
+    "WHEN c_mktsegment IS NOT DISTINCT FROM 'BUILDING' THEN "
+    "CASE WHEN c_nationkey < 10 THEN 'build_1' ELSE 'build_2' END "
+    "ELSE '0' END"
+)
+
+EVENT_RULES = [
+    (1, "event_type = 'purchase' and value >= 100", "big_purchase", "E", None),
+    (2, "event_type = 'error'", "error", "E", None),
+    (3, "props rlike '\"k\": 9[0-9]'", "k9x", "E", None),
+]
+
+DOCUMENT_RULES = [
+    (1, "lang = 'en' and n_chars > 20000", "long_en", "D", None),
+    (2, "source in ('src0', 'src1')", "early_source", "D", None),
+    (3, "text rlike '@'", "has_at", "D", None),
+]
+
+ARTICLE_PATTERN = r"(le|la|the|el|der)\W+\w+"
+
 PART_RULES = [
     (1, "p_name rlike 'red'", "R's", "A", "apostrophe in the label"),
     (2, "p_name rlike 'bolt|ring'", "M", "A", None),
@@ -199,6 +229,16 @@ def q_classify_lineitem(spark, sf_dir):
     return count_statistics(labelled, "l_returnflag", "l_linestatus", "brands_part")
 
 
+def q_classify_customer(spark, sf_dir):
+    labelled = classify(_t(spark, sf_dir, "customer"), CUSTOMER_SPEC)
+    return count_statistics(labelled, "c_mktsegment", "brands_part", "c_nationkey")
+
+
+def q_label_events(spark, sf_dir):
+    rules = spark.createDataFrame(EVENT_RULES, RULE_SCHEMA)
+    return count_group_by(label_by_rules(_t(spark, sf_dir, "events"), "brand", rules), "event_type", "brand")
+
+
 def q_filter_eq_or_null(spark, sf_dir):
     docs = _t(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     return filter_eq_or_null(docs.join(_t(spark, sf_dir, "labels"), "doc_id", "left"), "toxic")
@@ -347,6 +387,24 @@ def _brands(spark, sf_dir):
     )
 
 
+_DOCUMENT_KEYS = ("lang", "source", "brand", "test_reg_exp", "merchant_clr")
+
+
+def q_create_brands_documents(spark, sf_dir):
+    # The brand job over whole documents: rules, then prefix and pattern of
+    # the normalised text.
+    return create_brands(
+        _t(spark, sf_dir, "documents"),
+        spark.createDataFrame(DOCUMENT_RULES, RULE_SCHEMA),
+        keys=_DOCUMENT_KEYS,
+        reuse=False,
+        supercat="D",
+        name_col="text",
+        pattern=ARTICLE_PATTERN,
+        prefix_len=10,
+    ).statistics
+
+
 def q_create_brands(spark, sf_dir):
     return _brands(spark, sf_dir).statistics
 
@@ -362,6 +420,8 @@ QUERIES: dict[str, Query] = {
     "label_by_rules_sql": q_label_by_rules_sql,
     "classify": q_classify,
     "classify_lineitem": q_classify_lineitem,
+    "classify_customer": q_classify_customer,
+    "label_events": q_label_events,
     "filter_eq_or_null": q_filter_eq_or_null,
     "filter_eq_value": q_filter_eq_value,
     "filter_rlike_or_null": q_filter_rlike_or_null,
@@ -381,6 +441,7 @@ QUERIES: dict[str, Query] = {
     "check_result_groups": q_check_result_groups,
     "create_brands": q_create_brands,
     "create_brands_groups": q_create_brands_groups,
+    "create_brands_documents": q_create_brands_documents,
 }
 
 # --- oracle SQL (DuckDB) ----------------------------------------------------------
@@ -400,6 +461,16 @@ WHERE CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS INTEGER) > 12
 
 _BRAND_KEYS_SQL = ", ".join(_BRAND_KEYS)
 
+_UNBRANDED_DOCUMENTS = f"""
+SELECT lang, source, CAST(NULL AS VARCHAR) AS brand,
+       regexp_extract(trim(lower(text), ' '), '{ARTICLE_PATTERN}', 0) AS test_reg_exp,
+       substring(trim(lower(text), ' '), 1, 10) AS merchant_clr
+FROM documents
+WHERE NOT (lang = 'en' AND n_chars > 20000)
+  AND NOT (source IN ('src0', 'src1'))
+  AND NOT regexp_matches(text, '@')
+"""
+
 ORACLE: dict[str, str] = {
     "count_group_by": (
         "SELECT o_orderstatus, o_orderpriority, count(*) AS count FROM orders "
@@ -423,6 +494,17 @@ ORACLE: dict[str, str] = {
         f"SELECT l_returnflag, l_linestatus, {LINEITEM_SPEC_SQL} AS brands_part FROM lineitem",
         ["l_returnflag", "l_linestatus", "brands_part"],
     ),
+    "classify_customer": _marginals_sql(
+        f"SELECT c_mktsegment, {CUSTOMER_SPEC_SQL} AS brands_part, c_nationkey FROM customer",
+        ["c_mktsegment", "brands_part", "c_nationkey"],
+    ),
+    "label_events": (
+        "SELECT event_type, brand, count(*) AS count FROM (SELECT event_type, CASE "
+        "WHEN event_type = 'purchase' AND value >= 100 THEN 'big_purchase' "
+        "WHEN event_type = 'error' THEN 'error' "
+        "WHEN regexp_matches(props, '\"k\": 9[0-9]') THEN 'k9x' END AS brand FROM events) "
+        "GROUP BY event_type, brand"
+    ),
     "filter_eq_or_null": (
         "SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic "
         "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.toxic IS NULL"
@@ -479,4 +561,5 @@ ORACLE: dict[str, str] = {
     "create_brands_groups": (
         f"SELECT {_BRAND_KEYS_SQL}, count(*) AS count FROM ({_UNBRANDED}) GROUP BY {_BRAND_KEYS_SQL} ORDER BY count DESC"
     ),
+    "create_brands_documents": _marginals_sql(_UNBRANDED_DOCUMENTS, list(_DOCUMENT_KEYS)),
 }
