@@ -28,6 +28,7 @@ from tallyrule.operators.rows import drop_equal_rows, first_row, split_lines, wi
 from tallyrule.operators.rules import compile_rules, label_by_rules
 from tallyrule.operators.stats import count_group_by, count_statistics, rows_per_partition
 from tallyrule.plans.jobs import check_result, create_brands, create_clusters
+from tallyrule.plans.merchant_spec import SUPERCAT_PATTERNS
 from tallyrule.plans.schemas import RULE_SCHEMA
 from tallyrule.scratch import ensure_checkpoint_dir, scratch_path
 from tallyrule.sources.delimited import read_delimited, read_lines, read_partitioned, read_rules
@@ -257,6 +258,12 @@ def q_filter_none_rlike(spark, sf_dir):
     return filter_none_rlike(_t(spark, sf_dir, "part"), "p_name", ["red", "bolt"])
 
 
+def q_filter_none_rlike_default(spark, sf_dir):
+    # The twelve default super-category patterns, over whole texts.
+    docs = _t(spark, sf_dir, "documents")
+    return filter_none_rlike(docs, "text").select("doc_id", "lang", "source")
+
+
 def q_normalised_prefix(spark, sf_dir):
     docs = _t(spark, sf_dir, "documents")
     return docs.select("doc_id", normalised_prefix("text", 10).alias("prefix"))
@@ -426,6 +433,7 @@ QUERIES: dict[str, Query] = {
     "filter_eq_value": q_filter_eq_value,
     "filter_rlike_or_null": q_filter_rlike_or_null,
     "filter_none_rlike": q_filter_none_rlike,
+    "filter_none_rlike_default": q_filter_none_rlike_default,
     "normalised_prefix": q_normalised_prefix,
     "pattern_extract": q_pattern_extract,
     "elide_middle": q_elide_middle,
@@ -517,6 +525,10 @@ ORACLE: dict[str, str] = {
     "filter_none_rlike": (
         "SELECT * FROM part WHERE NOT regexp_matches(p_name, 'red') AND NOT regexp_matches(p_name, 'bolt')"
     ),
+    "filter_none_rlike_default": (
+        "SELECT doc_id, lang, source FROM documents WHERE "
+        + " AND ".join(f"NOT regexp_matches(text, '{p}')" for p in SUPERCAT_PATTERNS)
+    ),
     "normalised_prefix": "SELECT doc_id, substring(trim(lower(text), ' '), 1, 10) AS prefix FROM documents",
     "pattern_extract": (
         "SELECT page_id, regexp_extract(trim(lower(url), ' '), "
