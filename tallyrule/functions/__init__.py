@@ -5,6 +5,7 @@ from tallyrule.functions.columns import (
     clip_left,
     clip_right,
     elide_middle,
+    find,
     make_label,
     normalise,
     normalised_prefix,
@@ -18,6 +19,7 @@ __all__ = [
     "clip_left",
     "clip_right",
     "elide_middle",
+    "find",
     "make_label",
     "normalise",
     "normalised_prefix",

@@ -19,6 +19,22 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: Characters with a meaning in a Java regular expression.
+REGEX_META = frozenset("\\^$.|?*+()[]{}")
+
+
+def find(c: ColumnOrName, pattern: str) -> Column:
+    """Unanchored regex search of ``pattern`` in ``c`` (null for null).
+
+    A pattern without regex metacharacters matches exactly where it occurs as
+    a substring, so it is searched as one, which is cheaper on long texts.
+    """
+    col = _col(c)
+    if REGEX_META.isdisjoint(pattern):
+        return col.contains(pattern)
+    return col.rlike(pattern)
+
+
 def with_expr_column(df: DataFrame, name: str, sql: str) -> DataFrame:
     """Add or replace column ``name`` with the SQL expression ``sql``."""
     return df.withColumn(name, F.expr(sql))

@@ -21,7 +21,7 @@ from typing import Union
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyrule.functions.columns import make_label, put_first
+from tallyrule.functions.columns import find, make_label, put_first
 
 
 @dataclass(frozen=True)
@@ -43,7 +43,7 @@ class Matches:
     patterns: tuple[str, ...]
 
     def to_column(self) -> Column:
-        return reduce(lambda a, b: a | b, (F.col(self.column).rlike(p) for p in self.patterns))
+        return reduce(lambda a, b: a | b, (find(self.column, p) for p in self.patterns))
 
 
 @dataclass(frozen=True)

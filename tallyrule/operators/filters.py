@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyrule.functions.columns import find
+
 
 def filter_eq_or_null(df: DataFrame, col: str, value: str | None = None) -> DataFrame:
     """Rows where ``col <=> value``; with ``value=None`` rows where ``col`` is null."""
@@ -18,7 +20,7 @@ def filter_eq_or_null(df: DataFrame, col: str, value: str | None = None) -> Data
 def filter_rlike_or_null(df: DataFrame, col: str, pattern: str | None = None) -> DataFrame:
     """Rows where ``pattern`` is found in ``col`` (unanchored); with ``None`` rows where it is null."""
     c = F.col(col)
-    return df.filter(c.isNull() if pattern is None else c.rlike(pattern))
+    return df.filter(c.isNull() if pattern is None else find(c, pattern))
 
 
 def filter_none_rlike(df: DataFrame, col: str, patterns: Sequence[str] | None = None) -> DataFrame:
@@ -34,7 +36,7 @@ def filter_none_rlike(df: DataFrame, col: str, patterns: Sequence[str] | None =
     if not patterns:
         return df
     c = F.col(col)
-    return df.filter(reduce(lambda a, b: a & b, (~c.rlike(p) for p in patterns)))
+    return df.filter(reduce(lambda a, b: a & b, (~find(c, p) for p in patterns)))
 
 
 def unlabelled(df: DataFrame, col: str = "brand") -> DataFrame:

@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Characters that make a one-character separator a regex, not a literal.
-_REGEX_META = set("\\^$.|?*+()[]{}")
+from tallyrule.functions.columns import REGEX_META
 
 
 def split_lines(
@@ -35,7 +34,7 @@ def split_lines(
     elif isinstance(names, T.StructType):
         names = names.fieldNames()
     line = F.col(f"`{line_col or df.columns[0]}`")
-    if len(sep) == 1 and sep not in _REGEX_META:
+    if len(sep) == 1 and sep not in REGEX_META:
         # A single literal character: trimming it is the same as stripping
         # the regex and about twice as fast.
         stripped = F.rtrim(line, F.lit(sep))

@@ -61,3 +61,13 @@ def test_labels_and_projection(spark):
     assert df.select(make_label("home", 3)).first()[0] == "home_3"
     assert with_expr_column(df, "z", "x + 1").first()["z"] == 2
     assert put_first(df, "y", F.lit("new")).columns == ["y", "x"]
+
+
+def test_find_literal_and_regex_agree(spark):
+    from tallyrule.functions.columns import find
+
+    df = spark.createDataFrame([("a.b, c-d",), ("axb",), (None,), ("",)], "s string")
+    for p in ["a.b", r"a\.b", ", c-d", "c-d", "x", "", "^a", "b$"]:
+        got = [r[0] for r in df.select(find("s", p)).collect()]
+        want = [r[0] for r in df.select(df.s.rlike(p)).collect()]
+        assert got == want, p
