@@ -33,6 +33,7 @@ from tallyrule.plans.schemas import RULE_SCHEMA
 from tallyrule.scratch import ensure_checkpoint_dir, scratch_path
 from tallyrule.sources.delimited import read_delimited, read_lines, read_partitioned, read_rules
 from tallyrule.sources.sinks import write_partitioned, write_unpartitioned
+from tallyrule.streaming.clusters import stream_clusters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -366,6 +367,27 @@ def q_create_clusters(spark, sf_dir):
     return run.label_statistics
 
 
+def q_stream_clusters(spark, sf_dir):
+    # The cluster job as a stream over the same line files, run to completion.
+    lines = _part_lines(_t(spark, sf_dir, "part"))
+    source, target = _scratch(spark, "stream-lines"), _scratch(spark, "stream-clusters")
+    _write_lines(lines.select("line"), source)
+    drop = first_row(lines, "p_partkey")
+    query = stream_clusters(
+        spark,
+        source,
+        target,
+        spec=PART_SPEC,
+        schema=PART_LINE_SCHEMA,
+        drop_row=(drop["line"],),
+        checkpoint=_scratch(spark, "stream-checkpoint"),
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"stream failed: {query.exception()}")
+    return read_partitioned(spark, target, PART_LINE_SCHEMA)
+
+
 def q_check_result(spark, sf_dir):
     return check_result(
         spark, _classified_tree(spark, sf_dir), schema=PART_SCHEMA, keys=("p_type", "brands_part", "p_brand"), reuse=False
@@ -445,6 +467,7 @@ QUERIES: dict[str, Query] = {
     "read_rules": q_read_rules,
     "rows_per_partition": q_rows_per_partition,
     "create_clusters": q_create_clusters,
+    "stream_clusters": q_stream_clusters,
     "check_result": q_check_result,
     "check_result_groups": q_check_result_groups,
     "create_brands": q_create_brands,
@@ -561,6 +584,10 @@ ORACLE: dict[str, str] = {
         "WHERE p_partkey <> (SELECT min(p_partkey) FROM part)",
         ["p_type", "brands_part"],
     ),
+    "stream_clusters": (
+        "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size, "
+        f"{PART_SPEC_SQL} AS brands_part FROM part WHERE p_partkey <> (SELECT min(p_partkey) FROM part)"
+    ),
     "check_result": _marginals_sql(
         f"SELECT p_type, {PART_SPEC_SQL} AS brands_part, p_brand FROM part", ["p_type", "brands_part", "p_brand"]
     ),
