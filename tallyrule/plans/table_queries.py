@@ -147,6 +147,9 @@ PART_RULES = [
 
 NAME_PATTERN = r"(red|blue|small)*\W*(widget|gizmo)"
 
+#: Upper bound on the streaming query's run.
+STREAM_TIMEOUT_S = 3600
+
 
 def _part_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PART_RULES, RULE_SCHEMA)
@@ -382,7 +385,10 @@ def q_stream_clusters(spark, sf_dir):
         drop_row=(drop["line"],),
         checkpoint=_scratch(spark, "stream-checkpoint"),
     )
-    query.awaitTermination()
+    # Available-now streams stop by themselves; never wait forever.
+    if not query.awaitTermination(STREAM_TIMEOUT_S):
+        query.stop()
+        raise TimeoutError(f"stream did not finish within {STREAM_TIMEOUT_S} s")
     if query.exception() is not None:
         raise RuntimeError(f"stream failed: {query.exception()}")
     return read_partitioned(spark, target, PART_LINE_SCHEMA)
