@@ -134,3 +134,40 @@ def test_classify_matches_python_walk(spark):
         assert got == [_walk(spec, dict(zip("abc", r))) for r in rows]
 
     check()
+
+
+def test_merchant_tree_matches_python_walk(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    def values(spec_part):
+        out = set()
+        for g in MERCHANT_SPEC.groups:
+            stack = list(g.tree.rules)
+            while stack:
+                r = stack.pop()
+                if isinstance(r.when, IsIn) and r.when.column == spec_part:
+                    out.update(r.when.values)
+                if isinstance(r.then, Tree):
+                    stack.extend(r.then.rules)
+        return sorted(out)
+
+    supercats = [g.value for g in MERCHANT_SPEC.groups if g.value is not None]
+    field = lambda names: st.one_of(st.none(), st.sampled_from(names + ["junk"]))
+    row = st.tuples(
+        field(supercats),
+        field(values("mcc_cat")),
+        field(values("mcc_name")),
+        st.one_of(st.none(), st.sampled_from(["PAY MTS", "TELE2X", "beeline", "SHOP"])),
+    )
+
+    @settings(max_examples=10, deadline=None)
+    @given(st.lists(row, min_size=1, max_size=40))
+    def check(rows):
+        full = [merchant(s, c, name=nm, mcc_name=n) for s, c, n, nm in rows]
+        df = spark.createDataFrame(full, MERCHANT_SCHEMA)
+        got = [r[0] for r in classify(df, MERCHANT_SPEC).collect()]
+        want = [_walk(MERCHANT_SPEC, dict(zip(MERCHANT_FIELDS, r))) for r in full]
+        assert got == want
+
+    check()
