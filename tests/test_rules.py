@@ -97,3 +97,34 @@ def test_999_rules_label_matches_brute_force(spark):
         want = next((f"b{i}" for i in range(n) if v % (i + 2) == 0 and str(i % 10) in name), None)
         assert got[v] == want, v
     assert elapsed < 120
+
+
+PREDICATES = {
+    "size > 5": lambda v, s: v is not None and v > 5,
+    "size % 2 = 0": lambda v, s: v is not None and v % 2 == 0,
+    "name rlike 'a'": lambda v, s: s is not None and "a" in s,
+    "name = 'bb'": lambda v, s: s == "bb",
+    "size is null": lambda v, s: v is None,
+}
+
+
+def test_first_match_order_across_chunks(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    rule = st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.sampled_from(sorted(PREDICATES)),
+                     st.sampled_from(["x", "y", "z'q"]))
+    row = st.tuples(st.one_of(st.none(), st.integers(0, 9)), st.one_of(st.none(), st.sampled_from(["a", "bb", "ca", ""])))
+
+    @settings(max_examples=10, deadline=None)
+    @given(st.lists(rule, max_size=8), st.lists(row, min_size=1, max_size=20), st.integers(1, 3))
+    def check(rules, rows, chunk):
+        table = spark.createDataFrame([(n, e, b, "A", None) for n, e, b in rules], RULE_SCHEMA)
+        data = spark.createDataFrame(rows, "size int, name string")
+        got = [r["brand"] for r in data.withColumn("brand", compile_rules(table, chunk_size=chunk).column).collect()]
+        # num ascending with nulls last, then predicate text, then label
+        order = sorted(rules, key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
+        want = [next((b.replace("'", "`") for _, e, b in order if PREDICATES[e](v, s)), None) for v, s in rows]
+        assert got == want
+
+    check()
