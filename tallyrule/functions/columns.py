@@ -36,27 +36,27 @@ def find(c: ColumnOrName, pattern: str) -> Column:
 
 
 def with_expr_column(df: DataFrame, name: str, sql: str) -> DataFrame:
-    """Add or replace column ``name`` with the SQL expression ``sql``."""
+    """Add or replace column ``name`` with the SQL expression ``sql``."""
     return df.withColumn(name, F.expr(sql))
 
 
 def make_label(name: str, num: int) -> Column:
-    """Label ``"<name>_<num>"`` as a (constant-folded) string column."""
+    """Label ``"<name>_<num>"`` as a (constant-folded) string column."""
     return F.concat_ws("_", F.lit(name), F.lit(num).cast("string"))
 
 
 def clip_left(c: ColumnOrName, n: int) -> Column:
-    """First ``n`` characters; ``n < 0`` gives ``""``, ``n`` past the end the whole text."""
+    """First ``n`` characters; ``n < 0`` gives ``""``, ``n`` past the end the whole text."""
     return F.left(_col(c), F.lit(max(n, 0)))
 
 
 def clip_right(c: ColumnOrName, n: int) -> Column:
-    """Last ``n`` characters, with the same clamps as :func:`clip_left`."""
+    """Last ``n`` characters, with the same clamps as :func:`clip_left`."""
     return F.right(_col(c), F.lit(max(n, 0)))
 
 
 def elide_middle(c: ColumnOrName, n: int) -> Column:
-    """Keep ``n // 2`` characters from each end joined by :data:`ELISION`.
+    """Keep ``n // 2`` characters from each end joined by :data:`ELISION`. (P5)
 
     Applies only when ``0 <= n <= length``; otherwise the text is unchanged.
     The marker is inserted even when ``n`` equals the length.
@@ -76,15 +76,15 @@ def normalise(c: ColumnOrName) -> Column:
 
 
 def normalised_prefix(c: ColumnOrName, n: int) -> Column:
-    """First ``n`` characters of the normalised text."""
+    """First ``n`` characters of the normalised text."""
     return F.substring(normalise(c), 1, n)
 
 
 def pattern_extract(c: ColumnOrName, pattern: str, group: int = 0) -> Column:
-    """Regex match in the normalised text; ``""`` when nothing matches, null for null."""
+    """Regex match in the normalised text; ``""`` when nothing matches, null for null."""
     return F.regexp_extract(normalise(c), pattern, group)
 
 
 def put_first(df: DataFrame, name: str, col: Column) -> DataFrame:
-    """Project ``col`` as ``name`` ahead of the existing columns."""
+    """Project ``col`` as ``name`` ahead of the existing columns."""
     return df.select(col.alias(name), *[F.col(f"`{c}`") for c in df.columns if c != name])

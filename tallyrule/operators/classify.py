@@ -135,5 +135,5 @@ def label_column(spec: Spec) -> Column:
 
 
 def classify(df: DataFrame, spec: Spec, name: str = "brands_part") -> DataFrame:
-    """Label every row by ``spec``; the label column comes first."""
+    """Label every row by ``spec``; the label column comes first."""
     return put_first(df, name, label_column(spec))

@@ -12,19 +12,19 @@ from tallyrule.functions.columns import find
 
 
 def filter_eq_or_null(df: DataFrame, col: str, value: str | None = None) -> DataFrame:
-    """Rows where ``col <=> value``; with ``value=None`` rows where ``col`` is null."""
+    """Rows where ``col <=> value``; with ``value=None`` rows where ``col`` is null."""
     c = F.col(col)
     return df.filter(c.isNull() if value is None else c.eqNullSafe(value))
 
 
 def filter_rlike_or_null(df: DataFrame, col: str, pattern: str | None = None) -> DataFrame:
-    """Rows where ``pattern`` is found in ``col`` (unanchored); with ``None`` rows where it is null."""
+    """Rows where ``pattern`` is found in ``col`` (unanchored); with ``None`` rows where it is null."""
     c = F.col(col)
     return df.filter(c.isNull() if pattern is None else find(c, pattern))
 
 
 def filter_none_rlike(df: DataFrame, col: str, patterns: Sequence[str] | None = None) -> DataFrame:
-    """Rows where none of ``patterns`` is found in ``col``.
+    """Rows where none of ``patterns`` is found in ``col``.
 
     A null ``col`` is dropped too: ``NOT (null RLIKE p)`` is null. The default
     patterns are the twelve merchant super-categories.
@@ -40,5 +40,5 @@ def filter_none_rlike(df: DataFrame, col: str, patterns: Sequence[str] | None =
 
 
 def unlabelled(df: DataFrame, col: str = "brand") -> DataFrame:
-    """Rows no rule labelled."""
+    """Rows no rule labelled."""
     return df.filter(F.col(col).isNull())

@@ -23,7 +23,7 @@ def split_lines(
     names: Sequence[str] | T.StructType | int = 17,
     line_col: str | None = None,
 ) -> DataFrame:
-    """Split one text column by the regex ``sep`` into exactly ``len(names)`` columns.
+    """Split one text column by the regex ``sep`` into exactly ``len(names)`` columns.
 
     Trailing empty parts are discarded before counting, so a line whose last
     field is empty falls short and is dropped, like every line with a
@@ -53,7 +53,7 @@ def split_lines(
 
 
 def with_schema(df: DataFrame, schema: T.StructType, cast: bool = True) -> DataFrame:
-    """Attach ``schema`` to the columns of ``df`` by position."""
+    """Attach ``schema`` to the columns of ``df`` by position. (R2)"""
     if len(df.columns) != len(schema.fields):
         raise ValueError(f"frame has {len(df.columns)} columns, schema {len(schema.fields)}")
     cols = []
@@ -68,12 +68,12 @@ def with_schema(df: DataFrame, schema: T.StructType, cast: bool = True) -> DataF
 
 
 def relabel(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rename the columns of ``df`` by position; types must already agree."""
+    """Rename the columns of ``df`` by position; types must already agree."""
     return with_schema(df, schema, cast=False)
 
 
 def first_row(df: DataFrame, *order_by: Any) -> Row | None:
-    """The first row, or ``None`` for an empty frame.
+    """The first row, or ``None`` for an empty frame. (F1)
 
     Without ``order_by`` this is whatever row Spark reads first; pass an
     ordering when the choice must be stable.
@@ -82,7 +82,7 @@ def first_row(df: DataFrame, *order_by: Any) -> Row | None:
 
 
 def drop_equal_rows(df: DataFrame, row: Row | Mapping[str, Any] | Sequence[Any] | None) -> DataFrame:
-    """Drop every row equal to ``row`` (null-safe, all columns); ``None`` keeps all."""
+    """Drop every row equal to ``row`` (null-safe, all columns); ``None`` keeps all. (F2)"""
     if row is None:
         return df
     if isinstance(row, Row):

@@ -64,7 +64,7 @@ def compile_rules(
     max_rules: int = MAX_RULES,
     chunk_size: int = CHUNK_SIZE,
 ) -> CompiledRules:
-    """Compile ``rules`` into a first-match column and its SQL text.
+    """Compile ``rules`` into a first-match column and its SQL text.
 
     Rules are ordered by ``order_col`` (nulls last), then by predicate text, so
     the result never depends on how the table is partitioned. A rule with a
@@ -111,6 +111,6 @@ def label_by_rules(
     expr_col: str = "reg_exp",
     max_rules: int = MAX_RULES,
 ) -> DataFrame:
-    """Add or replace column ``name`` with the first matching rule's label."""
+    """Add or replace column ``name`` with the first matching rule's label."""
     compiled = rules if isinstance(rules, CompiledRules) else compile_rules(rules, brand_col, expr_col, max_rules=max_rules)
     return df.withColumn(name, compiled.column)

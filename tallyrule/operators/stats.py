@@ -44,7 +44,7 @@ def groups_from_counts(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def count_group_by(df: DataFrame, *cols: str) -> DataFrame:
-    """Rows per key tuple, largest first; the key columns then ``count``.
+    """Rows per key tuple, largest first; the key columns then ``count``. (A1, O1)
 
     Ties are ordered by the keys so the sort is total and range partitions
     stay balanced. With no columns the result is the total row count.
@@ -79,7 +79,7 @@ def statistics_from_counts(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def count_statistics(df: DataFrame, *cols: str) -> DataFrame:
-    """For each key tuple, the total rows of each of its key values.
+    """For each key tuple, the total rows of each of its key values.
 
     Output: the key columns, then ``<col>_count`` for each, without the joint
     count; ordered by the marginals, largest first, in argument order. Null
@@ -91,18 +91,18 @@ def count_statistics(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def count_rows(df: DataFrame) -> int:
-    """Total row count (one job)."""
+    """Total row count (one job). (A3)"""
     return df.count()
 
 
 def observe_rows(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
-    """Count rows as a side effect of the next action on the returned frame."""
+    """Count rows as a side effect of the next action on the returned frame. (A3)"""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
 def rows_per_partition(df: DataFrame) -> DataFrame:
-    """Rows in each partition of ``df``: ``partition_id``, ``rows``."""
+    """Rows in each partition of ``df``: ``partition_id``, ``rows``."""
     return (
         df.select(F.spark_partition_id().alias("partition_id"))
         .groupBy("partition_id")
@@ -111,5 +111,5 @@ def rows_per_partition(df: DataFrame) -> DataFrame:
 
 
 def peek(df: DataFrame, n: int = 20) -> DataFrame:
-    """At most ``n`` rows for display."""
+    """At most ``n`` rows for display. (L1)"""
     return df.limit(n)

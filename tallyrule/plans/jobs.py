@@ -91,7 +91,7 @@ def create_clusters(
     reuse: bool | None = None,
     **write_options: str,
 ) -> ClusterRun:
-    """Raw tab lines → typed rows → labels → tree partitioned by label.
+    """Raw tab lines → typed rows → labels → tree partitioned by label.
 
     Each file's header line is consumed; then ``drop_row`` (by default the
     first remaining row) and every line equal to it are removed. Lines that do
@@ -138,7 +138,7 @@ def check_result(
     reuse: bool | None = None,
     **read_options: str,
 ) -> Reports:
-    """Statistics and group counts over a tree written by :func:`create_clusters`."""
+    """Statistics and group counts over a tree written by :func:`create_clusters`."""
     return reports(read_partitioned(spark, path, schema, label, **read_options), keys, reuse)
 
 
@@ -193,7 +193,7 @@ def create_brands(
     reuse: bool | None = None,
     **kwargs: Any,
 ) -> Reports:
-    """Label ``data`` with one super-category's rules and report on what stays unbranded."""
+    """Label ``data`` with one super-category's rules and report on what stays unbranded."""
     counted: list = []
     out = reports(unbranded(data, rules, observation=counted, **kwargs), keys, reuse)
     out.labelled = counted[0]

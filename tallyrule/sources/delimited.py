@@ -33,7 +33,7 @@ def read_delimited(
     infer_schema: bool = False,
     **options: str,
 ) -> DataFrame:
-    """Read rows under ``schema``; defaults are tab-separated UTF-8 with a header.
+    """Read rows under ``schema``; defaults are tab-separated UTF-8 with a header.
 
     ``\\N`` and other null markers stay text unless ``nullValue`` is passed.
     Any Spark format works; the delimited options apply to ``csv`` only.
@@ -52,7 +52,7 @@ def read_partitioned(
     mode: str | None = "PERMISSIVE",
     **kwargs,
 ) -> DataFrame:
-    """Read a tree written by :func:`write_partitioned` (or the stream) from its root.
+    """Read a tree written by :func:`write_partitioned` (or the stream) from its root.
 
     The label comes back from the directory names as a string column after the
     data columns. Trees written by this library hold well-formed rows only, so
@@ -73,7 +73,7 @@ def read_lines(
     quote: str = '"',
     **options: str,
 ) -> DataFrame:
-    """Whole lines as one string column named by the header line.
+    """Whole lines as one string column named by the header line.
 
     The lines go through the delimited reader with a separator that should not
     occur, so a tab-separated line lands in one column. Consequences of the
@@ -99,7 +99,7 @@ def read_rules(
     schema: T.StructType = RULE_SCHEMA,
     **options: str,
 ) -> DataFrame:
-    """Read a rule table under ``schema``; empty text cells become null.
+    """Read a rule table under ``schema``; empty text cells become null. (S3)
 
     Like a sheet range of one header row and 999 data rows, at most
     ``max_rules`` rules are kept, the lowest ``num`` first (``None``: all).

@@ -48,7 +48,7 @@ def write_partitioned(
     rebalance: bool = True,
     **options: str,
 ) -> None:
-    """Write ``df`` under ``path`` with one directory per value of ``cols``.
+    """Write ``df`` under ``path`` with one directory per value of ``cols``.
 
     ``salt`` forces a fixed number of hash buckets per label instead of the
     adaptive rebalance; ``maxRecordsPerFile`` can be passed to bound files.
@@ -79,7 +79,7 @@ def write_unpartitioned(
     sep: str = "\t",
     **options: str,
 ) -> None:
-    """Write ``df`` as one directory of files sized by adaptive execution.
+    """Write ``df`` as one directory of files sized by adaptive execution.
 
     Small frames come out as a single file; large ones are never funnelled
     through one task.
