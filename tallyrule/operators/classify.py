@@ -92,6 +92,21 @@ class Spec:
     groups: tuple[Group, ...]
     fallback: str = "0"
 
+    def columns(self) -> set[str]:
+        """Columns the spec reads (``Expr`` conditions are not inspected)."""
+        out = {self.outer}
+
+        def walk(tree: Tree) -> None:
+            for r in tree.rules:
+                if not isinstance(r.when, Expr):
+                    out.add(r.when.column)
+                if isinstance(r.then, Tree):
+                    walk(r.then)
+
+        for g in self.groups:
+            walk(g.tree)
+        return out
+
     def labels(self) -> list[str]:
         """Every label the spec can produce, fallback last."""
         out: list[str] = []
@@ -136,4 +151,7 @@ def label_column(spec: Spec) -> Column:
 
 def classify(df: DataFrame, spec: Spec, name: str = "brands_part") -> DataFrame:
     """Label every row by ``spec``; the label column comes first."""
+    missing = sorted(spec.columns() - set(df.columns))
+    if missing:
+        raise ValueError(f"spec reads columns the frame lacks: {missing}")
     return put_first(df, name, label_column(spec))

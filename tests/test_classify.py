@@ -171,3 +171,12 @@ def test_merchant_tree_matches_python_walk(spark):
         assert got == want
 
     check()
+
+
+def test_missing_spec_columns_are_named(spark):
+    import pytest
+
+    df = spark.createDataFrame([("a",)], "mcc_supercat string")
+    with pytest.raises(ValueError, match="mcc_cat"):
+        classify(df, MERCHANT_SPEC)
+    assert MERCHANT_SPEC.columns() == {"mcc_supercat", "mcc_cat", "mcc_name", "merchant_nm"}
