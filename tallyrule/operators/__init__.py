@@ -5,6 +5,7 @@ from tallyrule.operators.filters import filter_eq_or_null, filter_none_rlike, fi
 from tallyrule.operators.rows import drop_equal_rows, first_row, relabel, split_lines, with_schema
 from tallyrule.operators.rules import MAX_RULES, CompiledRules, RuleTableError, compile_rules, label_by_rules
 from tallyrule.operators.stats import (
+    coarser_counts,
     count_group_by,
     count_rows,
     count_statistics,
@@ -21,6 +22,6 @@ __all__ = [
     "filter_eq_or_null", "filter_none_rlike", "filter_rlike_or_null", "unlabelled",
     "drop_equal_rows", "first_row", "relabel", "split_lines", "with_schema",
     "MAX_RULES", "CompiledRules", "RuleTableError", "compile_rules", "label_by_rules",
-    "count_group_by", "count_rows", "count_statistics", "group_counts", "groups_from_counts",
+    "coarser_counts", "count_group_by", "count_rows", "count_statistics", "group_counts", "groups_from_counts",
     "observe_rows", "peek", "rows_per_partition", "statistics_from_counts",
 ]
