@@ -56,7 +56,12 @@ class IsNull:
 
 @dataclass(frozen=True)
 class Expr:
-    """Any SQL predicate over the row."""
+    """Any SQL predicate over the row.
+
+    Under ANSI mode, comparing a text field with a number casts the text to
+    the number's type and fails on values like ``'31.0'`` against an integer;
+    cast explicitly, e.g. ``cast(qty as double) > 25``.
+    """
 
     sql: str
 
