@@ -84,3 +84,17 @@ def test_label_filter_prunes_result_directories(spark, scratch):
     assert df.count() == spark.read.parquet(PART).filter(
         "p_type = 'PROMO' and p_brand in ('Brand#1', 'Brand#2')"
     ).count()
+
+
+def test_reused_reports_read_the_checkpoint_not_the_tree(spark, scratch):
+    from tallyrule.plans.jobs import check_result
+    from tallyrule.plans.table_queries import PART_SCHEMA
+    from tallyrule.sources import write_partitioned
+
+    out = scratch("tree")
+    write_partitioned(classify(spark.read.parquet(PART), PART_SPEC), out, ["brands_part"])
+    rep = check_result(spark, out, schema=PART_SCHEMA, keys=("p_type", "brands_part", "p_brand"), reuse=True)
+    for df in (rep.statistics, rep.groups):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan" not in plan, plan
+        assert df.count() > 0
