@@ -98,3 +98,16 @@ def test_reused_reports_read_the_checkpoint_not_the_tree(spark, scratch):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "FileScan" not in plan, plan
         assert df.count() > 0
+
+
+def test_cluster_job_reports_read_the_checkpoint(spark, scratch):
+    from tallyrule.plans.jobs import create_clusters
+    from tallyrule.plans.table_queries import PART_LINE_SCHEMA, _part_lines, _write_lines
+
+    src = scratch("lines")
+    _write_lines(_part_lines(spark.read.parquet(PART)).select("line"), src)
+    run = create_clusters(spark, src, scratch("out"), spec=PART_SPEC, schema=PART_LINE_SCHEMA, drop_row=None)
+    for df in (run.input_statistics, run.label_statistics):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan" not in plan, plan
+    assert sum(r[1] for r in run.input_statistics.collect()) == run.rows_written == 2000
