@@ -86,3 +86,22 @@ def test_literal_and_regex_separators_agree(spark):
     assert lit == rgx == [("a", "b"), ("a", "b")]
     # "." is a regex: every character is a separator, so nothing is left.
     assert split_lines(lines(spark, ["a.b"]), ".", 2).count() == 0
+
+
+def test_drop_equal_rows_matches_python_filter(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    cell = st.one_of(st.none(), st.sampled_from(["h", "x", ""]))
+    num = st.one_of(st.none(), st.integers(0, 2))
+
+    @settings(max_examples=10, deadline=None)
+    @given(st.lists(st.tuples(cell, num), min_size=1, max_size=25), st.data())
+    def check(rows, data):
+        target = data.draw(st.sampled_from(rows))
+        df = spark.createDataFrame(rows, "k string, v int")
+        got = sorted(map(tuple, drop_equal_rows(df, target).collect()), key=repr)
+        want = sorted([r for r in rows if r != target], key=repr)  # None == None, as <=> does
+        assert got == want
+
+    check()
