@@ -71,3 +71,30 @@ def test_find_literal_and_regex_agree(spark):
         got = [r[0] for r in df.select(find("s", p)).collect()]
         want = [r[0] for r in df.select(df.s.rlike(p)).collect()]
         assert got == want, p
+
+
+def _left(s, n):
+    return s[: max(0, min(n, len(s)))]
+
+
+def _right(s, n):
+    k = max(0, min(n, len(s)))
+    return s[len(s) - k :]
+
+
+def _both(s, n):
+    return _left(s, n // 2) + ELISION + _right(s, n // 2) if 0 <= n <= len(s) else s
+
+
+def test_clipping_matches_python_model(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=10, deadline=None)
+    @given(st.lists(st.text(alphabet="abcé ñ\t", max_size=12), min_size=1, max_size=15), st.integers(-3, 15))
+    def check(texts, n):
+        df = spark.createDataFrame([(t,) for t in texts], "s string")
+        got = [tuple(r) for r in df.select(clip_left("s", n), clip_right("s", n), elide_middle("s", n)).collect()]
+        assert got == [(_left(t, n), _right(t, n), _both(t, n)) for t in texts]
+
+    check()
