@@ -98,3 +98,27 @@ def test_clipping_matches_python_model(spark):
         assert got == [(_left(t, n), _right(t, n), _both(t, n)) for t in texts]
 
     check()
+
+
+def test_filters_match_python_model(spark):
+    import re
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    patterns = ["ab", "^b", "c$", "a.c"]
+
+    @settings(max_examples=10, deadline=None)
+    @given(st.lists(st.one_of(st.none(), st.text(alphabet="abc", max_size=5)), min_size=1, max_size=25),
+           st.one_of(st.none(), st.sampled_from(["ab", "", "c"])), st.one_of(st.none(), st.sampled_from(patterns)))
+    def check(values, value, pattern):
+        df = spark.createDataFrame([(v,) for v in values], "c string")
+        eq = sorted(r[0] or "" for r in filter_eq_or_null(df, "c", value).collect())
+        assert eq == sorted(v or "" for v in values if v == value)
+        rl = sorted(r[0] or "" for r in filter_rlike_or_null(df, "c", pattern).collect())
+        want = [v for v in values if (v is None if pattern is None else v is not None and re.search(pattern, v))]
+        assert rl == sorted(v or "" for v in want)
+        none = sorted(r[0] for r in filter_none_rlike(df, "c", patterns).collect())
+        assert none == sorted(v for v in values if v is not None and not any(re.search(p, v) for p in patterns))
+
+    check()
