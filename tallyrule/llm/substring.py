@@ -108,35 +108,60 @@ def _questions(chunk: list[tuple[int, int, np.ndarray, np.ndarray]], blocks: int
     return pd.DataFrame(out, columns=["block", "ids", "texts", "counts", "places", "seeds"])
 
 
-def _answers(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of one block: for each document the places of seeds that a smaller id has."""
-    doc, text, place, seed, sure = [], [], [], [], []
-    for ids, texts, counts, places, h in zip(*(pdf[c] for c in ("ids", "texts", "counts", "places", "seeds")), strict=True):
-        n = _unpack(counts, np.int32)
-        doc.append(np.repeat(_unpack(ids, np.int64), n))
-        text.append(np.repeat(np.frombuffer(texts, np.int32), n))
-        place.append(_unpack(places, np.int32))
-        sure.append(np.full(place[-1].size, h is None))
-        seed.append(np.zeros(place[-1].size, np.uint64) if h is None else np.frombuffer(h, np.uint64))
-    doc, text, place, seed, sure = map(np.concatenate, (doc, text, place, seed, sure))
+def _answers(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
+    """Of one block: the places of seeds that a smaller id has, packed by part of the documents."""
+    doc, text, place = _opened(pdf)
+    sure = np.concatenate([np.full(_unpack(c, np.int32).sum(), h is None) for c, h in zip(pdf["counts"], pdf["seeds"], strict=True)])
+    seed = np.zeros(doc.size, dtype=np.uint64)
+    seed[~sure] = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(h, np.uint64) for h in pdf["seeds"] if h is not None)])
     order = np.flatnonzero(~sure)
     order = order[np.lexsort((doc[order], seed[order]))]
     new = np.diff(seed[order], prepend=np.uint64(0)) != 0
     new[:1] = True
     least = doc[order][new][np.cumsum(new) - 1]
     hit = np.concatenate((order[doc[order] > least], np.flatnonzero(sure)))
-    hit = hit[np.lexsort((place[hit], text[hit], doc[hit]))]
-    d, t, p = doc[hit], text[hit], place[hit]
-    at = np.flatnonzero((np.diff(d, prepend=0) != 0) | (np.diff(t, prepend=0) != 0) | (np.arange(d.size) == 0))
-    ends = np.concatenate((at[1:], [d.size])).astype(int)
-    rows = [(int(d[a]), int(t[a]), _pack(p[a:b])) for a, b in zip(at, ends, strict=True)] if d.size else []
+    part = ((doc[hit].astype(np.uint64) * np.uint64(_ODD[0]) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    by = np.lexsort((place[hit], text[hit], doc[hit], part))
+    hit, part = hit[by], part[by]
+    out = []
+    for q in np.split(np.arange(hit.size), np.flatnonzero(np.diff(part)) + 1):
+        if q.size:
+            d, t = doc[hit[q]], text[hit[q]]
+            at = np.flatnonzero(_changes(d, t))
+            counts = np.diff(at, append=q.size).astype(np.int32)
+            out.append((int(part[q[0]]), _pack(d[at]), t[at].tobytes(), _pack(counts), _pack(place[hit[q]])))
+    return pd.DataFrame(out, columns=["part", "ids", "texts", "counts", "places"])
+
+
+def _changes(doc: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Where the next document begins."""
+    new = np.ones(doc.size, dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])
+    return new
+
+
+def _opened(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, version and place of every seed in packed rows."""
+    counts = [_unpack(c, np.int32) for c in pdf["counts"]]
+    doc = [np.repeat(_unpack(x, np.int64), n) for x, n in zip(pdf["ids"], counts, strict=True)]
+    text = [np.repeat(np.frombuffer(x, np.int32), n) for x, n in zip(pdf["texts"], counts, strict=True)]
+    return np.concatenate(doc), np.concatenate(text), np.concatenate([_unpack(x, np.int32) for x in pdf["places"]])
+
+
+def _gathered(pdf: pd.DataFrame) -> pd.DataFrame:
+    """All blocks' answers for a part of the documents: one row a document."""
+    doc, text, place = _opened(pdf)
+    by = np.lexsort((place, text, doc))
+    doc, text, place = doc[by], text[by], place[by]
+    at = np.flatnonzero(_changes(doc, text))
+    rows = [(int(doc[a]), int(text[a]), _pack(place[a:b])) for a, b in zip(at, [*at[1:], doc.size], strict=True)]
     return pd.DataFrame(rows, columns=["doc", "version", "hits"]).astype({"doc": "int64", "version": "int32"})
 
 
 def duplicate_positions(
     docs: DataFrame, doc_id: str, text: str, min_words: int, block_bytes: int, chunk_seeds: int
 ) -> DataFrame:
-    """``(doc, version, hits)``: packed places of seeds that an earlier document has; several rows a document.
+    """``(doc, version, hits)``: packed places of seeds that an earlier document has, one row a document.
 
     ``version`` is a hash of the text, which tells rows sharing an id apart.
     """
@@ -164,7 +189,11 @@ def duplicate_positions(
     return (
         asked.mapInPandas(ask, "block long, ids binary, texts binary, counts binary, places binary, seeds binary")
         .groupBy("block")
-        .applyInPandas(_answers, "doc long, version int, hits binary")
+        .applyInPandas(
+            lambda pdf: _answers(pdf, blocks), "part long, ids binary, texts binary, counts binary, places binary"
+        )
+        .groupBy("part")
+        .applyInPandas(_gathered, "doc long, version int, hits binary")
     )
 
 
@@ -198,17 +227,14 @@ def duplicate_spans(
     docs = docs.drop("n_words", "n_removed", "spans", "kept")
     found = duplicate_positions(docs, doc_id, text, min_words, block_bytes, chunk_seeds)
     d, v, hits = fresh_name(docs, "d"), fresh_name(docs, "v"), fresh_name(docs, "hits")
-    lists = found.groupBy(F.col("doc").alias(d), F.col("version").alias(v)).agg(F.collect_list("hits").alias(hits))
+    lists = found.select(F.col("doc").alias(d), F.col("version").alias(v), F.col("hits").alias(hits))
 
     @F.pandas_udf("n_words long, n_removed long, spans array<struct<from: int, to: int>>, kept string")
     def parse(texts: pd.Series, blobs: pd.Series) -> pd.DataFrame:
         rows = []
-        for t, parts in zip(texts, blobs, strict=True):
+        for t, places in zip(texts, blobs, strict=True):
             words = (t or "").encode().split()
-            spans = []
-            if parts is not None:
-                at = np.unique(np.concatenate([_unpack(x, np.int32) for x in parts]))
-                spans = _join(factors(at, min_words))
+            spans = [] if places is None else _join(factors(np.unique(_unpack(places, np.int32)), min_words))
             left, end = [], 0
             for a, b in spans:
                 left += words[end:a]
