@@ -156,7 +156,10 @@ def label_column(spec: Spec) -> Column:
 
 def classify(df: DataFrame, spec: Spec, name: str = "brands_part") -> DataFrame:
     """Label every row by ``spec``; the label column comes first."""
-    missing = sorted(spec.columns() - set(df.columns))
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+    same = str if exact else str.lower
+    held = {same(c) for c in df.columns}
+    missing = sorted(c for c in spec.columns() if same(c) not in held)
     if missing:
         raise ValueError(f"spec reads columns the frame lacks: {missing}")
     return put_first(df, name, label_column(spec))

@@ -52,21 +52,36 @@ def split_lines(
     )
 
 
-def with_schema(df: DataFrame, schema: T.StructType, cast: bool = True) -> DataFrame:
-    """Attach ``schema`` to the columns of ``df`` by position. (R2)"""
+def with_schema(df: DataFrame, schema: T.StructType, cast: bool = True, tolerant: bool = False) -> DataFrame:
+    """Attach ``schema`` to the columns of ``df`` by position. (R2)
+
+    A field that does not fit its type is an error; with ``tolerant`` it
+    becomes null, and :func:`cast_failures` counts such fields.
+    """
     if len(df.columns) != len(schema.fields):
         raise ValueError(f"frame has {len(df.columns)} columns, schema {len(schema.fields)}")
     cols = []
     for c, f in zip(df.columns, schema.fields):
         col = F.col(f"`{c}`")
         if cast:
-            col = col.cast(f.dataType)
+            col = col.try_cast(f.dataType) if tolerant else col.cast(f.dataType)
         elif df.schema[c].dataType != f.dataType:
             raise TypeError(f"column {c} is {df.schema[c].dataType}, schema says {f.dataType}")
         cols.append(col.alias(f.name))
     return df.select(*cols)
 
 
+def cast_failures(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row: for each field of ``schema``, the values of ``df`` that a tolerant cast makes null."""
+    pairs = list(zip(df.columns, schema.fields))
+    return df.agg(
+        *[
+            F.count(F.when(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(f.dataType).isNull(), 1)).alias(f.name)
+            for c, f in pairs
+        ]
+    )
+
+
 def relabel(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Rename the columns of ``df`` by position; types must already agree."""
     return with_schema(df, schema, cast=False)

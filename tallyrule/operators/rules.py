@@ -56,6 +56,11 @@ def _safe_label(brand: str) -> str:
     return brand.replace("'", "`")
 
 
+def _in_sql(label: str) -> str:
+    # A backslash in SQL text would escape what follows it.
+    return label.replace("\\", "\\\\")
+
+
 def compile_rules(
     rules: DataFrame,
     brand_col: str = "brand",
@@ -92,7 +97,7 @@ def compile_rules(
     # each chunk compiles to its own method instead of one oversized one.
     chunks = [_case(compiled[i : i + chunk_size]) for i in range(0, len(compiled), chunk_size)]
     column = chunks[0] if len(chunks) == 1 else F.coalesce(*chunks)
-    sql = "case " + "\n".join(f"when {e} then '{b}'" for _, e, b in compiled) + " end"
+    sql = "case " + "\n".join(f"when {e} then '{_in_sql(b)}'" for _, e, b in compiled) + " end"
     return CompiledRules(column, sql, compiled)
 
 

@@ -38,9 +38,9 @@ def coarser_counts(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def groups_from_counts(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A1 over precomputed :func:`group_counts`."""
-    return counts.select(*[_c(c) for c in cols], _c(_N).alias("count")).orderBy(
-        F.col("count").desc(), *[_c(c).asc() for c in cols]
-    )
+    # Sorted before the rename: a key may itself be called ``count``.
+    ordered = counts.orderBy(_c(_N).desc(), *[_c(c).asc() for c in cols])
+    return ordered.select(*[_c(c) for c in cols], _c(_N).alias("count"))
 
 
 def count_group_by(df: DataFrame, *cols: str) -> DataFrame:

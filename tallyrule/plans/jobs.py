@@ -1,14 +1,13 @@
 """The three jobs: cluster raw lines, check a written result, find unbranded rows.
 
-Each job is lazy except where it must act: the cluster job writes its result
-and reads the statistics back from what it wrote (the written tree is the
-lineage cut, so no report replays the raw input), and the brand job collects
-its bounded rule set once.
+Each job is lazy except where it must act: the cluster job stages its labelled
+rows, writes its result and counts from the stage (so no report replays the raw
+input), and the brand job collects its bounded rule set once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -29,13 +28,16 @@ from tallyrule.operators.stats import (
 )
 from tallyrule.plans.merchant_spec import BRAND_PATTERN, BRAND_SUPERCAT, MERCHANT_SPEC, PREFIX_LEN
 from tallyrule.plans.schemas import LABEL_COL, MERCHANT_SCHEMA
-from tallyrule.scratch import checkpoint_dir
+from tallyrule.scratch import checkpoint_dir, scratch_path
 from tallyrule.sources.delimited import read_lines, read_partitioned
 from tallyrule.sources.sinks import write_partitioned
 
 #: Marker for "take the first row of the input", as the cluster job does by default.
 FIRST = object()
 
+#: Options of a write that a read does not have.
+_WRITE_ONLY = {"mode", "rebalance", "maxRecordsPerFile", "compression"}
+
 
 @dataclass
 class Reports:
@@ -89,6 +91,7 @@ def create_clusters(
     salt: int | None = None,
     format: str = "csv",
     reuse: bool | None = None,
+    read_options: Mapping[str, str] | None = None,
     **write_options: str,
 ) -> ClusterRun:
     """Raw tab lines → typed rows → labels → tree partitioned by label.
@@ -96,24 +99,39 @@ def create_clusters(
     Each file's header line is consumed; then ``drop_row`` (by default the
     first remaining row) and every line equal to it are removed. Lines that do
     not split into exactly ``len(schema)`` fields are dropped. The tree is
-    written (and read back for the reports) in ``format``: delimited text by
-    default, or e.g. ``"parquet"`` for a columnar result. ``reuse`` works as
-    in :func:`reports`.
+    written in ``format``: delimited text by default, or e.g. ``"parquet"``.
+    Both reports and ``rows_written`` come from the labelled rows, staged under
+    ``spark.checkpoint.dir``, not from the tree; ``written`` reads the tree with
+    the options it was written with. ``read_options`` go to :func:`read_lines`
+    (another ``sep`` or ``quote`` keeps text that the defaults cut). On several
+    files "the first row" is whichever Spark reads first; pass ``drop_row`` to
+    fix it. ``reuse`` works as in :func:`reports`.
     """
-    text = read_lines(spark, source)
+    text = read_lines(spark, source, **(read_options or {}))
     header_row = first_row(text) if drop_row is FIRST else drop_row
-    # Both counts are taken in flight by the write; no extra pass.
+    # Counted in flight by the one pass over the raw lines.
     observed_text, lines_obs = observe_rows(text, "lines")
     data = with_schema(split_lines(drop_equal_rows(observed_text, header_row), sep, schema), schema)
-    labelled, obs = observe_rows(classify(data, spec, label))
+    labelled = classify(data, spec, label)
+    # The labelled rows are staged columnar: the tree is written from the stage,
+    # and the reports count its two columns. So the reports hold what was
+    # labelled, whatever the tree's format makes of blanks and empty text, and
+    # the raw lines are parsed once.
+    stage = scratch_path(spark, "labelled")
+    labelled.write.parquet(stage)
+    labelled = spark.read.schema(labelled.schema).parquet(stage)
     write_partitioned(labelled, target, [label], sep=sep, salt=salt, format=format, **write_options)
-    written = read_partitioned(spark, target, schema, label, sep=sep, format=format)
-    # Labelling keeps every row, so both reports come from the written tree
-    # (the raw lines are parsed once, by the write), and both from the same
-    # joint counts: one small table, checkpointed when a shared folder is set,
-    # so the tree is scanned once for both.
+    written = read_partitioned(
+        spark,
+        target,
+        schema,
+        label,
+        sep=sep,
+        format=format,
+        **{k: v for k, v in write_options.items() if k not in _WRITE_ONLY},
+    )
     keys = [spec.outer, label]
-    counts = group_counts(written, keys)
+    counts = group_counts(labelled, keys)
     if reuse is None:
         reuse = checkpoint_dir(spark) is not None
     if reuse:
@@ -122,8 +140,9 @@ def create_clusters(
         input_statistics=statistics_from_counts(coarser_counts(counts, [spec.outer]), [spec.outer]),
         label_statistics=statistics_from_counts(counts, keys),
         written=written,
-        rows_written=obs.get["rows"],
-        lines_read=lines_obs.get["rows"],
+        rows_written=labelled.count(),
+        # An input without a line observes nothing.
+        lines_read=0 if text.isEmpty() else lines_obs.get["rows"],
         header_row=header_row,
     )
 

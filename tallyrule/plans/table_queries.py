@@ -24,13 +24,20 @@ from tallyrule.functions.columns import (
 )
 from tallyrule.operators.classify import Expr, Group, IsIn, Matches, Rule, Spec, Tree, classify
 from tallyrule.operators.filters import filter_eq_or_null, filter_none_rlike, filter_rlike_or_null
-from tallyrule.operators.rows import drop_equal_rows, first_row, split_lines, with_schema
+from tallyrule.operators.rows import drop_equal_rows, first_row, relabel, split_lines, with_schema
 from tallyrule.operators.rules import compile_rules, label_by_rules
-from tallyrule.operators.stats import count_group_by, count_statistics, rows_per_partition
+from tallyrule.operators.stats import (
+    count_group_by,
+    count_rows,
+    count_statistics,
+    observe_rows,
+    peek,
+    rows_per_partition,
+)
 from tallyrule.plans.jobs import check_result, create_brands, create_clusters
 from tallyrule.plans.merchant_spec import SUPERCAT_PATTERNS
 from tallyrule.plans.schemas import RULE_SCHEMA
-from tallyrule.scratch import ensure_checkpoint_dir, scratch_path
+from tallyrule.scratch import scratch_path
 from tallyrule.sources.delimited import read_delimited, read_lines, read_partitioned, read_rules
 from tallyrule.sources.sinks import write_partitioned, write_unpartitioned
 from tallyrule.streaming.clusters import stream_clusters
@@ -43,7 +50,6 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    ensure_checkpoint_dir(spark)
     return scratch_path(spark, name)
 
 
@@ -147,8 +153,6 @@ PART_RULES = [
 
 NAME_PATTERN = r"(red|blue|small)*\W*(widget|gizmo)"
 
-#: Upper bound on the streaming query's run.
-STREAM_TIMEOUT_S = 3600
 
 
 def _part_rules(spark: SparkSession) -> DataFrame:
@@ -346,9 +350,41 @@ def q_read_rules(spark, sf_dir):
 
 
 def q_rows_per_partition(spark, sf_dir):
-    # The layout the partitioned writer would produce for this column: hot
-    # values are split by adaptive execution, and only the column is shuffled.
-    return rows_per_partition(_t(spark, sf_dir, "orders").hint("rebalance", "o_orderstatus"))
+    # Dealt out evenly over seven partitions: no partition is left empty, none is large.
+    layout = rows_per_partition(_t(spark, sf_dir, "orders").select("o_orderkey").repartition(7))
+    return layout.agg(
+        F.count("*").alias("partitions"),
+        F.sum("rows").cast("bigint").alias("rows"),
+        (F.max("rows") < 2 * F.min("rows")).alias("even"),
+    )
+
+
+def q_row_counts(spark, sf_dir):
+    # The same rows counted in flight by a write, and plainly.
+    orders, seen = observe_rows(_t(spark, sf_dir, "orders").filter("o_orderstatus = 'F'").select("o_orderkey"))
+    orders.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(seen.get["rows"], count_rows(orders))], "observed bigint, counted bigint")
+
+
+def q_filter_rlike_null(spark, sf_dir):
+    # Without a pattern the null rows stay; every fifth type is made null.
+    part = _t(spark, sf_dir, "part").select("p_partkey", F.expr("if(p_partkey % 5 = 0, null, p_type)").alias("p_type"))
+    return filter_rlike_or_null(part, "p_type", None)
+
+
+def q_relabel(spark, sf_dir):
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("kind", T.StringType())])
+    return relabel(_t(spark, sf_dir, "part").select("p_partkey", "p_type"), schema)
+
+
+def q_peek(spark, sf_dir):
+    # More rows than there are: all of them.
+    return peek(_t(spark, sf_dir, "nation"), 1_000)
+
+
+def q_normalised_prefix_trim(spark, sf_dir):
+    part = _t(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("  "), "p_name", F.lit(" ")).alias("p_name"))
+    return part.withColumn("prefix", normalised_prefix("p_name", 6))
 
 
 def q_create_clusters(spark, sf_dir):
@@ -385,10 +421,7 @@ def q_stream_clusters(spark, sf_dir):
         drop_row=(drop["line"],),
         checkpoint=_scratch(spark, "stream-checkpoint"),
     )
-    # Available-now streams stop by themselves; never wait forever.
-    if not query.awaitTermination(STREAM_TIMEOUT_S):
-        query.stop()
-        raise TimeoutError(f"stream did not finish within {STREAM_TIMEOUT_S} s")
+    query.awaitTermination()  # an available-now stream stops by itself, however long it takes
     if query.exception() is not None:
         raise RuntimeError(f"stream failed: {query.exception()}")
     return read_partitioned(spark, target, PART_LINE_SCHEMA)
@@ -472,6 +505,11 @@ QUERIES: dict[str, Query] = {
     "lines_roundtrip": q_lines_roundtrip,
     "read_rules": q_read_rules,
     "rows_per_partition": q_rows_per_partition,
+    "row_counts": q_row_counts,
+    "filter_rlike_null": q_filter_rlike_null,
+    "relabel": q_relabel,
+    "peek": q_peek,
+    "normalised_prefix_trim": q_normalised_prefix_trim,
     "create_clusters": q_create_clusters,
     "stream_clusters": q_stream_clusters,
     "check_result": q_check_result,
@@ -509,6 +547,14 @@ WHERE NOT (lang = 'en' AND n_chars > 20000)
 """
 
 ORACLE: dict[str, str] = {
+    "rows_per_partition": "SELECT CAST(7 AS BIGINT) AS partitions, count(*) AS rows, true AS even FROM orders",
+    "row_counts": "SELECT count(*) AS observed, count(*) AS counted FROM orders WHERE o_orderstatus = 'F'",
+    "filter_rlike_null": "SELECT p_partkey, CAST(NULL AS VARCHAR) AS p_type FROM part WHERE p_partkey % 5 = 0",
+    "relabel": "SELECT p_partkey AS key, p_type AS kind FROM part",
+    "peek": "SELECT * FROM nation",
+    "normalised_prefix_trim": (
+        "SELECT p_partkey, '  ' || p_name || ' ' AS p_name, substring(lower(p_name), 1, 6) AS prefix FROM part"
+    ),
     "count_group_by": (
         "SELECT o_orderstatus, o_orderpriority, count(*) AS count FROM orders "
         "GROUP BY o_orderstatus, o_orderpriority ORDER BY count DESC"

@@ -2,14 +2,12 @@
 
 On a cluster ``spark.checkpoint.dir`` names a folder every executor can
 reach; intermediate tables written there survive the loss of an executor.
-Nothing here falls back to a machine-local folder: a session without the
-setting gets one only through :func:`ensure_checkpoint_dir`, meant for tests
-and local runs.
+Nothing here falls back to a machine-local folder: without the setting,
+:func:`scratch_path` raises.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -23,16 +21,6 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None) or None
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, creating a local one only if none is set."""
-    d = checkpoint_dir(spark)
-    if d is None:
-        d = tempfile.mkdtemp(prefix="tallyrule-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-        d = spark.sparkContext.getCheckpointDir() or d
-    return d
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint folder."""
     d = checkpoint_dir(spark)

@@ -93,7 +93,6 @@ def read_rules(
     path: str | list[str],
     *,
     format: str = "csv",
-    max_rules: int | None = 999,
     header: bool = True,
     sep: str = ",",
     schema: T.StructType = RULE_SCHEMA,
@@ -101,8 +100,8 @@ def read_rules(
 ) -> DataFrame:
     """Read a rule table under ``schema``; empty text cells become null. (S3)
 
-    Like a sheet range of one header row and 999 data rows, at most
-    ``max_rules`` rules are kept, the lowest ``num`` first (``None``: all).
+    Every rule is kept; :func:`tallyrule.operators.rules.compile_rules` sets the
+    bound, loudly, on what may reach the driver.
     """
     reader = spark.read.format(format).schema(schema)
     if format == "csv":
@@ -116,9 +115,4 @@ def read_rules(
             for f in schema.fields
         ]
     )
-    if max_rules is not None:
-        order = [F.col(schema.fields[0].name).asc_nulls_last()] + [
-            F.col(f.name).asc_nulls_last() for f in schema.fields[1:]
-        ]
-        df = df.orderBy(*order).limit(max_rules)
     return df

@@ -4,8 +4,9 @@ Output grouping is the writer's single shuffle. With adaptive execution on,
 the frame is rebalanced by the partition columns: small labels end up in one
 file each, and a label holding a large share of the rows is split across
 several tasks (and files) instead of landing in one. Without adaptive
-execution the rows are hash-salted by their own content, which is
-deterministic, so a retried task after an executor loss writes the same rows.
+execution the rows of a label are spread by their content and their place in
+the input, so even equal rows reach several tasks; a task that is run again
+reads the same input in the same order and spreads it alike.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Salt buckets per label when adaptive execution is off and none is given.
+#: Least salt buckets per label when adaptive execution is off and none is given.
 DEFAULT_SALT = 16
 
 
@@ -23,6 +24,11 @@ def _adaptive(df: DataFrame) -> bool:
     return df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
 
 
+def _buckets(df: DataFrame) -> int:
+    """As many as the shuffle has partitions: a hot label can use them all."""
+    return max(DEFAULT_SALT, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _writer(df: DataFrame, format: str, mode: str, encoding: str, header: bool, sep: str, options: dict):
     w = df.write.format(format).mode(mode)
     if format == "csv":
@@ -31,7 +37,9 @@ def _writer(df: DataFrame, format: str, mode: str, encoding: str, header: bool,
 
 
 def _salt(df: DataFrame, buckets: int):
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(buckets))
+    # The row's place goes in as well, so equal rows do not share a bucket.
+    place = (F.spark_partition_id(), F.monotonically_increasing_id())
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], *place), F.lit(buckets))
 
 
 def write_partitioned(
@@ -64,7 +72,7 @@ def write_partitioned(
     elif salt is None and _adaptive(df):
         grouped = df.hint("rebalance", *cols)
     else:
-        grouped = df.repartition(*[F.col(f"`{c}`") for c in cols], _salt(df, salt or DEFAULT_SALT))
+        grouped = df.repartition(*[F.col(f"`{c}`") for c in cols], _salt(df, salt or _buckets(df)))
     _writer(grouped, format, mode, encoding, header, sep, options).partitionBy(*cols).save(path)
 
 

@@ -20,7 +20,6 @@ from tallyrule.operators.classify import Spec, classify
 from tallyrule.operators.rows import drop_equal_rows, split_lines, with_schema
 from tallyrule.plans.merchant_spec import MERCHANT_SPEC
 from tallyrule.plans.schemas import LABEL_COL, MERCHANT_SCHEMA
-from tallyrule.scratch import scratch_path
 
 LINE_SCHEMA = T.StructType([T.StructField("line", T.StringType())])
 
@@ -45,7 +44,9 @@ def stream_clusters(
     its copies are removed, as the batch job removes its first row; a stream
     has no "first row", so it must be given. With ``available_now`` the query
     processes what is there and stops; otherwise it keeps running.
-    Reuse ``checkpoint`` across runs to continue where the last one stopped.
+    The checkpoint lies with the target (``_checkpoint``, which readers pass
+    over) unless ``checkpoint`` names another place, so a later run with the
+    same target continues where the last one stopped.
     """
     reader = spark.readStream.schema(LINE_SCHEMA).options(header="true", sep="$", encoding="UTF-8")
     if max_files_per_trigger is not None:
@@ -56,7 +57,7 @@ def stream_clusters(
         labelled.writeStream.format("csv")
         .options(header="true", sep=sep, encoding="UTF-8")
         .partitionBy(label)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-checkpoint"))
+        .option("checkpointLocation", checkpoint or f"{target.rstrip('/')}/_checkpoint")
         .outputMode("append")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

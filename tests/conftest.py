@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
 
-    from tallyrule.scratch import ensure_checkpoint_dir
+    from tallyrule.scratch import checkpoint_dir
 
     s = (
         SparkSession.builder.master("local[4]")
@@ -25,7 +26,8 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s)
+    if checkpoint_dir(s) is None:
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tallyrule-tests-"))
     yield s
 
 
