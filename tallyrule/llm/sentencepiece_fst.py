@@ -20,22 +20,27 @@ from __future__ import annotations
 import math
 import re
 import struct
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyrule.llm.common import fresh_name, ship
+from tallyrule.llm.common import ship
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
-MEMO, MEMO_CHARS = 300_000, 48  # remembered stretches in each generation of a worker, and their longest
+SLICE = 256  # texts encoded before their ids leave the worker
+MEMO, MEMO_CHARS = 200_000, 48  # remembered stretches in each generation of a worker, and their longest
+PAIRS, HEADS, HEAD = 1 << 17, 1 << 15, 4  # remembered pairs, remembered starts of arc lists and their characters
 
 
 def _varint(b: bytes, i: int) -> tuple[int, int]:
@@ -97,7 +102,6 @@ class Processor:
         self.unknown = self.kinds.index(UNKNOWN) if UNKNOWN in self.kinds else 0
         byte = {text: k for k, (text, _, kind) in enumerate(pieces) if kind == BYTE}
         self.bytes = [byte.get(f"<0x{v:02X}>") for v in range(256)] if byte else None
-        self.longest = max(map(len, self.ids), default=0)
         self.unknown_score = min([self.scores[k] for k in self.ids.values()], default=0.0) - UNKNOWN_PENALTY
         # No arc crosses between two characters that no piece has side by side.
         self.inner = {t[i : i + 2] for t in self.ids for i in range(len(t) - 1)}
@@ -135,7 +139,8 @@ class Processor:
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.edge = lru_cache(1 << 16)(self._edge)
-        self.pair = lru_cache(1 << 18)(self._pair)
+        self.pair = lru_cache(PAIRS)(self._pair)
+        self.heads: dict[str, tuple] = {}
 
     # normaliser
 
@@ -151,28 +156,51 @@ class Processor:
 
     # pieces and byte fallback
 
-    def arcs(self, text: str, at: int) -> list[tuple[int, int]]:
-        """Arcs that leave place ``at``: ``(to, piece)``, shortest first; -1 is the fallback of one character."""
-        node, found, i = self.trie, [], at
-        for c in text[at : at + self.longest]:
+    def _head(self, ahead: str) -> tuple:
+        """Arcs within a text's first characters, and the trie state after them if pieces go on."""
+        node, found = self.trie, []
+        for i, c in enumerate(ahead, 1):
             step = node.get(c)
             if step is None:
+                node = None
                 break
-            i += 1
             node, k = step
             if k >= 0:
-                found.append((i, k))
-        if not found or found[0][0] != at + 1:
-            found.insert(0, (at + 1, -1))
-        return found
-
-    def _spell(self, k: int, char: str) -> list[int]:
-        """Ids of one arc: its piece, or the fallback of the character it stands for."""
-        if k >= 0:
-            return [k]
-        if self.bytes is None:
-            return [self.unknown]
-        return [self.bytes[b] for b in char.encode()]
+                found.append((i, k, ahead[:i]))
+        if not found or found[0][0] != 1:
+            found.insert(0, (1, -1, ahead[0]))
+        if len(self.heads) >= HEADS:
+            self.heads.clear()
+        entry = self.heads[ahead] = (tuple(reversed(found)), node or None)
+        return entry
+
+    def arcs(self, text: str, at: int) -> tuple[tuple[int, int, str], ...]:
+        """Arcs that leave place ``at``: ``(length, piece, characters)``, longest first; -1 is the fallback."""
+        ahead = text[at : at + HEAD]
+        found, node = self.heads.get(ahead) or self._head(ahead)
+        if node is None:
+            return found
+        longer = ()
+        for i in range(at + HEAD, len(text)):
+            step = node.get(text[i])
+            if step is None:
+                break
+            node, k = step
+            if k >= 0:
+                longer = ((i + 1 - at, k, text[at : i + 1]), *longer)
+        return longer + found
+
+    def _spell(self, path: list[tuple[int, str]]) -> list[int]:
+        """Ids of a path; the fallback of a character is its bytes, or the unknown piece."""
+        out: list[int] = []
+        for k, char in path:
+            if k >= 0:
+                out.append(k)
+            elif self.bytes is not None:
+                out += [self.bytes[b] for b in char.encode()]
+            elif not out or out[-1] != self.unknown:
+                out.append(self.unknown)  # neighbouring unknown characters are one
+        return out
 
     # the acceptor of adjacent BPE pieces
 
@@ -219,55 +247,46 @@ class Processor:
 
     # composition and shortest path
 
-    def _best_unigram(self, text: str) -> list[tuple[int, int, int]]:
-        best = [(0.0, -1, -1)] + [(math.inf, -1, -1)] * len(text)
+    def _best_unigram(self, text: str) -> list[tuple[int, str]]:
+        best: list[tuple[float, int, str]] = [(0.0, -1, "")] + [(math.inf, -1, "")] * len(text)
         for at in range(len(text)):
             here = best[at][0]
-            for to, k in self.arcs(text, at):
+            for size, k, piece in reversed(self.arcs(text, at)):
                 w = here - (self.scores[k] if k >= 0 else self.unknown_score)
-                if w < best[to][0]:
-                    best[to] = (w, at, k)
+                if w < best[at + size][0]:
+                    best[at + size] = (w, k, piece)
         path, to = [], len(text)
         while to:
-            _, at, k = best[to]
-            path.append((at, to, k))
-            to = at
+            path.append(best[to][1:])
+            to -= len(best[to][2])
         return path[::-1]
 
-    def _best_bpe(self, text: str) -> list[tuple[int, int, int]]:
+    def _best_bpe(self, text: str) -> list[tuple[int, str]]:
         # Weights are nothing or infinite, so a search in any order finds the least.
         # Each place has one path of finite weight (the encoding of the text
         # before it): longer arcs go first and no place is entered twice.
-        n, pair = len(text), self.pair
-        path: list[tuple[int, int, int]] = []
-        arcs, seen, at, before = [self.arcs(text, 0)], {0}, 0, ""
+        n, pair, arcs = len(text), self.pair, self.arcs
+        path: list[tuple[int, str]] = []
+        open_ = [iter(arcs(text, 0))]
+        seen, at, before = {0}, 0, ""
         while at < n:
-            here = arcs[-1]
-            while here:
-                to, k = here.pop()
-                if to not in seen:
-                    piece = text[at:to]
-                    if not at or pair(before, piece):
-                        seen.add(to)
-                        path.append((at, to, k))
-                        at, before = to, piece
-                        if at < n:
-                            arcs.append(self.arcs(text, at))
-                        break
+            for size, k, piece in open_[-1]:
+                if at + size not in seen and (not at or pair(before, piece)):
+                    at += size
+                    before = piece
+                    seen.add(at)
+                    path.append((k, piece))
+                    if at < n:
+                        open_.append(iter(arcs(text, at)))
+                    break
             else:
-                arcs.pop()
-                at, _, _ = path.pop()
-                before = text[path[-1][0] : at] if path else ""
+                open_.pop()
+                at -= len(path.pop()[1])
+                before = path[-1][1] if path else ""
         return path
 
     def _encode(self, text: str) -> list[int]:
-        best = self._best_bpe(text) if self.kind == BPE else self._best_unigram(text)
-        out: list[int] = []
-        for at, _, k in best:
-            if k < 0 and self.bytes is None and out and out[-1] == self.unknown:
-                continue  # neighbouring unknown characters are one unknown piece
-            out += self._spell(k, text[at])
-        return out
+        return self._spell(self._best_bpe(text) if self.kind == BPE else self._best_unigram(text))
 
     def encode(self, text: str | None) -> np.ndarray:
         """Piece ids of a whole text; a null or empty text has none.
@@ -292,7 +311,7 @@ class Processor:
 
     def _remember(self, part: str) -> bytes:
         """The packed ids of a stretch. Two generations: what was not used since the last one goes."""
-        ids = self.older.pop(part, None) or np.array(self._encode(part), dtype=np.int32).tobytes()
+        ids = self.older.pop(part, None) or array("i", self._encode(part)).tobytes()
         if len(part) <= MEMO_CHARS:
             if len(self.memo) >= MEMO:
                 self.older = dict(self.memo)
@@ -326,6 +345,34 @@ def _compiled(held) -> Processor:
     return _COMPILED[key]
 
 
+def _mapped(docs: DataFrame, model: bytes, text: str, names: list[str], exact: bool) -> DataFrame:
+    """``docs`` with the encoding's columns, ``SLICE`` rows at a time, so that few texts are held at once."""
+    ship(docs.sparkSession)
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    docs = docs.select(*[c for c in docs.columns if c.lower() not in names])
+    at = docs.columns.index(text)
+    kinds = [T.ArrayType(T.IntegerType()), T.LongType(), T.BooleanType()]
+    fields = [T.StructField(n, kind) for n, kind in zip(names, kinds)]
+    schema, columns = T.StructType(docs.schema.fields + fields), [*docs.columns, *names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = _compiled(held)
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                texts = part.column(at).to_pylist()
+                ids = [p.encode(t) for t in texts]
+                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                values = pa.array(np.concatenate([np.empty(0, np.int32), *ids]), pa.int32())
+                found = [pa.ListArray.from_arrays(pa.array(ends), values)]
+                if exact:
+                    found.append(pa.array(np.diff(ends).astype(np.int64)))
+                    found.append(pa.array([p.decode(i.tolist()) == t for i, t in zip(ids, texts, strict=True)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *found], names=columns)
+
+    return docs.mapInArrow(run, schema)
+
+
 def encode_texts(docs: DataFrame, model: bytes, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add the piece ids of every whole text as ``ids``, an int array.
 
@@ -333,15 +380,7 @@ def encode_texts(docs: DataFrame, model: bytes, text: str = "text", ids: str = "
     called ``ids`` is replaced. Long texts are encoded stretch by stretch, so
     memory follows the longest stretch between cuts, not the text.
     """
-    ship(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("array<int>")
-    def run(texts: pd.Series) -> pd.Series:
-        p = _compiled(held)
-        return pd.Series([p.encode(t) for t in texts], dtype=object)
-
-    return docs.withColumn(ids, run(F.col(text)))
+    return _mapped(docs, model, text, [ids], exact=False)
 
 
 def decode_ids(docs: DataFrame, model: bytes, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -352,7 +391,7 @@ def decode_ids(docs: DataFrame, model: bytes, ids: str = "ids", text: str = "dec
     @F.pandas_udf("string")
     def run(arrays: pd.Series) -> pd.Series:
         p = _compiled(held)
-        return pd.Series([None if a is None else p.decode(a) for a in arrays], dtype=object)
+        return pd.Series([None if a is None else p.decode(np.asarray(a).tolist()) for a in arrays], dtype=object)
 
     return docs.withColumn(text, run(F.col(ids)))
 
@@ -365,22 +404,7 @@ def round_trip(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
     U+2581 in the text comes back as a space. Columns with the three names are
     replaced; empty texts have no ids and are exact.
     """
-    ship(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    r = fresh_name(docs, "r")
-
-    @F.pandas_udf("ids array<int>, n_ids long, exact boolean")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        p, rows = _compiled(held), []
-        for t in texts:
-            ids = p.encode(t)
-            rows.append((ids, len(ids), p.decode(ids) == t))
-        return pd.DataFrame(rows, columns=["ids", "n_ids", "exact"])
-
-    out = docs.drop("ids", "n_ids", "exact").withColumn(r, run(F.col(text)))
-    return out.select(
-        *[c for c in out.columns if c != r], *[F.col(r)[c].alias(c) for c in ("ids", "n_ids", "exact")]
-    )
+    return _mapped(docs, model, text, ["ids", "n_ids", "exact"], exact=True)
 
 
 def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
