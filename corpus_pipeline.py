@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tallyrule.llm import decontam, linededup, sentencepiece_fst, simhash, toxicity
 from tallyrule.llm.common import staged
 
+BATCH_ROWS = "1000"  # rows in an Arrow batch
+
 
 def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``n_chars`` follows the text where there is such a column."""
@@ -20,30 +22,40 @@ def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
     return docs.select(*columns)
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Whole texts are long: fewer of them at once keep Python workers small, stage after stage."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier predicts as toxic go."""
+    _small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     return toxicity.drop_toxic(docs, labels)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that several documents repeat go from all but one."""
+    _small_batches(spark)
     return _with_length(linededup.dedup_lines(docs), docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
+    _small_batches(spark)
     return simhash.drop_near_duplicates(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of benchmark items go, and documents that are nothing else."""
+    _small_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     return _with_length(decontam.remove_contamination(docs, items), docs.columns)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether they decode to it."""
+    _small_batches(spark)
     model = sentencepiece_fst.load_model(sentencepiece_fst.tokenizer_path())
     return sentencepiece_fst.round_trip(docs, model).select("doc_id", "lang", "source", "ids", "n_ids", "exact")
 

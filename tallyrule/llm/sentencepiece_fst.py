@@ -39,8 +39,8 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
 SLICE = 256  # texts encoded before their ids leave the worker
-MEMO, MEMO_CHARS = 200_000, 48  # remembered stretches in each generation of a worker, and their longest
-PAIRS, HEADS, HEAD = 1 << 17, 1 << 15, 4  # remembered pairs, remembered starts of arc lists and their characters
+MEMO, MEMO_CHARS = 120_000, 48  # remembered stretches in each generation of a worker, and their longest
+PAIRS, HEADS, HEAD = 1 << 16, 1 << 15, 4  # remembered pairs, remembered starts of arc lists and their characters
 
 
 def _varint(b: bytes, i: int) -> tuple[int, int]:
@@ -369,6 +369,10 @@ def _mapped(docs: DataFrame, model: bytes, text: str, names: list[str], exact: b
                     found.append(pa.array(np.diff(ends).astype(np.int64)))
                     found.append(pa.array([p.decode(i.tolist()) == t for i, t in zip(ids, texts, strict=True)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays([*part.columns, *found], names=columns)
+        # Workers live on and serve other stages: nothing of this one stays.
+        _COMPILED.clear()
+        del p
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, schema)
 

@@ -34,7 +34,7 @@ class _Buckets(dict):
     """Hash buckets of words, emptied when full."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         b = self[word] = zlib.crc32(word.encode()) & (1 << BITS) - 1
         return b
