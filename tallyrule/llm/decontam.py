@@ -180,20 +180,23 @@ def item_blocks(items: DataFrame, item_id: str, text: str, window: int, max_byte
 
 
 _FOUND = "n_words long, hits array<struct<from: int, to: int>>, items array<string>, longest int"
+_CUT = "text string, clean boolean"
 
 
-def _scanner(held):
-    """Reads whole texts with the automaton that ``held`` broadcasts."""
+def _read(doc: list[bytes], held: list) -> tuple[list[tuple[int, int]], set[str], int]:
+    """Hit spans, item names and the longest match over all broadcast automata."""
+    spans, names, longest = [], set(), 0
+    for sam in (h.value for h in held):
+        more, found, n = sam.match(doc)
+        spans += more
+        names.update(sam.names[k] for k in found)
+        longest = max(longest, n)
+    return spans if len(held) == 1 else _merge(spans), names, longest
 
-    def scan(texts: pd.Series) -> pd.DataFrame:
-        sam, rows = held.value, []
-        for t in texts:
-            doc = words(t)
-            spans, found, longest = sam.match(doc)
-            rows.append((len(doc), [{"from": a, "to": b} for a, b in spans], sorted({sam.names[k] for k in found}), longest))
-        return pd.DataFrame(rows, columns=["n_words", "hits", "items", "longest"])
 
-    return scan
+def _broadcast(docs: DataFrame, items: DataFrame, item_id: str, item_text: str, window: int, max_bytes: int) -> list:
+    blocks = item_blocks(items, item_id, item_text, window, max_bytes)
+    return [docs.sparkSession.sparkContext.broadcast(automaton) for automaton in blocks]
 
 
 def find_contamination(
@@ -221,60 +224,57 @@ def find_contamination(
     automaton, sent to every executor; more items become more automata, read
     one after the other by the driver and applied one after the other.
     """
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
     docs = docs.drop("n_words", "hits", "items", "longest")
-    out, names = docs, []
-    for automaton in item_blocks(items, item_id, item_text, window, max_bytes):
-        names.append(fresh_name(out, "m"))
-        scan = F.pandas_udf(_scanner(spark.sparkContext.broadcast(automaton)), _FOUND)
-        out = out.withColumn(names[-1], scan(F.col(text)))
-    if len(names) == 1:
-        m = F.col(names[0])
-    else:
-
-        @F.pandas_udf(_FOUND)
-        def union(*parts: pd.DataFrame) -> pd.DataFrame:
-            rows = []
-            for found in zip(*(p.to_dict("records") for p in parts), strict=True):
-                spans = _merge([(s["from"], s["to"]) for f in found for s in f["hits"]])
-                rows.append(
-                    (
-                        found[0]["n_words"],
-                        [{"from": a, "to": b} for a, b in spans],
-                        sorted({x for f in found for x in f["items"]}),
-                        max(f["longest"] for f in found),
-                    )
-                )
-            return pd.DataFrame(rows, columns=["n_words", "hits", "items", "longest"])
-
-        whole = fresh_name(out, "whole")
-        out = out.withColumn(whole, union(*[F.col(n) for n in names]))
-        m = F.col(whole)
-    return out.select(*docs.columns, *[m[c].alias(c) for c in ("n_words", "hits", "items", "longest")])
+    held = _broadcast(docs, items, item_id, item_text, window, max_bytes)
+
+    @F.pandas_udf(_FOUND)
+    def scan(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t in texts:
+            doc = words(t)
+            spans, names, longest = _read(doc, held)
+            rows.append((len(doc), [{"from": a, "to": b} for a, b in spans], sorted(names), longest))
+        return pd.DataFrame(rows, columns=["n_words", "hits", "items", "longest"])
+
+    m = fresh_name(docs, "m")
+    out = docs.withColumn(m, scan(F.col(text)))
+    return out.select(*docs.columns, *[F.col(m)[c].alias(c) for c in ("n_words", "hits", "items", "longest")])
 
 
 def items_digest(items: list[str]) -> str:
     return hashlib.sha256(",".join(items).encode()).hexdigest()
 
 
-def remove_contamination(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
+def remove_contamination(
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+    max_bytes: int = MAX_BLOCK_BYTES,
+) -> DataFrame:
     """``docs`` with every hit span cut from ``text``; other columns unchanged.
 
     The cut runs from the first character of a span's first word to the last
     of its last. Documents without a hit are untouched. A document whose words
-    are all hit (its coverage is one) goes.
+    are all hit (its coverage is one) goes. A text is searched and cut in one
+    pass over it, by one Python worker a task.
     """
-    cols = docs.columns
-    found = find_contamination(docs, items, text, **options)
-
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, hits: pd.Series) -> pd.Series:
-        return pd.Series(
-            [t if not len(h) else cut_spans(t, [(s["from"], s["to"]) for s in h]) for t, h in zip(texts, hits, strict=True)],
-            dtype=object,
-        )
-
-    covered = F.aggregate("hits", F.lit(0), lambda n, s: n + s["to"] - s["from"])
-    kept = found.filter((F.size("hits") == 0) | (covered < F.col("n_words")))
-    return kept.select(*[cut(F.col(c), F.col("hits")).alias(c) if c == text else F.col(c) for c in cols])
+    ship(docs.sparkSession)
+    held = _broadcast(docs, items, item_id, item_text, window, max_bytes)
+
+    def cut(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t in texts:
+            doc = words(t)
+            spans, _, _ = _read(doc, held)
+            clean = not spans or sum(b - a for a, b in spans) < len(doc)
+            rows.append((cut_spans(t, spans) if spans and clean else t, clean))
+        return pd.DataFrame(rows, columns=["text", "clean"])
+
+    m = fresh_name(docs, "m")
+    # Declared nondeterministic so that the filter is not pushed below it and the texts read twice.
+    kept = docs.withColumn(m, F.pandas_udf(cut, _CUT).asNondeterministic()(F.col(text))).filter(F.col(m)["clean"])
+    return kept.select(*[F.col(m)["text"].alias(c) if c == text else F.col(c) for c in docs.columns])
