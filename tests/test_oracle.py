@@ -8,13 +8,13 @@ import pytest
 from oracle import compare
 
 import __spark_entry__ as entry
-from tallyrule.plans import table_queries
+from tallyrule.plans import merchant_queries, table_queries
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 
-@pytest.mark.parametrize("name", sorted(table_queries.QUERIES))
+@pytest.mark.parametrize("name", sorted({**table_queries.QUERIES, **merchant_queries.QUERIES}))
 def test_query_matches_oracle(spark, name):
     q = entry.queries()[name]
     sql = entry.oracle_sql().get(name)

@@ -53,9 +53,9 @@ FORBIDDEN = (
 
 
 def test_no_registered_query_uses_a_forbidden_operator(spark):
-    from tallyrule.plans.table_queries import QUERIES
+    from tallyrule.plans import merchant_queries, table_queries
 
-    for name, q in QUERIES.items():
+    for name, q in {**table_queries.QUERIES, **merchant_queries.QUERIES}.items():
         df = q(spark, "/root/testdata/sf0.001")
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()

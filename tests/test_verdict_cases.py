@@ -11,6 +11,7 @@ from tallyrule.operators.classify import Group, Spec, Tree, classify
 from tallyrule.operators.rows import cast_failures, with_schema
 from tallyrule.operators.rules import compile_rules, label_by_rules
 from tallyrule.operators.stats import count_group_by
+from tallyrule.plans import merchant_queries
 from tallyrule.plans.jobs import create_clusters
 from tallyrule.plans.schemas import MERCHANT_SCHEMA, RULE_SCHEMA
 from tallyrule.sources import read_rules, write_partitioned
@@ -119,3 +120,13 @@ def test_spec_columns_resolve_as_spark_does(spark):
     spec = Spec(outer="kind", groups=(Group(value="A", name="a", tree=Tree(rules=(), default=1)),))
     df = spark.createDataFrame([("A",), ("B",)], "KIND string")
     assert [r[0] for r in classify(df, spec).collect()] == ["a_1", "0"]
+
+
+def test_merchant_rows_reach_every_label(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = {r["brands_part"] for r in merchant_queries.q_classify_merchants(spark, sf).collect()}
+    assert len(labels) == 39 and "0" in labels
+    found = merchant_queries.q_create_brands_merchants_groups(spark, sf)
+    assert {r[0] for r in found.select("test_reg_exp").distinct().collect()} >= {"", "www paypal.ru", "md*www paypal", None}
+    kept = merchant_queries.q_filter_none_rlike_merchants(spark, sf)
+    assert not kept.filter("mcc_cat = 'Общепит' or mcc_cat is null").count() and kept.filter("mcc_cat = 'Обувь'").count()
