@@ -1,9 +1,16 @@
-"""Benchmark decontamination by a generalised suffix automaton of the items.
+"""Benchmark decontamination by generalised suffix automata of the items.
 
-The automaton of all normalised items reads a document's words and keeps, at
+Equal items are one sequence of words. Sequences are dealt by hash into small
+blocks; a task builds the automaton of one block. It reads words and keeps, at
 every word, the longest suffix that occurs in some item. Where that length
 reaches the window, the last words are a window of an item; the automaton's
 states name the items. Items shorter than a window count as a whole.
+
+Only stretches of documents meet the blocks. A bitmap of the hashes of all
+windows, of bounded size, finds where a window may lie; each distinct stretch
+goes to the blocks that hold one of its hashes, and what a block's automaton
+finds goes back to the stretch's places. A false hit of the bitmap costs a
+stretch that no block finds; a missed window cannot occur.
 """
 
 from __future__ import annotations
@@ -17,10 +24,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrule.llm.common import fresh_name, ship
+from tallyrule.llm.common import fresh_name, ship, staged
+from tallyrule.llm.substring import _WordHashes
 
 WINDOW = 10
-MAX_BLOCK_BYTES = 32 << 20  # item text in one automaton
+MAX_BLOCK_BYTES = 256 << 10  # item text in one automaton
+GROUP_BYTES = 4 << 20  # stretches that one building of an automaton reads
+MAX_FILTER_BITS = 1 << 27  # 16 MB in every worker
+SLICE_BITS = 1 << 13  # of the bitmap, made by one group
+_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 # Word bytes: digits, a-z after lower-casing, and everything beyond ASCII.
 _WORD = re.compile(r"[0-9A-Za-z\u0080-\U0010ffff]+")
@@ -119,7 +131,7 @@ class ItemAutomaton:
         return [(int(a), int(b) + extra) for a, b in runs]
 
     def match(self, doc: list[bytes]) -> tuple[list[tuple[int, int]], set[int], int]:
-        """Hit spans as ``[from, to)`` in order, the items found, and the longest match."""
+        """Hit spans as ``[from, to)`` in order, the items found, and the longest match that holds a window."""
         get = self.ids.get
         ids = np.fromiter((get(w, -1) for w in doc), dtype=np.int64, count=len(doc))
         spans: list[list[int]] = []
@@ -135,13 +147,13 @@ class ItemAutomaton:
                 if t is None:
                     continue
                 s, n = t, n + 1
-                longest = max(longest, n)
                 lengths = [m for m, _ in self.short[s] if m <= n]
                 found.update(k for m, k in self.short[s] if m <= n)
                 if n >= self.window:
                     found |= self.windows.get(self._suffix(s, self.window), set())
                     lengths.append(self.window)
                 if lengths:
+                    longest = max(longest, n if n >= self.window else max(lengths))
                     start = at + 1 - max(lengths)
                     while spans and spans[-1][1] >= start:
                         start = min(start, spans.pop()[0])
@@ -169,34 +181,230 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def item_blocks(items: DataFrame, item_id: str, text: str, window: int, max_bytes: int) -> Iterator[ItemAutomaton]:
-    """Automata of at most about ``max_bytes`` of item text each, over all items."""
-    size = items.agg(F.sum(F.octet_length(F.coalesce(F.col(text), F.lit(""))) + 64)).first()[0] or 0
-    n = max(1, -(-size // max_bytes))
-    for k in range(n):
-        block = items.filter(F.pmod(F.xxhash64(item_id, text), F.lit(n)) == k)
-        rows = block.select(F.col(item_id).cast("string"), F.col(text)).collect()
-        yield ItemAutomaton([(str(r[0]), r[1]) for r in rows], window)
+def word_hashes(doc: list[bytes], cache: _WordHashes) -> np.ndarray:
+    return np.fromiter(map(cache.__getitem__, doc), dtype=np.uint64, count=len(doc))
 
 
-_FOUND = "n_words long, hits array<struct<from: int, to: int>>, items array<string>, longest int"
-_CUT = "text string, clean boolean"
+def grams(w: np.ndarray, lengths: set[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each of ``lengths`` that fits: the hashes of all runs of so many words, in order."""
+    h = np.zeros(w.size + 1, dtype=np.uint64)
+    for n in range(1, min(max(lengths, default=0), w.size) + 1):
+        h = h[:-1] * np.uint64(_ODD[0]) + w[n - 1 :]
+        if n in lengths:
+            yield n, h ^ h >> np.uint64(32)
+
+
+def filter_places(h: np.ndarray, n_bits: int) -> np.ndarray:
+    """The bits of each hash, one row a probe; ``n_bits`` is a power of two."""
+    shift = np.uint64(65 - n_bits.bit_length())
+    return np.stack([h * np.uint64(odd) >> shift for odd in _ODD])
+
+
+def may_hold(h: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    out = np.ones(h.size, dtype=bool)
+    for at in filter_places(h, 8 * bitmap.size):
+        out &= (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    return out
+
 
+def stretches(w: np.ndarray, lengths: set[int], bitmap: np.ndarray) -> list[tuple[int, int, list[int]]]:
+    """Runs ``[from, to)`` of words in windows that the bitmap lets pass, and the hashes of these windows."""
+    starts, hashes = [], []
+    edge = np.zeros(w.size + 1, dtype=np.int64)
+    for n, h in grams(w, lengths):
+        at = np.flatnonzero(may_hold(h, bitmap))
+        if at.size:
+            edge[at] += 1
+            edge[at + n] -= 1
+            starts.append(at)
+            hashes.append(h[at])
+    if not starts:
+        return []
+    inside = np.cumsum(edge) > 0
+    runs = np.flatnonzero(np.diff(np.concatenate(([False], inside)).astype(np.int8))).reshape(-1, 2)
+    owner = np.searchsorted(runs[:, 0], np.concatenate(starts), side="right") - 1
+    h = np.concatenate(hashes).view(np.int64)
+    return [(int(a), int(b), np.unique(h[owner == k]).tolist()) for k, (a, b) in enumerate(runs)]
 
-def _read(doc: list[bytes], held: list) -> tuple[list[tuple[int, int]], set[str], int]:
-    """Hit spans, item names and the longest match over all broadcast automata."""
-    spans, names, longest = [], set(), 0
-    for sam in (h.value for h in held):
-        more, found, n = sam.match(doc)
-        spans += more
-        names.update(sam.names[k] for k in found)
-        longest = max(longest, n)
-    return spans if len(held) == 1 else _merge(spans), names, longest
 
+def item_sequences(items: DataFrame, item_id: str, text: str, max_bytes: int) -> DataFrame:
+    """``(sid, block, seq, names)``: one row per distinct sequence of words, with the ids of its items."""
+    spark = items.sparkSession
+    size = items.agg(F.sum(F.octet_length(F.coalesce(F.col(text), F.lit(""))) + 64)).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // max_bytes))
+    normal = F.pandas_udf(lambda s: pd.Series([b" ".join(words(t)).decode() for t in s], dtype=object), "string")
+    rows = items.select(
+        F.coalesce(F.col(item_id).cast("string"), F.lit("None")).alias("name"), normal(F.col(text)).alias("seq")
+    ).filter("seq != ''")
+    return staged(
+        rows.groupBy("seq")
+        .agg(F.collect_set("name").alias("names"))
+        .select(
+            F.monotonically_increasing_id().alias("sid"),
+            F.pmod(F.xxhash64("seq"), F.lit(n)).cast("int").alias("block"),
+            "seq",
+            "names",
+        ),
+        "sequences",
+    )
+
+
+def item_grams(sequences: DataFrame, window: int) -> DataFrame:
+    """``(h, n, block)``: the hashes of all windows of a block, ``n`` words each."""
+
+    def windows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache = _WordHashes()
+        for pdf in parts:
+            for block, seq in zip(pdf["block"], pdf["seq"], strict=True):
+                w = word_hashes(seq.encode().split(), cache)
+                for n, h in grams(w, {min(window, w.size)}):
+                    yield pd.DataFrame({"h": np.unique(h).view(np.int64), "n": n, "block": block})
+
+    found = sequences.select("block", "seq").mapInPandas(windows, "h long, n int, block int")
+    return staged(found.distinct(), "grams")
+
+
+def filter_bitmap(hashes: DataFrame) -> np.ndarray:
+    """Bitmap of the column ``h``: 16 bits a row or more, up to ``MAX_FILTER_BITS``; made in slices by Spark tasks."""
+    n_bits = 8 * SLICE_BITS
+    rows = hashes.count()
+    while n_bits < min(16 * rows, MAX_FILTER_BITS):
+        n_bits *= 2
+
+    def places(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            at = np.unique(filter_places(pdf["h"].to_numpy(np.int64).view(np.uint64), n_bits)).astype(np.int64)
+            yield pd.DataFrame({"part": at // SLICE_BITS, "bit": at % SLICE_BITS})
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(SLICE_BITS, dtype=np.uint8)
+        bits[pdf["bit"].to_numpy()] = 1
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+
+    found = hashes.select("h").mapInPandas(places, "part int, bit int").distinct()
+    out = np.zeros(n_bits // 8, dtype=np.uint8)
+    for part, bits in found.groupBy("part").applyInPandas(pack, "part int, bits binary").collect():
+        out[part * SLICE_BITS // 8 : (part + 1) * SLICE_BITS // 8] = np.frombuffer(bits, np.uint8)
+    return out
+
+
+_SPANS = "array<struct<from: int, to: int>>"
+_MARK = "n_words long, runs array<struct<at: int, run: string, hs: array<bigint>>>"
+_CUT = "text string, clean boolean"
 
-def _broadcast(docs: DataFrame, items: DataFrame, item_id: str, item_text: str, window: int, max_bytes: int) -> list:
-    blocks = item_blocks(items, item_id, item_text, window, max_bytes)
-    return [docs.sparkSession.sparkContext.broadcast(automaton) for automaton in blocks]
+
+def _match_runs(runs: DataFrame, sequences: DataFrame, held: DataFrame, window: int) -> DataFrame:
+    """``(run, spans, names, longest)`` of each distinct run in which some block finds a window."""
+    pairs = staged(
+        runs.select("run", "hs")
+        .distinct()
+        .select("run", F.explode("hs").alias("h"))
+        .join(held.select("h", "block"), "h")
+        .select("run", "block")
+        .distinct(),
+        "pairs",
+    )
+    # A block that very many stretches ask is built several times, each time for a part of them.
+    loads = staged(
+        pairs.groupBy("block").agg((F.sum(F.octet_length("run")) / GROUP_BYTES + 1).cast("int").alias("salts")), "loads"
+    )
+    asked = pairs.join(loads, "block").select("block", F.pmod(F.xxhash64("run"), "salts").cast("int").alias("salt"), "run")
+    built = sequences.join(loads, "block").select(
+        "block", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "sid", "seq"
+    )
+
+    def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        if len(left) and len(right):
+            automaton = ItemAutomaton(list(zip(right["sid"], right["seq"])), window)
+            for run in left["run"]:
+                spans, found, longest = automaton.match(run.encode().split())
+                if spans:
+                    sids = [int(automaton.names[k]) for k in found]
+                    rows.append((run, [{"from": a, "to": b} for a, b in spans], sids, longest))
+        return pd.DataFrame(rows, columns=["run", "spans", "sids", "longest"])
+
+    found = staged(
+        asked.groupBy("block", "salt")
+        .cogroup(built.groupBy("block", "salt"))
+        .applyInPandas(match, f"run string, spans {_SPANS}, sids array<bigint>, longest int"),
+        "matches",
+    )
+
+    @F.pandas_udf(_SPANS)
+    def merge(lists: pd.Series) -> pd.Series:
+        merged = [_merge([(s["from"], s["to"]) for s in spans]) for spans in lists]
+        return pd.Series([[{"from": a, "to": b} for a, b in spans] for spans in merged], dtype=object)
+
+    names = (
+        found.select("run", F.explode("sids").alias("sid"))
+        .join(sequences.select("sid", "names"), "sid")
+        .groupBy("run")
+        .agg(F.array_distinct(F.flatten(F.collect_list("names"))).alias("names"))
+    )
+    spans = found.groupBy("run").agg(
+        F.flatten(F.collect_list("spans")).alias("spans"), F.max("longest").alias("longest")
+    )
+    return staged(spans.join(names, "run").select("run", merge("spans").alias("spans"), "names", "longest"), "found")
+
+
+def _find(
+    docs: DataFrame, items: DataFrame, text: str, item_id: str, item_text: str, window: int, max_bytes: int, f: str
+) -> DataFrame:
+    """``docs`` with a struct column ``f`` of ``n_words``, ``hits``, ``items`` and ``longest``."""
+    spark = docs.sparkSession
+    sequences = item_sequences(items, item_id, item_text, max_bytes)
+    held = item_grams(sequences, window)
+    lengths = {r["n"] for r in held.select("n").distinct().collect()}  # at most ``window`` numbers
+    bitmap = spark.sparkContext.broadcast(filter_bitmap(held))
+
+    @F.pandas_udf(_MARK)
+    def mark(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        cache = _WordHashes()
+        for texts in parts:
+            rows = []
+            for t in texts:
+                doc = words(t)
+                found = stretches(word_hashes(doc, cache), lengths, bitmap.value)
+                rows.append(
+                    (len(doc), [{"at": a, "run": b" ".join(doc[a:b]).decode(), "hs": hs} for a, b, hs in found])
+                )
+            yield pd.DataFrame(rows, columns=["n_words", "runs"])
+
+    m, r = fresh_name(docs, "m"), fresh_name(docs, "r")
+    # The row numbers are written, so they stay the same.
+    marked = staged(docs.withColumn(m, mark(F.col(text))).withColumn(r, F.monotonically_increasing_id()), "marked")
+    some = F.size(F.col(m)["runs"]) > 0
+    runs = marked.filter(some).select(F.col(r).alias("r"), F.explode(F.col(m)["runs"]).alias("x")).select("r", "x.*")
+    found = _match_runs(runs, sequences, held, window)
+
+    shifted = F.transform("spans", lambda s: F.struct((s["from"] + F.col("at")).alias("from"), (s["to"] + F.col("at")).alias("to")))
+    by_row = (
+        runs.select("r", "at", "run")
+        .join(found, "run")
+        .groupBy(F.col("r").alias(r))
+        .agg(
+            F.array_sort(F.flatten(F.collect_list(shifted))).alias("hits"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias("items"),
+            F.max("longest").alias("longest"),
+        )
+        .select(r, F.struct("hits", "items", "longest").alias(f))
+    )
+
+    def told(hits, names, longest):
+        return F.struct(
+            F.col(m)["n_words"].alias("n_words"),
+            F.coalesce(hits, F.array().cast(_SPANS)).alias("hits"),
+            F.coalesce(names, F.array().cast("array<string>")).alias("items"),
+            F.coalesce(longest, F.lit(0)).alias("longest"),
+        )
+
+    none = told(F.lit(None).cast(_SPANS), F.lit(None).cast("array<string>"), F.lit(None).cast("int"))
+    clean = marked.filter(~some).select(*docs.columns, none.alias(f))
+    dirty = marked.filter(some).join(by_row, r, "left")
+    return clean.unionByName(
+        dirty.select(*docs.columns, told(F.col(f)["hits"], F.col(f)["items"], F.col(f)["longest"]).alias(f))
+    )
 
 
 def find_contamination(
@@ -215,31 +423,21 @@ def find_contamination(
     fewer words, but not none, is one window. A word inside any occurrence of
     a window is hit; ``hits`` are the maximal spans of hit words, ``items``
     the sorted ids, as strings, of items with an occurring window. ``longest``
-    is the longest match, in words, among stretches that can hold a window
-    (0 if there is none). Null and empty texts have no words; items without
-    words match nothing; a null item id is the string ``None``. Other columns
-    pass through; columns with the four names are replaced.
-
-    The items' size is measured first. Up to ``max_bytes`` they are one
-    automaton, sent to every executor; more items become more automata, read
-    one after the other by the driver and applied one after the other.
+    is the longest match, in words, that holds a window (0 if there is none).
+    Null and empty texts have no words; items without words match nothing; a
+    null item id is the string ``None``. Other columns pass through; columns
+    with the four names are replaced.
+
+    The items' size is measured first, and blocks have about ``max_bytes`` of
+    item text or less. No item reaches the driver, and a worker holds one
+    block's automaton at a time; of all items, only the bitmap of their
+    windows' hashes, at most ``MAX_FILTER_BITS``, goes everywhere.
     """
     ship(docs.sparkSession)
     docs = docs.drop("n_words", "hits", "items", "longest")
-    held = _broadcast(docs, items, item_id, item_text, window, max_bytes)
-
-    @F.pandas_udf(_FOUND)
-    def scan(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t in texts:
-            doc = words(t)
-            spans, names, longest = _read(doc, held)
-            rows.append((len(doc), [{"from": a, "to": b} for a, b in spans], sorted(names), longest))
-        return pd.DataFrame(rows, columns=["n_words", "hits", "items", "longest"])
-
-    m = fresh_name(docs, "m")
-    out = docs.withColumn(m, scan(F.col(text)))
-    return out.select(*docs.columns, *[F.col(m)[c].alias(c) for c in ("n_words", "hits", "items", "longest")])
+    f = fresh_name(docs, "f")
+    out = _find(docs, items, text, item_id, item_text, window, max_bytes, f)
+    return out.select(*docs.columns, *[F.col(f)[c].alias(c) for c in ("n_words", "hits", "items", "longest")])
 
 
 def items_digest(items: list[str]) -> str:
@@ -259,22 +457,21 @@ def remove_contamination(
 
     The cut runs from the first character of a span's first word to the last
     of its last. Documents without a hit are untouched. A document whose words
-    are all hit (its coverage is one) goes. A text is searched and cut in one
-    pass over it, by one Python worker a task.
+    are all hit (its coverage is one) goes.
     """
     ship(docs.sparkSession)
-    held = _broadcast(docs, items, item_id, item_text, window, max_bytes)
+    f, m = fresh_name(docs, "f"), fresh_name(docs, "m")
+    found = _find(docs, items, text, item_id, item_text, window, max_bytes, f)
 
-    def cut(texts: pd.Series) -> pd.DataFrame:
+    def cut(texts: pd.Series, n_words: pd.Series, hits: pd.Series) -> pd.DataFrame:
         rows = []
-        for t in texts:
-            doc = words(t)
-            spans, _, _ = _read(doc, held)
-            clean = not spans or sum(b - a for a, b in spans) < len(doc)
+        for t, n, found in zip(texts, n_words, hits, strict=True):
+            spans = [(s["from"], s["to"]) for s in found]
+            clean = not spans or sum(b - a for a, b in spans) < n
             rows.append((cut_spans(t, spans) if spans and clean else t, clean))
         return pd.DataFrame(rows, columns=["text", "clean"])
 
-    m = fresh_name(docs, "m")
-    # Declared nondeterministic so that the filter is not pushed below it and the texts read twice.
-    kept = docs.withColumn(m, F.pandas_udf(cut, _CUT).asNondeterministic()(F.col(text))).filter(F.col(m)["clean"])
+    # Declared nondeterministic so that the filter is not pushed below it and the texts cut twice.
+    cutter = F.pandas_udf(cut, _CUT).asNondeterministic()
+    kept = found.withColumn(m, cutter(F.col(text), F.col(f)["n_words"], F.col(f)["hits"])).filter(F.col(m)["clean"])
     return kept.select(*[F.col(m)["text"].alias(c) if c == text else F.col(c) for c in docs.columns])

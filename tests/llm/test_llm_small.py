@@ -240,6 +240,30 @@ def test_contamination_of_odd_rows_and_removal(spark):
     assert decontam.find_contamination(df.limit(0), items).count() == 0
 
 
+@pytest.mark.parametrize("slice_bits", [decontam.SLICE_BITS, 8])
+def test_contamination_keeps_items_off_the_driver(spark, monkeypatch, slice_bits):
+    def refuse(*_):
+        raise AssertionError("an automaton on the driver")
+
+    monkeypatch.setattr(decontam.ItemAutomaton, "__init__", refuse)
+    monkeypatch.setattr(decontam, "SLICE_BITS", slice_bits)
+    monkeypatch.setattr(decontam, "MAX_FILTER_BITS", 8 * slice_bits)  # at 64 bits nearly every window passes
+    monkeypatch.setattr(decontam, "GROUP_BYTES", 60)  # blocks are built for parts of their stretches
+    items = [(i, t) for i, t in text_rows(11, 60, vocabulary=5)]
+    items += [(100 + i, "A b! c, d e f a") for i in range(30)] + [(None, "a b c d e f a"), (200, "b b")]
+    rows = text_rows(12, 80, vocabulary=6) + [(1000 + i, "x a b c d e f a x") for i in range(40)]
+    found = decontam.find_contamination(
+        spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string"), window=6, max_bytes=100
+    )
+    texts = dict(rows)
+    got = found.collect()
+    assert len(got) == len(rows)
+    for r in got:
+        n_hit = sum(s["to"] - s["from"] for s in r["hits"])
+        assert (r["n_words"], n_hit, r["items"]) == brute_hits(texts[r["doc_id"]], items, 6), r["doc_id"]
+        assert all(a["to"] < b["from"] for a, b in zip(r["hits"], r["hits"][1:]))
+
+
 # --- URLs ---------------------------------------------------------------------------
 
 
