@@ -72,12 +72,18 @@ def _unpack(b: bytes, kind: type) -> np.ndarray:
     return np.cumsum(np.frombuffer(zlib.decompress(b), kind), dtype=kind)
 
 
-def _questions(chunk: list[tuple[int, int, np.ndarray, np.ndarray]], blocks: int) -> pd.DataFrame:
-    """One row for each block that the chunk's seeds fall in.
+def _part(doc: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the documents that an id belongs to."""
+    return ((doc.astype(np.uint64) * np.uint64(_ODD[0]) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
-    Seeds that an earlier document of the same chunk has are settled here: they
-    travel without their hash. So a seed that very many documents share reaches
-    its block once per chunk.
+
+def _questions(chunk: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]], blocks: int) -> pd.DataFrame:
+    """One row for each block that the chunk's seeds fall in, and for each part of the documents with settled seeds.
+
+    A document has each of its seeds once. Seeds that an earlier document of
+    the same chunk has are settled here: they need no block and go, without
+    their hash, to their documents' part ``p`` under the number ``-1 - p``. So
+    a seed that very many documents share reaches its block once per chunk.
     """
     chunk.sort(key=lambda x: x[0])
     ids = np.array([x[0] for x in chunk], dtype=np.int64)
@@ -86,12 +92,13 @@ def _questions(chunk: list[tuple[int, int, np.ndarray, np.ndarray]], blocks: int
     h = np.concatenate([x[2] for x in chunk])
     block = (np.concatenate([x[3] for x in chunk]) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
     row = np.repeat(np.arange(ids.size), sizes)
-    place = (np.arange(h.size) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
+    place = np.concatenate([x[4] for x in chunk]).astype(np.int32)
     order = np.argsort(h, kind="stable")
     new = np.concatenate(([True], h[order][1:] != h[order][:-1]))
     first = order[new][np.cumsum(new) - 1]  # earliest place in the chunk of the same seed
     known = np.zeros(h.size, dtype=bool)
     known[order] = ids[row[order]] > ids[row[first]]
+    block[known] = -1 - _part(ids, blocks)[row[known]]
 
     out = []
     for settled in (False, True):
@@ -109,18 +116,20 @@ def _questions(chunk: list[tuple[int, int, np.ndarray, np.ndarray]], blocks: int
 
 
 def _answers(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
-    """Of one block: the places of seeds that a smaller id has, packed by part of the documents."""
+    """Of one block: the places of seeds that a smaller id has, packed by part of the documents.
+
+    Settled rows pass through as they are.
+    """
+    if pdf["block"].iloc[0] < 0:
+        return pdf.assign(part=-1 - pdf["block"])[["part", "ids", "texts", "counts", "places"]]
     doc, text, place = _opened(pdf)
-    sure = np.concatenate([np.full(_unpack(c, np.int32).sum(), h is None) for c, h in zip(pdf["counts"], pdf["seeds"], strict=True)])
-    seed = np.zeros(doc.size, dtype=np.uint64)
-    seed[~sure] = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(h, np.uint64) for h in pdf["seeds"] if h is not None)])
-    order = np.flatnonzero(~sure)
-    order = order[np.lexsort((doc[order], seed[order]))]
+    seed = np.concatenate([np.frombuffer(h, np.uint64) for h in pdf["seeds"]])
+    order = np.lexsort((doc, seed))
     new = np.diff(seed[order], prepend=np.uint64(0)) != 0
     new[:1] = True
     least = doc[order][new][np.cumsum(new) - 1]
-    hit = np.concatenate((order[doc[order] > least], np.flatnonzero(sure)))
-    part = ((doc[hit].astype(np.uint64) * np.uint64(_ODD[0]) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    hit = order[doc[order] > least]
+    part = _part(doc[hit], parts)
     by = np.lexsort((place[hit], text[hit], doc[hit], part))
     hit, part = hit[by], part[by]
     out = []
@@ -161,7 +170,7 @@ def _gathered(pdf: pd.DataFrame) -> pd.DataFrame:
 def duplicate_positions(
     docs: DataFrame, doc_id: str, text: str, min_words: int, block_bytes: int, chunk_seeds: int
 ) -> DataFrame:
-    """``(doc, version, hits)``: packed places of seeds that an earlier document has, one row a document.
+    """``(doc, version, hits)``: packed first places of seeds that an earlier document has, one row a document.
 
     ``version`` is a hash of the text, which tells rows sharing an id apart.
     """
@@ -174,8 +183,10 @@ def duplicate_positions(
         for pdf in parts:
             for doc, version, t in zip(pdf["d"], pdf["v"], pdf["t"], strict=True):
                 h, g = seeds(t.encode().split(), min_words, cache)
+                at = np.sort(np.unique(h, return_index=True)[1])
+                h, g = h[at], g[at]
                 if h.size:
-                    chunk.append((doc, version, h, g))
+                    chunk.append((doc, version, h, g, at))
                     held += h.size
                 if held >= chunk_seeds:
                     yield _questions(chunk, blocks)
@@ -230,18 +241,24 @@ def duplicate_spans(
     lists = found.select(F.col("doc").alias(d), F.col("version").alias(v), F.col("hits").alias(hits))
 
     @F.pandas_udf("n_words long, n_removed long, spans array<struct<from: int, to: int>>, kept string")
-    def parse(texts: pd.Series, blobs: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t, places in zip(texts, blobs, strict=True):
-            words = (t or "").encode().split()
-            spans = [] if places is None else _join(factors(np.unique(_unpack(places, np.int32)), min_words))
-            left, end = [], 0
-            for a, b in spans:
-                left += words[end:a]
-                end = b
-            left += words[end:]
-            rows.append((len(words), len(words) - len(left), [{"from": a, "to": b} for a, b in spans], b" ".join(left).decode()))
-        return pd.DataFrame(rows, columns=["n_words", "n_removed", "spans", "kept"])
+    def parse(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        cache = _WordHashes()
+        for texts, blobs in parts:
+            rows = []
+            for t, places in zip(texts, blobs, strict=True):
+                words = (t or "").encode().split()
+                spans = []
+                if places is not None:
+                    # The answers are first places; a seed is a duplicate wherever the document has it.
+                    h, _ = seeds(words, min_words, cache)
+                    spans = _join(factors(np.flatnonzero(np.isin(h, h[_unpack(places, np.int32)])), min_words))
+                left, end = [], 0
+                for a, b in spans:
+                    left += words[end:a]
+                    end = b
+                left += words[end:]
+                rows.append((len(words), len(words) - len(left), [{"from": a, "to": b} for a, b in spans], b" ".join(left).decode()))
+            yield pd.DataFrame(rows, columns=["n_words", "n_removed", "spans", "kept"])
 
     same = (docs[doc_id].cast("long") == lists[d]) & (F.hash(docs[text]) == lists[v])
     joined = docs.join(lists, same, "left").drop(d, v)

@@ -205,6 +205,26 @@ def lowered(t):
 
 def brute_hits(text, items, size):
     w, hit, found = WORD.findall(lowered(text)), set(), set()
+def test_a_hot_seed_reaches_its_block_once_a_chunk():
+    rows = [(i, "w " * 50 + "a b c d e f g") for i in range(30)]
+    chunk = []
+    for i, t in rows:
+        h, g = substring.seeds(t.encode().split(), 6, substring._WordHashes())
+        at = np.sort(np.unique(h, return_index=True)[1])
+        chunk.append((i, 0, h[at], g[at], at))
+    out = substring._questions(chunk, 4)
+    asked = out[out["block"] >= 0]
+    assert sum(len(x) // 8 for x in asked["seeds"]) == len(set().union(*(set(x[2].tolist()) for x in chunk)))
+    settled = out[out["block"] < 0]
+    assert settled["seeds"].isna().all() and set(substring._opened(settled)[0]) == set(range(1, 30))
+
+
+def test_repeated_windows_of_one_document(spark):
+    rows = [(i, "w " * (20 + i) + "x " * i + "w " * 9) for i in range(6)] + [(10, "w " * 3000)]
+    got = substring.duplicate_spans(spark.createDataFrame(rows, DOCS), min_words=6, chunk_seeds=3).collect()
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got) == brute_windows(rows, 6)
+
+
     for name, t in items:
         v = WORD.findall(lowered(t))
         n = min(size, len(v))
