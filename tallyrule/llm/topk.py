@@ -159,13 +159,18 @@ def top_products(
     n = rows.count()
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n // bucket + 1))
     sorted_rows = rows.withColumn("w", norm).repartitionByRange(parts, "dim", F.desc("w"), "id")
+    # Blocks are numbered in the written tables: equal blocks stay apart, and a number is of one dimension.
     buckets = staged(
-        _packed(sorted_rows.sortWithinPartitions("dim", F.desc("w"), "id").select("dim", "id", "v"), bucket), "buckets"
-    ).withColumn("b", F.xxhash64("ids", "norm"))
+        _packed(sorted_rows.sortWithinPartitions("dim", F.desc("w"), "id").select("dim", "id", "v"), bucket).withColumn(
+            "b", F.monotonically_increasing_id()
+        ),
+        "buckets",
+    )
     queries = rows.filter("q").select("dim", "id", "v").repartition(max(1, min(parts, n // (20 * query_block) + 1)), "dim", "id")
     blocks = staged(
-        _packed(queries.sortWithinPartitions("dim", "id"), query_block), "queries"
-    ).withColumn("qb", F.xxhash64("ids", "norm"))
+        _packed(queries.sortWithinPartitions("dim", "id"), query_block).withColumn("qb", F.monotonically_increasing_id()),
+        "queries",
+    )
 
     # The longest bucket of each dimension seeds the bounds: one row a dimension.
     seeds = buckets.groupBy("dim").agg(F.max(F.struct("norm", "b", "ids", "m")).alias("s")).select("dim", "s.*")
@@ -210,7 +215,7 @@ def top_products(
     salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = (
         bounded.select("dim", "qb", "reach", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-        .join(buckets.select("dim", "b", "norm", F.pmod("b", F.lit(salts)).cast("int").alias("salt")), ["dim", "salt"])
+        .join(buckets.select("dim", "b", "norm", F.pmod(F.xxhash64("b"), F.lit(salts)).cast("int").alias("salt")), ["dim", "salt"])
         .filter(F.col("norm") >= F.col("reach") * F.lit(1 - SLACK))
         .select("qb", "b")
     )

@@ -373,6 +373,19 @@ def test_coordinate_pruning_loses_nothing():
         kept = topk.prune(q, float(bound), c, norms)
         assert set(np.flatnonzero(s >= bound)) <= set(range(len(c)) if kept is None else kept)
 
+def test_equal_blocks_and_mixed_dimensions(spark):
+    rows = [(0, [1.0, 2.0])] * 10 + [(i, [float(i), 1.0]) for i in range(1, 9)]
+    rows += [(20, [1.0]), (20, [1.0, 0.0]), (21, [3.0]), (22, [2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_products(df, F.col("vec_id") % 20 == 0, k=3, scale=1, bucket=4, query_block=4).collect()
+    want = []
+    for i, v in rows:
+        if i % 20 == 0:
+            s = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in rows if j != i and len(v) == len(w))[:3]
+            want += [(i, k + 1, j, int(-x)) for k, (x, j) in enumerate(s)]
+    assert sorted(tuple(x) for x in got) == sorted(want)
+
+
 
 # --- SentencePiece ------------------------------------------------------------------
 
