@@ -126,6 +126,14 @@ def link_fingerprints(
     return groups.mapInPandas(links, "a long, b long").distinct()
 
 
+def _rooted(firsts: DataFrame, max_bits: int, hot_bucket: int) -> DataFrame:
+    """``(fp, first, root)`` from distinct ``fp`` rows; one ``root`` a component."""
+    roots = connected_components(link_fingerprints(firsts.select("fp"), max_bits, hot_bucket))
+    return firsts.join(roots, firsts["fp"] == roots["node"], "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -148,20 +156,35 @@ def near_duplicates(
     ship(docs.sparkSession)
     simhash = F.pandas_udf(lambda s: pd.Series([fingerprint(t, shingle) for t in s], dtype="int64"), "long")
     ids = staged(docs.select(F.col(doc_id).alias("id"), simhash(F.col(text)).alias("fp")), "fingerprints")
-    firsts = ids.groupBy("fp").agg(F.min("id").alias("first"))
-    links = link_fingerprints(firsts.select("fp"), max_bits, hot_bucket)
-    roots = connected_components(links)
-    labelled = firsts.join(roots, firsts["fp"] == roots["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    labelled = _rooted(ids.groupBy("fp").agg(F.min("id").alias("first")), max_bits, hot_bucket)
     smallest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = staged(labelled.join(smallest, "root").select("fp", "component_id"), "classes")
     return ids.join(classes, "fp").select(F.col("id").alias(doc_id), F.col("fp").alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents whose id is their component's smallest; of rows sharing that id, all."""
-    d, c = fresh_name(docs, "d"), fresh_name(docs, "c")
-    found = near_duplicates(docs, doc_id, text, **options)
-    keep = found.filter(F.col(doc_id).eqNullSafe(F.col("component_id"))).select(F.col(doc_id).alias(d)).distinct()
-    return docs.join(keep, docs[doc_id].eqNullSafe(keep[d]), "left_semi")
+def drop_near_duplicates(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+    hot_bucket: int = HOT_BUCKET,
+) -> DataFrame:
+    """One row of each component of :func:`near_duplicates`.
+
+    It is the row with the smallest id, null ids last; of rows that share it,
+    the one with the smallest hash over all columns but maps; of exact repeats,
+    any one.
+    """
+    ship(docs.sparkSession)
+    simhash = F.pandas_udf(lambda s: pd.Series([fingerprint(t, shingle) for t in s], dtype="int64"), "long")
+    r, p = fresh_name(docs, "r"), fresh_name(docs, "p")
+    # The row numbers are written, so they stay the same.
+    rows = staged(
+        docs.withColumn(p, simhash(F.col(text))).withColumn(r, F.monotonically_increasing_id()), "fingerprinted"
+    )
+    plain = [c.name for c in docs.schema if "map<" not in c.dataType.simpleString()]
+    rank = F.struct(F.col(doc_id).isNull(), F.col(doc_id), F.xxhash64(*plain), F.col(r).alias("r"))
+    firsts = staged(rows.groupBy(F.col(p).alias("fp")).agg(F.min(rank).alias("first")), "firsts")
+    kept = _rooted(firsts, max_bits, hot_bucket).groupBy("root").agg(F.min("first").alias("first"))
+    return rows.join(kept.select(F.col("first.r").alias(r)), r, "left_semi").select(*docs.columns)

@@ -126,6 +126,17 @@ def test_near_duplicates_of_odd_rows(spark):
     assert simhash.near_duplicates(docs_of(spark, ODD).limit(0)).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    a, b = "a b c d e f g h", "one two three four five six seven"
+    rows = [(4, a)] * 3 + [(4, b), (1, a), (1, a), (None, a)] + [(None, "q w e r t z u i o")] * 3 + [(9, b), (6, None), (6, "")]
+    got = simhash.drop_near_duplicates(docs_of(spark, rows), max_bits=0)
+    assert got.columns == docs_of(spark, rows).columns
+    by = defaultdict(list)
+    for x in got.collect():
+        by[x["text"] or ""].append(x["doc_id"])
+    assert by == {a: [1], b: [4], "q w e r t z u i o": [None], "": [6]}
+
+
 # --- lines --------------------------------------------------------------------------
 
 
