@@ -1,14 +1,17 @@
-"""Substring dedup by relative Lempel-Ziv factors.
+"""Substring dedup by a join of windows on their hashes, in blocks of hash ranges.
 
-The reference is every document with a smaller id. It is indexed in blocks:
-each block holds the seeds (hashes of ``min_words`` consecutive words) of one
+This is not a relative Lempel-Ziv parse: no longest match against a reference
+text is taken and a span has no source. A parse of every document against
+every block of text would cost documents times blocks, and the result needs
+only the words that some window of ``min_words`` words with an earlier source
+covers; all windows decide that, and windows of one span may have different
+sources.
+
+Each block holds the seeds (hashes of ``min_words`` consecutive words) of one
 hash range, with the smallest document that has them. Documents are read in
 chunks; a chunk sends each seed once to the block that can hold it, and the
-block answers which seeds an earlier document has. A document is then parsed
-greedily: a factor starts at the first answered seed and runs as long as the
-seeds go on; at its end, the factor boundary, the next seeds are looked up
-again, so a repeat across two factors is found as well. Factors have at least
-``min_words`` words and become the duplicate spans.
+block answers which seeds an earlier document has. Runs of neighbouring
+answered seeds become the duplicate spans.
 """
 
 from __future__ import annotations
@@ -54,7 +57,7 @@ def seeds(words: list[bytes], size: int, cache: _WordHashes) -> tuple[np.ndarray
 
 
 def factors(hits: np.ndarray, size: int) -> list[tuple[int, int]]:
-    """Greedy parse of sorted seed positions into spans ``[from, to)``."""
+    """Runs of neighbouring places, sorted, as spans ``[from, to)`` of the words they cover."""
     if not len(hits):
         return []
     ends = np.flatnonzero(np.diff(hits) > 1)
