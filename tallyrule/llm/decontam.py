@@ -28,6 +28,7 @@ from tallyrule.llm.common import fresh_name, ship, staged
 from tallyrule.llm.substring import _WordHashes
 
 WINDOW = 10
+COVERAGE = 0.9  # share of hit words from which a document goes
 MAX_BLOCK_BYTES = 256 << 10  # item text in one automaton
 GROUP_BYTES = 4 << 20  # stretches that one building of an automaton reads
 MAX_FILTER_BITS = 1 << 27  # 16 MB in every worker
@@ -452,12 +453,14 @@ def remove_contamination(
     item_text: str = "text",
     window: int = WINDOW,
     max_bytes: int = MAX_BLOCK_BYTES,
+    coverage: float = COVERAGE,
 ) -> DataFrame:
     """``docs`` with every hit span cut from ``text``; other columns unchanged.
 
     The cut runs from the first character of a span's first word to the last
-    of its last. Documents without a hit are untouched. A document whose words
-    are all hit (its coverage is one) goes.
+    of its last. Documents without a hit are untouched. A document goes if the
+    share of its words that are hit is ``coverage`` or more; with 1, only one
+    whose words are all hit.
     """
     ship(docs.sparkSession)
     f, m = fresh_name(docs, "f"), fresh_name(docs, "m")
@@ -467,7 +470,7 @@ def remove_contamination(
         rows = []
         for t, n, found in zip(texts, n_words, hits, strict=True):
             spans = [(s["from"], s["to"]) for s in found]
-            clean = not spans or sum(b - a for a, b in spans) < n
+            clean = not spans or sum(b - a for a, b in spans) < coverage * n
             rows.append((cut_spans(t, spans) if spans and clean else t, clean))
         return pd.DataFrame(rows, columns=["text", "clean"])
 

@@ -279,6 +279,20 @@ def test_contamination_keeps_items_off_the_driver(spark, monkeypatch, slice_bits
     monkeypatch.setattr(decontam.ItemAutomaton, "__init__", refuse)
     monkeypatch.setattr(decontam, "SLICE_BITS", slice_bits)
     monkeypatch.setattr(decontam, "MAX_FILTER_BITS", 8 * slice_bits)  # at 64 bits nearly every window passes
+def test_documents_go_by_coverage(spark):
+    item = "a b c d e f g h i"
+    rows = [(1, "x " + item), (2, "x y " + item), (3, item), (4, "x y z")]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame(rows, DOCS)
+
+    def left(**options):
+        return {r["doc_id"]: r["text"] for r in decontam.remove_contamination(docs, items, **options).collect()}
+
+    assert left() == {2: "x y ", 4: "x y z"}
+    assert left(coverage=0.8) == {4: "x y z"}
+    assert left(coverage=1.0) == {1: "x ", 2: "x y ", 4: "x y z"}
+
+
     monkeypatch.setattr(decontam, "GROUP_BYTES", 60)  # blocks are built for parts of their stretches
     items = [(i, t) for i, t in text_rows(11, 60, vocabulary=5)]
     items += [(100 + i, "A b! c, d e f a") for i in range(30)] + [(None, "a b c d e f a"), (200, "b b")]
