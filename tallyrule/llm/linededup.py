@@ -2,10 +2,12 @@
 
 ``LineRuns`` keeps what earlier batches held as runs: tables of 128-bit line
 keys, bucketed and sorted by key, so a later batch joins them without moving
-them. A new batch is merge-anti-joined with every run; keys that no run holds
-are fresh. The batch then becomes a run of its own on level 0. When a level
-has ``fanout`` runs, they are merged into one run of the next level, so a
-batch meets a number of runs that grows with the logarithm of the batches.
+them. A batch becomes a run of its own on level 0, also with keys that other
+runs hold: a line goes by the number of its documents and their largest id,
+over all batches, so no batch can be decided by an anti-join alone. When a
+level has ``fanout`` runs, they are merged into one run of the next level, so
+the merged totals at the end join a number of runs that grows with the
+logarithm of the batches.
 """
 
 from __future__ import annotations
@@ -35,11 +37,10 @@ def line_key(line: str, min_chars: int) -> tuple[int, int] | None:
 
 
 class LineRuns:
-    """Levelled runs of ``(h1, h2, n_docs, max_doc, fresh)``.
+    """Levelled runs of ``(h1, h2, n_docs, max_doc)``.
 
     In one run each key has one row: the number of documents of the run's
-    batches that hold it and the largest of their ids. ``fresh`` marks the
-    rows whose key no earlier run held, so each key is fresh once.
+    batches that hold it and the largest of their ids.
     """
 
     def __init__(self, spark: SparkSession, fanout: int = 3, buckets: int | None = None):
@@ -62,22 +63,10 @@ class LineRuns:
         )
         return name
 
-    def mark_fresh(self, keys: DataFrame) -> DataFrame:
-        """``keys`` with ``fresh``: whether no run holds the key."""
-        out = keys.withColumn("fresh", F.lit(True))
-        for name in self.runs():
-            held = self.spark.table(name).filter("fresh").select("h1", "h2", F.lit(True).alias("held"))
-            out = (
-                out.join(held, ["h1", "h2"], "left")
-                .withColumn("fresh", F.col("fresh") & F.col("held").isNull())
-                .drop("held")
-            )
-        return out
-
     def add(self, batch: DataFrame) -> None:
         """Add a batch of ``(h1, h2, doc)`` rows, one per document and key."""
         keys = batch.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc").alias("max_doc"))
-        self.levels[0].append(self._write(self.mark_fresh(keys)))
+        self.levels[0].append(self._write(keys))
         self.compact()
 
     def compact(self) -> None:
@@ -100,13 +89,12 @@ class LineRuns:
         # up, and the rows of a key would stay apart.
         rows = self.spark.table(names[0])
         for name in names[1:]:
-            more = self.spark.table(name).toDF("h1", "h2", "n", "m", "f")
+            more = self.spark.table(name).toDF("h1", "h2", "n", "m")
             rows = rows.join(more, ["h1", "h2"], "full_outer").select(
                 "h1",
                 "h2",
                 (F.coalesce("n_docs", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("n_docs"),
                 F.greatest("max_doc", "m").alias("max_doc"),
-                (F.coalesce("fresh", F.lit(False)) | F.coalesce("f", F.lit(False))).alias("fresh"),
             )
         return rows
 

@@ -165,6 +165,14 @@ def test_lines_equal_brute_force(spark):
     assert sorted((x["doc_id"], x["text"] or "", x["n_lines"], x["n_dropped"]) for x in got) == brute_lines(rows)
 
 
+def test_runs_hold_only_what_decides(spark):
+    runs = linededup.LineRuns(spark, fanout=2, buckets=2)
+    for batch in ([(1, 1, 5), (1, 1, 7), (2, 2, 5)], [(1, 1, 3), (3, 3, 3)], [(2, 2, 9)]):
+        runs.add(spark.createDataFrame(batch, "h1 long, h2 long, doc long"))
+    assert sorted(map(tuple, runs.totals().collect())) == [(1, 1, 3, 7), (2, 2, 2, 9), (3, 3, 1, 3)]
+    runs.drop()
+
+
 def test_lines_of_odd_rows(spark):
     got = linededup.dedup_lines(docs_of(spark, ODD), min_chars=3).collect()
     assert len(got) == len(ODD)
@@ -205,17 +213,6 @@ def test_substrings_of_odd_rows(spark):
     assert substring.duplicate_spans(docs_of(spark, ODD).limit(0)).count() == 0
 
 
-# --- decontamination ----------------------------------------------------------------
-
-WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
-
-
-def lowered(t):
-    return re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
-
-
-def brute_hits(text, items, size):
-    w, hit, found = WORD.findall(lowered(text)), set(), set()
 def test_a_hot_seed_reaches_its_block_once_a_chunk():
     rows = [(i, "w " * 50 + "a b c d e f g") for i in range(30)]
     chunk = []
@@ -236,6 +233,17 @@ def test_repeated_windows_of_one_document(spark):
     assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got) == brute_windows(rows, 6)
 
 
+# --- decontamination ----------------------------------------------------------------
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def lowered(t):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+
+
+def brute_hits(text, items, size):
+    w, hit, found = WORD.findall(lowered(text)), set(), set()
     for name, t in items:
         v = WORD.findall(lowered(t))
         n = min(size, len(v))
@@ -271,14 +279,6 @@ def test_contamination_of_odd_rows_and_removal(spark):
     assert decontam.find_contamination(df.limit(0), items).count() == 0
 
 
-@pytest.mark.parametrize("slice_bits", [decontam.SLICE_BITS, 8])
-def test_contamination_keeps_items_off_the_driver(spark, monkeypatch, slice_bits):
-    def refuse(*_):
-        raise AssertionError("an automaton on the driver")
-
-    monkeypatch.setattr(decontam.ItemAutomaton, "__init__", refuse)
-    monkeypatch.setattr(decontam, "SLICE_BITS", slice_bits)
-    monkeypatch.setattr(decontam, "MAX_FILTER_BITS", 8 * slice_bits)  # at 64 bits nearly every window passes
 def test_documents_go_by_coverage(spark):
     item = "a b c d e f g h i"
     rows = [(1, "x " + item), (2, "x y " + item), (3, item), (4, "x y z")]
@@ -293,6 +293,14 @@ def test_documents_go_by_coverage(spark):
     assert left(coverage=1.0) == {1: "x ", 2: "x y ", 4: "x y z"}
 
 
+@pytest.mark.parametrize("slice_bits", [decontam.SLICE_BITS, 8])
+def test_contamination_keeps_items_off_the_driver(spark, monkeypatch, slice_bits):
+    def refuse(*_):
+        raise AssertionError("an automaton on the driver")
+
+    monkeypatch.setattr(decontam.ItemAutomaton, "__init__", refuse)
+    monkeypatch.setattr(decontam, "SLICE_BITS", slice_bits)
+    monkeypatch.setattr(decontam, "MAX_FILTER_BITS", 8 * slice_bits)  # at 64 bits nearly every window passes
     monkeypatch.setattr(decontam, "GROUP_BYTES", 60)  # blocks are built for parts of their stretches
     items = [(i, t) for i, t in text_rows(11, 60, vocabulary=5)]
     items += [(100 + i, "A b! c, d e f a") for i in range(30)] + [(None, "a b c d e f a"), (200, "b b")]
@@ -387,17 +395,6 @@ def test_top_products_equal_brute_force(spark):
     assert topk.top_products(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
-def test_coordinate_pruning_loses_nothing():
-    r = np.random.default_rng(2)
-    q = r.integers(-50, 50, 8)
-    c = np.concatenate([q + r.integers(-20, 20, (200, 8)), r.integers(-60, 60, (800, 8))])
-    c = c[np.argsort(-(c**2).sum(axis=1))]
-    norms = np.sqrt((c.astype(float) ** 2).sum(axis=1))
-    s = c @ q
-    for bound in np.quantile(s[s > 0], [0.1, 0.5, 0.9, 0.99, 1.0]):
-        kept = topk.prune(q, float(bound), c, norms)
-        assert set(np.flatnonzero(s >= bound)) <= set(range(len(c)) if kept is None else kept)
-
 def test_equal_blocks_and_mixed_dimensions(spark):
     rows = [(0, [1.0, 2.0])] * 10 + [(i, [float(i), 1.0]) for i in range(1, 9)]
     rows += [(20, [1.0]), (20, [1.0, 0.0]), (21, [3.0]), (22, [2.0])]
@@ -411,6 +408,17 @@ def test_equal_blocks_and_mixed_dimensions(spark):
     assert sorted(tuple(x) for x in got) == sorted(want)
 
 
+def test_coordinate_pruning_loses_nothing():
+    r = np.random.default_rng(2)
+    q = r.integers(-50, 50, 8)
+    c = np.concatenate([q + r.integers(-20, 20, (200, 8)), r.integers(-60, 60, (800, 8))])
+    c = c[np.argsort(-(c**2).sum(axis=1))]
+    norms = np.sqrt((c.astype(float) ** 2).sum(axis=1))
+    s = c @ q
+    for bound in np.quantile(s[s > 0], [0.1, 0.5, 0.9, 0.99, 1.0]):
+        kept = topk.prune(q, float(bound), c, norms)
+        assert set(np.flatnonzero(s >= bound)) <= set(range(len(c)) if kept is None else kept)
+
 
 # --- SentencePiece ------------------------------------------------------------------
 
