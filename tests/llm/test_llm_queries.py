@@ -8,9 +8,10 @@ import zlib
 import pytest
 import xxhash
 from oracle import compare
-from test_llm_small import brute_components
+from test_llm_small import WORD, brute_components, brute_lines, fold, lowered
 
 import corpus_pipeline
+from tallyrule.llm import sentencepiece_fst
 from tallyrule.llm.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -39,6 +40,56 @@ def test_shards_are_reproducible(spark):
     assert sorted(rows) == sorted(QUERIES["op8_feistel"](spark, SF).collect())
 
 
+def brute_print(text):
+    words = text.encode().lower().split()
+    h = [xxhash.xxh64_intdigest(b" ".join(words[i : i + 4]), 42) for i in range(max(1, len(words) - 3))] if words else []
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_cut(text, grams, coverage=0.9):
+    """The text without its windows, or ``None`` if they are too much of it; ``grams`` by length."""
+    places = [m.span() for m in WORD.finditer(lowered(text))]
+    w = WORD.findall(lowered(text))
+    hit = sorted({k + j for n, g in grams.items() for k in range(len(w) - n + 1) if tuple(w[k : k + n]) in g for j in range(n)})
+    if hit and len(hit) >= coverage * len(w):
+        return None
+    out, at = [], 0
+    for k in hit:
+        if k - 1 not in hit:
+            out.append(text[at : places[k][0]])
+        at = places[k][1]
+    return "".join(out) + text[at:]
+
+
+def test_pipeline_equals_brute_force(spark):
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    toxic = {r["doc_id"] for r in QUERIES["op5_toxicity_nnpu"](spark, SF).filter("predicted = 1").collect()}
+    lines = brute_lines([(i, r["text"]) for i, r in docs.items() if i not in toxic])
+    texts = {i: t for i, t, _, _ in lines}
+    roots = brute_components({i: brute_print(t) for i, t in texts.items()}, 4)
+    grams = {}
+    for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect():
+        v = WORD.findall(lowered(r["text"]))
+        n = min(10, len(v))
+        if n:
+            grams.setdefault(n, set()).update(tuple(v[k : k + n]) for k in range(len(v) - n + 1))
+    cut = {i: brute_cut(t, grams) for i, t in texts.items() if roots[i] == i}
+    kept = spark.createDataFrame([(i, t) for i, t in cut.items() if t is not None], "doc_id long, text string")
+    model = sentencepiece_fst.load_model(sentencepiece_fst.tokenizer_path())
+    coded = sentencepiece_fst.round_trip(kept, model).select("doc_id", "ids", "n_ids", "exact").collect()
+    want = [(r["doc_id"], docs[r["doc_id"]]["lang"], docs[r["doc_id"]]["source"], *r[1:]) for r in coded]
+    got = [tuple(r) for r in QUERIES["pipeline"](spark, SF).collect()]
+    assert len(got) > 0 and sorted(got) == sorted(want)
+
+
+def test_toxicity_of_held_out_documents(spark):
+    found = QUERIES["op5_toxicity_nnpu"](spark, SF)
+    assert found.columns == ["doc_id", "held_out", "score", "predicted"]
+    rows = found.collect()
+    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert all(0 <= r["score"] <= 1 and r["held_out"] == (fold(r["doc_id"]) == 2) for r in rows)
+
+
 def test_components_equal_brute_force(spark):
     prints = {}
     for r in spark.read.parquet(f"{SF}/documents.parquet").collect():

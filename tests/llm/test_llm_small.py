@@ -450,7 +450,8 @@ def fold(i):
     return zlib.crc32(str(i).encode()) % 4
 
 
-def test_toxicity_on_held_out_rows(spark):
+def toxicity_accuracy(spark):
+    """On held-out rows of the small dense case; checks what holds at any accuracy."""
     r = random.Random(4)
     words = [f"w{i}" for i in range(200)]
     rows, labels = [], []
@@ -468,9 +469,17 @@ def test_toxicity_on_held_out_rows(spark):
     none = toxicity.train(docs, marks.limit(0))
     assert toxicity.score_documents(docs, none).filter("predicted = 1").count() == 0
     assert toxicity.drop_toxic(docs.limit(0), marks).count() == 0
-    right = np.mean([x["predicted"] == (x["doc_id"] % 8 == 0) for x in held])
-    if right <= 0.97:
-        pytest.xfail(f"open: some 50 positives over 200 dense words give {right:.2f}, no better than the prior")
+    return np.mean([x["predicted"] == (x["doc_id"] % 8 == 0) for x in held])
+
+
+def test_toxicity_on_held_out_rows_has_a_floor(spark):
+    assert toxicity_accuracy(spark) > 0.85
+
+
+@pytest.mark.xfail(strict=True, reason="open: some 50 positives over 200 dense words, no better than the prior")
+def test_toxicity_on_held_out_rows(spark):
+    right = toxicity_accuracy(spark)
+    assert right > 0.97
 
 
 def test_language_on_held_out_rows_and_mixtures(spark):
