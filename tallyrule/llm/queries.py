@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tallyrule.llm import (
     decontam,
+    fingerprints,
     langid,
     linededup,
+    periodic,
+    prefixtrie,
     sentencepiece_fst,
     sharding,
     simhash,
@@ -122,6 +125,49 @@ def op10_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    rows = prefixtrie.turn_rows(turns, "conv_id", "turn", "role", "text")
+    head = F.crc32(F.col("id").cast("string").cast("binary")) % 9
+    return prefixtrie.prefix_trie(*prefixtrie.with_shared_heads(rows, head, F.col("id") - F.col("id") % 5, 8))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    found = periodic.collapse_runs(docs, edit=periodic.repeat_tail, key="doc_id")
+    # greatest length, then smallest start, then smallest period
+    longest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    )
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("longest", longest)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.s")).alias("start"),
+        F.col("longest.n").alias("length"),
+        (-F.col("longest.p")).alias("period"),
+        F.floor(-1000 * F.col("longest.n") / F.col("longest.p")).cast("long").alias("exponent_milli"),
+        _sha(F.array_join(line, "")).alias("runs_sha256"),
+        _sha(F.col("text")).alias("collapsed_sha256"),
+    )
+
+
+def op13_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    found = fingerprints.fingerprint_edits(docs)
+    own, edited = F.col("fingerprint"), F.col("edited_fingerprint")
+    near = {
+        "near_edited": fingerprints.likeness(own, edited),
+        "near_next": fingerprints.likeness(own, F.col("next_fingerprint")),
+    }
+    return (
+        found.withColumns(near)
+        .withColumns({c: fingerprints.as_text(F.col(c)) for c in ("fingerprint", "edited_fingerprint")})
+        .drop("next_fingerprint")
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -139,11 +185,60 @@ QUERIES = {
         op8_feistel,
         op9_line_runs,
         op10_simhash_blocks,
+        op11_prefix_trie,
+        op12_periodic_runs,
+        op13_multiset_hash,
         pipeline,
     )
 }
 
+# The CRC-32 of the digits of ``c``, bit by bit: 3988292384 is the reversed polynomial.
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT],
+    list_transform(string_split(c::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+    lambda acc, byte: list_reduce(list_concat([xor(acc, byte)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295)"""
+
 ORACLE = {
+    "op11_prefix_trie": """
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), s AS (
+  SELECT c, count(*) AS n FROM t GROUP BY c
+), i AS (
+  SELECT c, c - c % 5 AS base, CRC32 % 9 AS h FROM s
+), g AS (
+  SELECT i.c, base, h, least(h, coalesce(n, 0)) AS m FROM i LEFT JOIN s ON s.c = base
+), u AS (
+  SELECT g.c, p AS pos, role, text FROM g JOIN t ON t.c = base AND p < h
+  UNION ALL
+  SELECT g.c, p - h + m, role, text FROM g JOIN t ON t.c = g.c AND p >= h
+), q AS (
+  SELECT c, list({'r': role, 't': text} ORDER BY pos) AS w FROM u GROUP BY c
+), f AS (
+  SELECT i.c, coalesce(w, []) AS w, coalesce(len(w), 0) AS n FROM i LEFT JOIN q ON i.c = q.c
+), x AS (
+  SELECT c, n, d, w[1:d] AS k FROM f, unnest(generate_series(0, n)) AS z(d)
+), v AS (
+  SELECT k, d, min(c) AS conv_id, count(*) AS n_convs,
+         string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d) AS ends,
+         CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * strlen(k[d]['t']) END AS own
+  FROM x GROUP BY k, d
+), e AS (
+  SELECT k[1:d - 1] AS k, d - 1 AS d, count(*) AS n_children FROM v WHERE d > 0 GROUP BY ALL
+), l AS (
+  SELECT v.k, v.d, v.own, e.n_children IS NULL AS leaf FROM v LEFT JOIN e ON v.d = e.d AND v.k = e.k
+), a AS (
+  SELECT l.k[1:y.d] AS k, y.d AS d, sum(own) AS saved, count(*) FILTER (WHERE leaf) AS n_leaves
+  FROM l, unnest(generate_series(0, l.d)) AS y(d) GROUP BY ALL
+)
+SELECT v.conv_id, v.d AS depth, o.conv_id AS parent_conv_id, v.n_convs,
+       coalesce(e.n_children, 0) AS n_children, a.n_leaves, CAST(a.saved AS BIGINT) AS saved_tokens,
+       sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM v JOIN a ON v.d = a.d AND v.k = a.k LEFT JOIN e ON v.d = e.d AND v.k = e.k
+LEFT JOIN v o ON v.d > 0 AND o.d = v.d - 1 AND o.k = v.k[1:v.d - 1]
+""".replace("CRC32", _CRC32),
     "op2_url_bloom": """
 WITH p AS (
   SELECT page_id,

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyrule.llm.common import staged
+from tallyrule.llm.common import fresh_name, staged
 
 ROUNDS = 6
 MAX_WALK = 24  # a walk this long has odds below b**-24; it fails loudly
@@ -70,30 +70,37 @@ def numbered(rows: DataFrame, keys: list[str], name: str) -> tuple[DataFrame, in
     """
     spark = rows.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    local = 1 << 33
-    grouped = rows.groupBy(*rows.columns).agg(F.count("*").alias("__n"))
-    order = [F.col(k).asc_nulls_first() for k in keys] + [F.col(c) for c in rows.columns if c not in keys]
+    local, step = 1 << 33, 4096
+    n, copy, at, part, place = (fresh_name(rows, c) for c in ("n", "copy", "at", "part", "place"))
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    grouped = rows.groupBy(*columns).agg(F.count("*").alias(n))
+    order = [F.col(f"`{k}`").asc_nulls_first() for k in keys]
+    order += [F.col(f"`{c}`") for c in rows.columns if c not in keys]
+    # Copies come back in two steps, so that no array is long.
+    steps = F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / step))
+    copies = F.sequence(F.lit(1).cast("long"), F.least(F.lit(step), F.col(n) - F.col(copy) * step))
     laid = staged(
         grouped.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))))
-        .withColumn("__at", F.monotonically_increasing_id())
+        .withColumn(copy, F.explode(steps))
+        .withColumn(copy, F.explode(copies))
+        .withColumn(at, F.monotonically_increasing_id())
         .select(
-            *rows.columns,
-            F.floor(F.col("__at") / F.lit(local)).cast("int").alias("__part"),
-            (F.col("__at") % local).alias("__place"),
+            *columns,
+            F.floor(F.col(at) / F.lit(local)).cast("int").alias(part),
+            (F.col(at) % local).alias(place),
         ),
         "numbered",
     )
     # One row per partition: bounded by the number of partitions, not rows.
-    sizes = [tuple(r) for r in laid.groupBy("__part").count().collect()]
+    sizes = [tuple(r) for r in laid.groupBy(part).count().collect()]
     first, total = {}, 0
-    for part, size in sorted(sizes):
-        first[part], total = total, total + size
+    for p, size in sorted(sizes):
+        first[p], total = total, total + size
     if not first:
-        return laid.drop("__part", "__place").withColumn(name, F.lit(0).cast("long")), 0
+        return laid.drop(part, place).withColumn(name, F.lit(0).cast("long")), 0
     table = F.array(*[F.lit(first.get(p, 0)).cast("long") for p in range(max(first) + 1)])
-    return laid.withColumn(name, table[F.col("__part")] + F.col("__place")).drop("__part", "__place"), total
+    return laid.withColumn(name, table[F.col(part)] + F.col(place)).drop(part, place), total
 
 
 def shard_rows(rows: DataFrame, keys: list[str], shards: int, seed: int = 0) -> DataFrame:
@@ -108,10 +115,10 @@ def shard_rows(rows: DataFrame, keys: list[str], shards: int, seed: int = 0) ->
     """
     rows = rows.drop("row_number", "shard", "slot")
     out, n = numbered(rows, keys, "row_number")
-    place = permuted(F.col("row_number"), n, seed)
+    place = fresh_name(out, "place")
     return (
-        out.withColumn("__place", place)
-        .withColumn("shard", (F.col("__place") % shards).cast("int"))
-        .withColumn("slot", F.floor(F.col("__place") / F.lit(shards)).cast("long"))
-        .drop("__place")
+        out.withColumn(place, permuted(F.col("row_number"), n, seed))
+        .withColumn("shard", (F.col(place) % shards).cast("int"))
+        .withColumn("slot", F.floor(F.col(place) / F.lit(shards)).cast("long"))
+        .drop(place)
     )
