@@ -192,12 +192,13 @@ def fingerprint_edits(docs: DataFrame, id: str = "doc_id", text: str = "text") -
         F.col(f"`{id}`").alias("id"), key.alias("k"), F.xxhash64(body).alias("h"), F.length(body).alias("n"), body.alias("t")
     )
     keys = ["k", "h", "n"]
-    own = rows.groupBy(*keys).agg(F.first("id").alias("id"), F.first("t").alias("t"), F.count("*").alias("copies"))
-    places, total = numbered(rows.select("id", *keys).distinct(), ["id"], "at")
+    once = rows.groupBy(*keys).agg(F.first("id").alias("id"), F.count("*").alias("copies"))
+    places, total = numbered(once, ["id"], "at")
     before = places.select(*[F.col(c).alias(f"b{c}") for c in keys], ((F.col("at") + 1) % max(total, 1)).alias("at"))
     ring = places.select(*keys, "at").join(before, "at").drop("at")
-    following = own.select(*keys, "t").join(ring, keys)
-    following = following.select(*[F.col(f"b{c}").alias(c) for c in keys], F.col("t").alias("next"))
+    # Only keys and text, wherever it is read, so that one shuffle of the texts serves all.
+    own = rows.groupBy(*keys).agg(F.first("t").alias("t"))
+    following = own.join(ring, keys).select(*[F.col(f"b{c}").alias(c) for c in keys], F.col("t").alias("next"))
     pairs = own.join(following, keys)
     half = F.floor(F.col("n") / 2).cast("int")
     keep = F.col("n") - half
@@ -206,7 +207,8 @@ def fingerprint_edits(docs: DataFrame, id: str = "doc_id", text: str = "text") -
     # at most five rows a document, whatever its size
     found = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("part", "__f"))).alias("f"))
     edited = F.concat(F.left("t", keep), F.left("next", half))
-    out = pairs.select(*keys, "id", "copies", F.sha2(edited.cast("binary"), 256).alias("edited_sha256")).join(found, keys)
+    out = pairs.select(*keys, F.sha2(edited.cast("binary"), 256).alias("edited_sha256")).join(found, keys)
+    out = out.join(places.select(*keys, "id", "copies"), keys)
 
     def total_of(*parts: int) -> Column:
         nothing = F.array_repeat(F.lit(0).cast("long"), COUNTS + STRONG + SIGNS)
