@@ -337,7 +337,10 @@ _COMPILED: dict[int, Processor] = {}
 
 
 def _compiled(held) -> Processor:
-    """The worker's processor: compiled once in each Python worker."""
+    """The worker's processor: compiled once in each Python worker, and kept for its later tasks.
+
+    It stays bounded: one model, ``MEMO`` stretches of ``MEMO_CHARS`` characters.
+    """
     key = hash(held.value)
     if key not in _COMPILED:
         _COMPILED.clear()
@@ -369,9 +372,8 @@ def _mapped(docs: DataFrame, model: bytes, text: str, names: list[str], exact: b
                     found.append(pa.array(np.diff(ends).astype(np.int64)))
                     found.append(pa.array([p.decode(i.tolist()) == t for i, t in zip(ids, texts, strict=True)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays([*part.columns, *found], names=columns)
-        # Workers live on and serve other stages: nothing of this one stays.
-        _COMPILED.clear()
-        del p
+        # Workers live on: the compiled model and the stretches last used stay for the next task.
+        p.older = {}
         pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, schema)
