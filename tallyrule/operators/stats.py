@@ -1,14 +1,14 @@
 """Group counts and per-column marginal totals.
 
 ``count_statistics`` never puts one key's tuples into a single window
-partition: the joint counts are aggregated once (map-side partial
-aggregation absorbs hot keys), each marginal is a partial aggregation over
-those counts, and each marginal is joined back by its key.
-Marginal tables hold one row per distinct value, so adaptive execution
-broadcasts them when they are small and otherwise runs a sort-merge join whose
-skewed partitions it splits. The joint counts are read once per key column
-(plus once for the base side) but only the small marginals are written,
-whereas one window per column would re-shuffle and sort the tuples each time.
+partition: the joint counts are aggregated once (map-side partial aggregation
+absorbs hot keys), and one more partial aggregation over them gives the
+marginals of all columns together: each count is read once, spread to one row a
+column, and summed by (column, value). Every column's join then looks its values
+up in that one table, so the joint counts are read twice however many columns
+there are. The table holds one row per column and distinct value; adaptive
+execution broadcasts it (once, for all joins) when it is small and otherwise
+runs sort-merge joins whose skewed partitions it splits.
 """
 
 from __future__ import annotations
@@ -62,17 +62,23 @@ def statistics_from_counts(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
         # One key: its marginal is the joint count itself.
         (c,) = cols
         return counts.select(_c(c), _c(_N).alias(f"{c}_count")).orderBy(F.col(f"{c}_count").desc(), _c(c).asc())
+    kinds = [counts.schema[c].dataType for c in cols]
+
+    def key(i: int) -> Column:
+        """The value of the column ``i``, marked with its place; nulls compare equal inside."""
+        fields = [_c(c) if j == i else F.lit(None).cast(kinds[j]) for j, c in enumerate(cols)]
+        return F.struct(F.lit(i).alias("i"), *[f.alias(f"k{j}") for j, f in enumerate(fields)])
+
+    marginals = counts.select(_N, F.explode(F.array(*[key(i) for i in range(len(cols))])).alias("__tally_k"))
+    marginals = marginals.groupBy("__tally_k").agg(F.sum(_N).cast("bigint").alias("__tally_m"))
     out = counts
     for i, c in enumerate(cols):
-        key = f"__tally_k{i}"
-        # One partial aggregation per column over the joint counts; the
-        # counts' shuffle is shared by all of them and by the base side.
-        marg = counts.groupBy(_c(c).alias(key)).agg(F.sum(_N).cast("bigint").alias(f"{c}_count"))
-        out = out.join(marg, _c(c).eqNullSafe(F.col(key)), "inner").drop(key)
+        side = marginals.select(F.col("__tally_k").alias(f"__tally_k{i}"), F.col("__tally_m").alias(f"{c}_count"))
+        out = out.join(side, key(i) == F.col(f"__tally_k{i}"), "inner").drop(f"__tally_k{i}")
     # Ties on every marginal are broken by the joint count, then the keys:
     # the order is total (balanced range partitions), and because the sort
-    # reads the joint count the base side stays the very aggregate the
-    # marginals reuse, so the input is read once.
+    # reads the joint count the base side stays the very aggregate that the
+    # marginals sum, so the input is read once.
     return out.orderBy(
         *[_c(f"{c}_count").desc() for c in cols], F.col(_N).desc(), *[_c(c).asc() for c in cols]
     ).select(*[_c(c) for c in cols], *[_c(f"{c}_count") for c in cols])
@@ -83,9 +89,7 @@ def count_statistics(df: DataFrame, *cols: str) -> DataFrame:
 
     Output: the key columns, then ``<col>_count`` for each, without the joint
     count; ordered by the marginals, largest first, in argument order. Null
-    keys form one group. Keys should be data columns: for a literal column
-    (say ``lit(None)``), Spark folds the join key away and attaches the
-    one-row marginal without a key, which is linear but a nested-loop join.
+    keys form one group.
     """
     return statistics_from_counts(group_counts(df, cols), cols)
 
