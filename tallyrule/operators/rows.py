@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,10 +91,42 @@ def relabel(df: DataFrame, schema: T.StructType) -> DataFrame:
 def first_row(df: DataFrame, *order_by: Any) -> Row | None:
     """The first row, or ``None`` for an empty frame. (F1)
 
-    Without ``order_by`` this is whatever row Spark reads first; pass an
-    ordering when the choice must be stable.
+    Without ``order_by``, a frame that is read from files (and at most filtered
+    or projected since) gives its first row in the order of their paths: files
+    without rows are passed over, and within a file the place in it decides. So
+    the answer does not depend on how Spark packs files into tasks. Any other
+    frame gives whatever row Spark reads first; pass an ordering when the choice
+    must be stable.
     """
-    return (df.orderBy(*order_by) if order_by else df).first()
+    if order_by:
+        return df.orderBy(*order_by).first()
+    path, start, place = "__first_path", "__first_start", "__first_place"
+
+    def least(rows: DataFrame) -> Row | None:
+        """Of these rows, the one whose file, block in it and place in that come first."""
+        placed = rows.select(
+            "*",
+            F.col("_metadata.file_path").alias(path),
+            F.col("_metadata.file_block_start").alias(start),
+            F.monotonically_increasing_id().alias(place),
+        )
+        return placed.orderBy(path, start, place).drop(path, start, place).first()
+
+    try:
+        df.select("_metadata.file_path")
+    except AnalysisException:
+        return df.first()
+    # A filter on the path skips the other files, so as a rule one file is read;
+    # after files without rows more are tried at once.
+    names, at, many = sorted(df.inputFiles()), 0, 1
+    while at < len(names):
+        tried = names[at : at + many]
+        tried += [n.replace(":///", ":/", 1) for n in tried]  # either spelling of a local path
+        found = least(df.filter(F.col("_metadata.file_path").isin(tried)))
+        if found is not None:
+            return found
+        at, many = at + many, 8 * many
+    return least(df)  # no rows, or a file system that spells its paths in another way
 
 
 def drop_equal_rows(df: DataFrame, row: Row | Mapping[str, Any] | Sequence[Any] | None) -> DataFrame:

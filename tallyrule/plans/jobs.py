@@ -104,8 +104,8 @@ def create_clusters(
     ``spark.checkpoint.dir``, not from the tree; ``written`` reads the tree with
     the options it was written with. ``read_options`` go to :func:`read_lines`
     (another ``sep`` or ``quote`` keeps text that the defaults cut). On several
-    files "the first row" is whichever Spark reads first; pass ``drop_row`` to
-    fix it. ``reuse`` works as in :func:`reports`.
+    files the first row is that of the first path (:func:`first_row`). ``reuse``
+    works as in :func:`reports`.
     """
     text = read_lines(spark, source, **(read_options or {}))
     header_row = first_row(text) if drop_row is FIRST else drop_row
@@ -180,7 +180,9 @@ def unbranded(
     If ``observation`` is a list, the Observation counting all labelled rows
     is appended to it; it is filled by the first action on the result.
     """
-    compiled = compile_rules(filter_eq_or_null(rules, "mcc_supercat", supercat), max_rules=max_rules)
+    compiled = compile_rules(
+        filter_eq_or_null(rules, "mcc_supercat", supercat), max_rules=max_rules, schema=data.schema
+    )
     # Labelled rows are counted in flight. The filter on the label stays above
     # that count, so the rules run once per row, in the labelling projection,
     # and the label stays a data column (a literal null would turn the
