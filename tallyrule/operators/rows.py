@@ -11,13 +11,30 @@ from functools import reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyrule.functions.columns import REGEX_META
 
 
+def _parts(line: Column, sep: str) -> Column:
+    if len(sep) == 1 and sep not in REGEX_META:
+        # A single literal character: trimming it is the same as stripping
+        # the regex and about twice as fast.
+        stripped = F.rtrim(line, F.lit(sep))
+    else:
+        stripped = F.regexp_replace(line, f"(?:{sep})+\\z", "")
+    # A line of separators only has no parts at all (an empty line has one).
+    return F.when((stripped == "") & (line != ""), F.array().cast("array<string>")).otherwise(F.split(stripped, sep, -1))
+
+
+def _field_names(names: Sequence[str] | T.StructType | int) -> list[str]:
+    if isinstance(names, int):
+        return [f"_c{i}" for i in range(names)]
+    return names.fieldNames() if isinstance(names, T.StructType) else list(names)
+
+
 def split_lines(
     df: DataFrame,
     sep: str = "\t",
@@ -29,30 +46,60 @@ def split_lines(
     Trailing empty parts are discarded before counting, so a line whose last
     field is empty falls short and is dropped, like every line with a
     different number of parts. Empty middle fields stay empty strings.
+    :func:`split_outcomes` keeps what is dropped here, with the reason.
     """
-    if isinstance(names, int):
-        names = [f"_c{i}" for i in range(names)]
-    elif isinstance(names, T.StructType):
-        names = names.fieldNames()
-    line = F.col(f"`{line_col or df.columns[0]}`")
-    if len(sep) == 1 and sep not in REGEX_META:
-        # A single literal character: trimming it is the same as stripping
-        # the regex and about twice as fast.
-        stripped = F.rtrim(line, F.lit(sep))
-    else:
-        stripped = F.regexp_replace(line, f"(?:{sep})+\\z", "")
-    # A line of separators only has no parts at all (an empty line has one).
-    parts = F.when((stripped == "") & (line != ""), F.array().cast("array<string>")).otherwise(
-        F.split(stripped, sep, -1)
-    )
-    n = len(names)
+    names = _field_names(names)
     return (
-        df.select(parts.alias("__parts"))
-        .filter(F.size("__parts") == n)
+        df.select(_parts(F.col(f"`{line_col or df.columns[0]}`"), sep).alias("__parts"))
+        .filter(F.size("__parts") == len(names))
         .select(*[F.col("__parts")[i].alias(name) for i, name in enumerate(names)])
     )
 
 
+#: What becomes of a line, in the column that :func:`split_outcomes` adds.
+KEPT, TOO_FEW, TOO_MANY, MALFORMED = "kept", "too_few", "too_many", "malformed"
+OUTCOMES = (KEPT, TOO_FEW, TOO_MANY, MALFORMED)
+
+
+def split_outcomes(
+    df: DataFrame,
+    sep: str = "\t",
+    names: Sequence[str] | T.StructType | int = 17,
+    line_col: str | None = None,
+    outcome: str = "outcome",
+    rejected: str = "rejected",
+) -> DataFrame:
+    """:func:`split_lines` without dropping: the fields, ``outcome`` and ``rejected``, one row a line.
+
+    ``outcome`` is ``kept``, ``too_few`` or ``too_many`` (parts), or
+    ``malformed`` for a null line. A line that is not kept has null fields and
+    its text in ``rejected``, which is null for the others. Written partitioned
+    by ``outcome``, one pass gives the rows and a table of rejects.
+    """
+    names = _field_names(names)
+    line, parts = F.col("__line"), F.col("__parts")
+    split = df.select(F.col(f"`{line_col or df.columns[0]}`").alias("__line")).withColumn("__parts", _parts(line, sep))
+    size = F.size(parts)
+    kept = line.isNotNull() & (size == len(names))
+    reason = F.when(line.isNull(), MALFORMED).when(size < len(names), TOO_FEW).when(size > len(names), TOO_MANY)
+    return split.select(
+        *[F.when(kept, F.get(parts, F.lit(i))).alias(name) for i, name in enumerate(names)],
+        reason.otherwise(KEPT).alias(outcome),
+        F.when(~kept, line).alias(rejected),
+    )
+
+
+def observe_outcomes(df: DataFrame, outcome: str = "outcome", name: str = "outcomes") -> tuple[DataFrame, Observation]:
+    """Count the rows of each outcome as a side effect of the next action on the returned frame.
+
+    The observation holds ``lines`` and one number for each of :data:`OUTCOMES`;
+    ``lines`` is their sum. Filter for what is kept after it, not before.
+    """
+    seen = Observation(name)
+    each = [F.count_if(F.col(f"`{outcome}`") == o).alias(o) for o in OUTCOMES]
+    return df.observe(seen, F.count(F.lit(1)).alias("lines"), *each), seen
+
+
 def with_schema(df: DataFrame, schema: T.StructType, cast: bool = True, tolerant: bool = False) -> DataFrame:
     """Attach ``schema`` to the columns of ``df`` by position. (R2)
 

@@ -36,7 +36,7 @@ from tallyrule.sources.sinks import write_partitioned
 FIRST = object()
 
 #: Options of a write that a read does not have.
-_WRITE_ONLY = {"mode", "rebalance", "maxRecordsPerFile", "compression"}
+_WRITE_ONLY = {"mode", "rebalance", "rows_per_file", "adaptive", "maxRecordsPerFile", "compression"}
 
 
 @dataclass
@@ -102,7 +102,9 @@ def create_clusters(
     written in ``format``: delimited text by default, or e.g. ``"parquet"``.
     Both reports and ``rows_written`` come from the labelled rows, staged under
     ``spark.checkpoint.dir``, not from the tree; ``written`` reads the tree with
-    the options it was written with. ``read_options`` go to :func:`read_lines`
+    the options it was written with. The stage goes when the caller's
+    :func:`tallyrule.scratch.scratch_scope` ends; a tree that is overwritten
+    stays readable until the new one is complete. ``read_options`` go to :func:`read_lines`
     (another ``sep`` or ``quote`` keeps text that the defaults cut). On several
     files the first row is that of the first path (:func:`first_row`). ``reuse``
     works as in :func:`reports`.

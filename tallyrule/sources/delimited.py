@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyrule.operators.rows import KEPT, MALFORMED
 from tallyrule.plans.schemas import LABEL_COL, RULE_SCHEMA, with_label_field
 
 
@@ -44,6 +45,36 @@ def read_delimited(
     return reader.options(**options).load(path)
 
 
+def read_delimited_outcomes(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    *,
+    encoding: str = "UTF-8",
+    header: bool = True,
+    sep: str = "\t",
+    outcome: str = "outcome",
+    rejected: str = "rejected",
+    **options: str,
+) -> DataFrame:
+    """:func:`read_delimited` of text without dropping malformed lines.
+
+    Every line of the files (headers and blank lines aside) is a row. Where the
+    default read of all columns would drop it (another number of fields, a field
+    that is not of its type), ``outcome`` is ``malformed`` and ``rejected``
+    holds the line; else they are ``kept`` and null. That does not depend on
+    which columns are used afterwards: a line is parsed as a whole.
+    """
+    lines = read_lines(spark, path, encoding=encoding, header=header, sep="\u0001", quote="")
+    parsed = T.StructType([*schema.fields, T.StructField("__malformed", T.StringType())])
+    settings = {"mode": "PERMISSIVE", "sep": sep, "columnNameOfCorruptRecord": "__malformed", **options}
+    line = F.col(f"`{lines.columns[0]}`")
+    rows = lines.select(F.from_csv(line, F.lit(parsed.toDDL()), settings).alias("__row"))
+    bad = F.col("__row.__malformed").isNotNull()
+    fields = [F.when(~bad, F.col(f"__row.`{f.name}`")).alias(f.name) for f in schema.fields]
+    return rows.select(*fields, F.when(bad, MALFORMED).otherwise(KEPT).alias(outcome), F.col("__row.__malformed").alias(rejected))
+
+
 def read_partitioned(
     spark: SparkSession,
     path: str,

@@ -4,42 +4,113 @@ Output grouping is the writer's single shuffle. With adaptive execution on,
 the frame is rebalanced by the partition columns: small labels end up in one
 file each, and a label holding a large share of the rows is split across
 several tasks (and files) instead of landing in one. Without adaptive
-execution the rows of a label are spread by their content and their place in
-the input, so even equal rows reach several tasks; a task that is run again
-reads the same input in the same order and spreads it alike.
+execution the labels are counted first, and each gets as many files as its rows
+ask for. Which file a row goes to follows from its content alone and, for rows
+equal in every column, from a number that a partial count gives each of them;
+so a task that is run again deals its rows as before.
+
+Overwriting never touches what is there until the new tree is complete:
+it is written beside the target and then takes its place.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
-#: Least salt buckets per label when adaptive execution is off and none is given.
-DEFAULT_SALT = 16
+from tallyrule.scratch import exists, remove, rename
 
+#: Rows that a file of a label should hold when adaptive execution is off.
+ROWS_PER_FILE = 1_000_000
 
-def _adaptive(df: DataFrame) -> bool:
-    return df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+#: At most so many labels can have more rows than a file should hold.
+MAX_LARGE = 10_000
 
 
-def _buckets(df: DataFrame) -> int:
-    """As many as the shuffle has partitions: a hot label can use them all."""
-    return max(DEFAULT_SALT, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def _adaptive(df: DataFrame) -> bool:
+    return df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
 
 
-def _writer(df: DataFrame, format: str, mode: str, encoding: str, header: bool, sep: str, options: dict):
+def _writer(
+    df: DataFrame, format: str, mode: str, encoding: str, header: bool, sep: str, options: dict
+) -> DataFrameWriter:
     w = df.write.format(format).mode(mode)
     if format == "csv":
         w = w.options(encoding=encoding, header=str(header).lower(), sep=sep)
     return w.options(**options)
 
 
-def _salt(df: DataFrame, buckets: int):
-    # The row's place goes in as well, so equal rows do not share a bucket.
-    place = (F.spark_partition_id(), F.monotonically_increasing_id())
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], *place), F.lit(buckets))
+def _numbered_copies(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a number from 0 for each of the rows that are equal in every column."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    step = 4096  # copies come back in two steps, so that no array is long
+    steps = F.sequence(F.lit(0).cast("long"), F.floor((F.col(name) - 1) / step))
+    first = F.col(name)["first"]
+    last = F.least(first + step, F.col(name)["n"]) - 1
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias(name))
+    blocks = F.explode(F.transform(steps, lambda s: F.struct((s * step).alias("first"), F.col(name).alias("n"))))
+    return counted.withColumn(name, blocks).withColumn(name, F.explode(F.sequence(first, last)))
+
+
+def _salted(df: DataFrame, cols: list[str], salt: int | None, rows_per_file: int) -> DataFrame:
+    """``df`` dealt out by label and, for labels with many rows, by content."""
+    taken = {c.lower() for c in df.columns}
+    copy, salts = (next(n for n in (f"__{s}{'_' * k}" for k in range(len(taken) + 1)) if n not in taken) for s in ("copy", "salts"))
+    labels = [F.col(f"`{c}`") for c in cols]
+    rows = _numbered_copies(df, copy)
+    if salt is not None:
+        rows = rows.withColumn(salts, F.lit(salt).cast("long"))
+    else:
+        counts = df.groupBy(*labels).agg(F.count(F.lit(1)).alias(salts))
+        total = counts.agg(F.sum(salts)).first()[0] or 0
+        most = max(rows_per_file, -(-total // MAX_LARGE))
+        # Fewer than MAX_LARGE labels can have more than that many rows each.
+        large = counts.filter(F.col(salts) > most).withColumn(salts, F.ceil(F.col(salts) / F.lit(most)))
+        names = [f"{salts}{i}" for i in range(len(cols))]
+        large = large.select(*[c.alias(n) for c, n in zip(labels, names)], F.col(salts))
+        same = [c.eqNullSafe(F.col(n)) for c, n in zip(labels, names)]
+        rows = rows.join(F.broadcast(large), same, "left").drop(*names)
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], copy)
+    # a stated number of partitions, which adaptive execution does not merge
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, *labels, F.pmod(content, F.coalesce(F.col(salts), F.lit(1)))).drop(copy, salts)
+
+
+def _replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Let ``write`` fill a folder beside ``path``, then put it in its place.
+
+    If the write fails, the old tree is as it was. Between the two renames
+    there is a moment without a tree; where a rename fails the old one is put
+    back.
+    """
+    stem, mark = path.rstrip("/"), uuid.uuid4().hex
+    head, _, tail = stem.rpartition("/")
+    fresh, old = (f"{head}/_{kind}-{mark}-{tail}" if head else f"_{kind}-{mark}-{tail}" for kind in ("new", "old"))
+    try:
+        write(fresh)
+    except BaseException:
+        remove(spark, fresh)
+        raise
+    moved = rename(spark, stem, old)
+    if not rename(spark, fresh, stem):
+        if moved:
+            rename(spark, old, stem)
+        remove(spark, fresh)
+        raise OSError(f"could not put the new tree in place of {path}")
+    if moved:
+        remove(spark, old)
+
+
+def _save(writer: DataFrameWriter, spark: SparkSession, path: str, mode: str, options: dict) -> None:
+    setting = "partitionOverwriteMode"
+    partly = options.get(setting, spark.conf.get(f"spark.sql.sources.{setting}", "static")).lower() == "dynamic"
+    if mode == "overwrite" and not partly and exists(spark, path):
+        _replace(spark, path, lambda fresh: writer.mode("errorifexists").save(fresh))
+    else:
+        writer.save(path)
 
 
 def write_partitioned(
@@ -54,12 +125,15 @@ def write_partitioned(
     sep: str = "\t",
     salt: int | None = None,
     rebalance: bool = True,
+    rows_per_file: int = ROWS_PER_FILE,
+    adaptive: bool | None = None,
     **options: str,
 ) -> None:
     """Write ``df`` under ``path`` with one directory per value of ``cols``.
 
-    ``salt`` forces a fixed number of hash buckets per label instead of the
-    adaptive rebalance; ``maxRecordsPerFile`` can be passed to bound files.
+    ``adaptive`` says whether adaptive execution deals out the rows, by default
+    as the session has it; if not, a label gets a bucket for every
+    ``rows_per_file`` rows, or ``salt`` buckets where that is given. ``maxRecordsPerFile`` can be passed to bound files.
     ``rebalance=False`` skips the shuffle: each task writes straight into the
     directories of the labels it holds (no data movement, up to tasks × labels
     files).
@@ -69,11 +143,12 @@ def write_partitioned(
         raise ValueError("write_partitioned needs at least one column; use write_unpartitioned")
     if not rebalance:
         grouped = df
-    elif salt is None and _adaptive(df):
+    elif salt is None and (_adaptive(df) if adaptive is None else adaptive):
         grouped = df.hint("rebalance", *cols)
     else:
-        grouped = df.repartition(*[F.col(f"`{c}`") for c in cols], _salt(df, salt or _buckets(df)))
-    _writer(grouped, format, mode, encoding, header, sep, options).partitionBy(*cols).save(path)
+        grouped = _salted(df, cols, salt, rows_per_file)
+    writer = _writer(grouped, format, mode, encoding, header, sep, options).partitionBy(*cols)
+    _save(writer, df.sparkSession, path, mode, options)
 
 
 def write_unpartitioned(
@@ -93,4 +168,4 @@ def write_unpartitioned(
     through one task.
     """
     out = df.hint("rebalance") if _adaptive(df) else df
-    _writer(out, format, mode, encoding, header, sep, options).save(path)
+    _save(_writer(out, format, mode, encoding, header, sep, options), df.sparkSession, path, mode, options)
