@@ -1,19 +1,21 @@
 """Line dedup over levelled sorted runs of line hashes.
 
 ``LineRuns`` keeps what earlier batches held as runs: tables of 128-bit line
-keys, bucketed and sorted by key, so a later batch joins them without moving
-them. A batch becomes a run of its own on level 0, also with keys that other
-runs hold: a line goes by the number of its documents and their largest id,
-over all batches, so no batch can be decided by an anti-join alone. When a
-level has ``fanout`` runs, they are merged into one run of the next level, so
-the merged totals at the end join a number of runs that grows with the
-logarithm of the batches.
+keys, bucketed and sorted by key, so a later batch is merge-joined with them
+without moving them. The join parts a batch in two: keys that no run holds (the
+anti-join) become a run of their own on level 0, and of keys that one does only
+the number of documents and their largest id are noted beside it. So every key
+has one row in one run. When a level has ``fanout`` runs, they are merged into
+one run of the next level; the runs that a batch is joined with grow in number
+with the logarithm of the batches. A line goes by the documents that hold it in
+all batches: its run's row and the notes on it, together.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 import xxhash
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrule.llm.common import fresh_name, ship, staged
-from tallyrule.scratch import scratch_path
+from tallyrule.scratch import remove, scratch_path
 
 SPACE = " \t\n\x0b\x0c\r"
 MIN_CHARS, MIN_DOCS = 20, 3
@@ -37,36 +39,50 @@ def line_key(line: str, min_chars: int) -> tuple[int, int] | None:
 
 
 class LineRuns:
-    """Levelled runs of ``(h1, h2, n_docs, max_doc)``.
+    """Levelled runs of ``(h1, h2, n_docs, max_doc)``, and notes of the same columns on their keys.
 
-    In one run each key has one row: the number of documents of the run's
-    batches that hold it and the largest of their ids.
+    A key is in one run; its documents are those of the run's row and of all its
+    notes. ``drop`` removes the tables and their files.
     """
 
     def __init__(self, spark: SparkSession, fanout: int = 3, buckets: int | None = None):
         self.spark, self.fanout = spark, fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = [[]]
+        self.batches: list[str] = []
+        self.paths: dict[str, str] = {}
 
     def runs(self) -> list[str]:
         return [name for level in self.levels for name in level]
 
-    def _write(self, df: DataFrame) -> str:
+    def _write(self, df: DataFrame, *parts: str) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
-        (
-            df.repartition(self.buckets, "h1", "h2")
-            .write.format("parquet")
-            .option("path", scratch_path(self.spark, name))
-            .bucketBy(self.buckets, "h1", "h2")
-            .sortBy("h1", "h2")
-            .saveAsTable(name)
-        )
+        self.paths[name] = scratch_path(self.spark, name)
+        writer = df.repartition(self.buckets, "h1", "h2").write.format("parquet").option("path", self.paths[name])
+        writer = writer.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2")
+        (writer.partitionBy(*parts) if parts else writer).saveAsTable(name)
         return name
 
+    def _remove(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove(self.spark, self.paths.pop(name))  # the table has a path of its own, which the drop leaves
+
+    def _run(self, name: str) -> DataFrame:
+        rows = self.spark.table(name)
+        return (rows.filter("not held") if "held" in rows.columns else rows).select("h1", "h2", "n_docs", "max_doc")
+
     def add(self, batch: DataFrame) -> None:
-        """Add a batch of ``(h1, h2, doc)`` rows, one per document and key."""
-        keys = batch.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc").alias("max_doc"))
-        self.levels[0].append(self._write(keys))
+        """Add a batch of ``(h1, h2, doc)`` rows; no other batch may hold the same documents."""
+        keys = batch.distinct().groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc").alias("max_doc"))
+        marks = []
+        for k, name in enumerate(self.runs()):
+            marks.append(f"in_{k}")
+            keys = keys.join(self._run(name).select("h1", "h2", F.lit(True).alias(marks[-1])), ["h1", "h2"], "left")
+        held = F.coalesce(*marks, F.lit(False)) if marks else F.lit(False)
+        # One pass writes both parts: the new run, and what the batch adds to other runs' keys.
+        name = self._write(keys.select("h1", "h2", "n_docs", "max_doc", held.alias("held")), "held")
+        self.batches.append(name)
+        self.levels[0].append(name)
         self.compact()
 
     def compact(self) -> None:
@@ -78,7 +94,8 @@ class LineRuns:
                     self.levels.append([])
                 merged = self._write(self._merged(self.levels[k]))
                 for name in self.levels[k]:
-                    self.spark.sql(f"DROP TABLE {name}")
+                    if name not in self.batches:  # a batch's table has its notes too
+                        self._remove(name)
                 self.levels[k + 1].append(merged)
                 self.levels[k] = []
             k += 1
@@ -86,26 +103,35 @@ class LineRuns:
     def _merged(self, names: list[str]) -> DataFrame:
         # A merge join of the sorted runs, not a union and an aggregate: Spark 4.1 takes
         # a union of tables with equal buckets for bucketed but does not line the buckets
-        # up, and the rows of a key would stay apart.
-        rows = self.spark.table(names[0])
+        # up, and the rows would not be written in order.
+        rows = self._run(names[0])
         for name in names[1:]:
-            more = self.spark.table(name).toDF("h1", "h2", "n", "m")
+            more = self._run(name).toDF("h1", "h2", "n", "m")
             rows = rows.join(more, ["h1", "h2"], "full_outer").select(
-                "h1",
-                "h2",
-                (F.coalesce("n_docs", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("n_docs"),
-                F.greatest("max_doc", "m").alias("max_doc"),
+                "h1", "h2", F.coalesce("n_docs", "n").alias("n_docs"), F.coalesce("max_doc", "m").alias("max_doc")
             )
         return rows
 
     def totals(self) -> DataFrame:
-        """One row per key over all runs."""
-        return self._merged(self.runs())
+        """One row per key over all batches: its run's row with its notes."""
+        # Read as plain files: equal buckets of several tables would pass for lined up in the union.
+        schemas = {name: self.spark.table(name).schema for name in self.batches}
+        notes = [self.spark.read.schema(schemas[n]).parquet(self.paths[n]).filter("held") for n in self.batches]
+        noted = reduce(DataFrame.unionByName, [n.select("h1", "h2", "n_docs", "max_doc") for n in notes])
+        noted = noted.groupBy(F.col("h1").alias("a"), F.col("h2").alias("b"))
+        noted = noted.agg(F.sum("n_docs").alias("n"), F.max("max_doc").alias("m"))
+        noted = staged(noted, "notes")
+        each = []
+        for name in self.runs():
+            rows = self._run(name).join(noted, (F.col("h1") == F.col("a")) & (F.col("h2") == F.col("b")), "left")
+            n_docs = F.col("n_docs") + F.coalesce("n", F.lit(0))
+            each.append(rows.select("h1", "h2", n_docs.alias("n_docs"), F.greatest("max_doc", "m").alias("max_doc")))
+        return reduce(DataFrame.unionByName, each)
 
     def drop(self) -> None:
-        for name in self.runs():
-            self.spark.sql(f"DROP TABLE {name}")
-        self.levels = [[]]
+        for name in list(self.paths):
+            self._remove(name)
+        self.levels, self.batches = [[]], []
 
 
 def dedup_lines(
@@ -127,10 +153,11 @@ def dedup_lines(
     ``\\n``; a text that lost nothing is unchanged, null included, and one that
     lost every line is empty.
 
-    Each row counts as one document, so repeated rows count each; rows that
-    share the largest id keep the line in each. Null ids rank below all
-    others. Other columns pass through; columns called ``n_lines`` or
-    ``n_dropped`` are replaced.
+    Rows that share an id are one document: they count once, and those of the
+    largest id keep the line in each. Rows without an id are one document too,
+    which ranks below all others. Other columns pass through; columns called
+    ``n_lines`` or ``n_dropped`` are replaced. An empty table gives an empty
+    result; a very long text is split in the task that holds its row.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -146,22 +173,27 @@ def dedup_lines(
 
     kind = docs.schema[doc_id].dataType.simpleString()
     # ids travel as text so that every type and null survive pandas
-    lines = staged(
+    keyed = (
         docs.select(
             F.pmod(F.xxhash64(doc_id), F.lit(batches)).cast("int").alias("b"),
             F.col(doc_id).cast("string").alias("d"),
             F.col(text).alias("t"),
         )
         .mapInPandas(keys_of, "batch int, h1 long, h2 long, doc string")
-        .withColumn("doc", F.col("doc").cast(kind)),
-        "lines",
+        .withColumn("doc", F.col("doc").cast(kind))
     )
+    # A folder a batch, so that each reads its own lines only.
+    path = scratch_path(spark, "lines")
+    keyed.write.partitionBy("batch").parquet(path)
+    lines = spark.read.schema(keyed.schema).parquet(path)
 
     runs = LineRuns(spark, fanout)
-    for k in range(batches):
-        runs.add(lines.filter(F.col("batch") == k).select("h1", "h2", "doc"))
-    dropped = staged(runs.totals().filter(F.col("n_docs") >= min_docs).select("h1", "h2", "max_doc"), "dropped")
-    runs.drop()
+    try:
+        for k in range(batches):
+            runs.add(lines.filter(F.col("batch") == k).select("h1", "h2", "doc"))
+        dropped = staged(runs.totals().filter(F.col("n_docs") >= min_docs).select("h1", "h2", "max_doc"), "dropped")
+    finally:
+        runs.drop()
 
     d, cut = fresh_name(docs, "d"), fresh_name(docs, "cut")
     lost = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -27,6 +28,7 @@ from tallyrule.llm import (
     urlfilter,
 )
 from tallyrule.llm.common import connected_components
+from tallyrule.scratch import exists
 
 DOCS = "doc_id long, text string"
 ODD = [
@@ -170,7 +172,23 @@ def test_runs_hold_only_what_decides(spark):
     for batch in ([(1, 1, 5), (1, 1, 7), (2, 2, 5)], [(1, 1, 3), (3, 3, 3)], [(2, 2, 9)]):
         runs.add(spark.createDataFrame(batch, "h1 long, h2 long, doc long"))
     assert sorted(map(tuple, runs.totals().collect())) == [(1, 1, 3, 7), (2, 2, 2, 9), (3, 3, 1, 3)]
+    # Each key found its run once: without the anti-join, (1, 1) and (2, 2) would be in several,
+    # and no run's row, with the notes, would count their documents.
+    held = [tuple(r) for name in runs.runs() for r in runs._run(name).select("h1", "h2").collect()]
+    assert sorted(held) == [(1, 1), (2, 2), (3, 3)]
+    paths = list(runs.paths.values())
+    assert len(paths) == 4 and all(exists(spark, p) for p in paths)
     runs.drop()
+    assert not any(exists(spark, p) for p in paths)
+
+
+def test_lines_of_rows_that_share_an_id(spark):
+    line = "the line that documents share"
+    rows = [(1, line), (1, line), (2, line), (3, "another line that they share"), (4, "another line that they share")]
+    rows += [(None, "another line that they share"), (None, "another line that they share"), (5, line + "\nx")]
+    kept = lambda least: sorted((r["doc_id"] or 0, r["n_dropped"]) for r in linededup.dedup_lines(spark.createDataFrame(rows, DOCS), min_docs=least).collect())
+    assert kept(3) == [(0, 1), (0, 1), (1, 1), (1, 1), (2, 1), (3, 1), (4, 0), (5, 0)]
+    assert kept(4) == [(0, 0), (0, 0), (1, 0), (1, 0), (2, 0), (3, 0), (4, 0), (5, 0)]
 
 
 def test_lines_of_odd_rows(spark):
@@ -504,3 +522,41 @@ def test_language_on_held_out_rows_and_mixtures(spark):
 
 def test_digest_of_nothing():
     assert decontam.items_digest([]) == hashlib.sha256(b"").hexdigest()
+
+
+# --- sharding against plain Python ------------------------------------------------------
+
+
+def plain_place(number, n, seed):
+    """The Feistel permutation, step by step."""
+    a = math.isqrt(n - 1) + 1
+    b = -(-n // a)
+    while True:
+        left, right = divmod(number, b)
+        for k in range(1, sharding.ROUNDS + 1):
+            half = right if k % 2 else left
+            v = int(hashlib.md5(f"{seed}:{k}:{half}".encode()).hexdigest()[:13], 16)
+            if k % 2:
+                left = (left + v) % a
+            else:
+                right = (right + v) % b
+        number = left * b + right
+        if number < n:
+            return number
+
+
+def test_shards_equal_plain_feistel(spark):
+    r = random.Random(4)
+    ids = r.sample(range(10_000), 333)
+    rows = spark.createDataFrame([(i, f"t{i % 3}") for i in ids], "doc_id long, t string").repartition(5)
+    rows = rows.withColumns({c: F.lit(1) for c in ("__n", "__copy", "__at", "__part", "__place", "row_number")})
+    got = sharding.shard_rows(rows, ["doc_id"], 16, 17).collect()
+    want = {i: plain_place(k, len(ids), 17) for k, i in enumerate(sorted(ids))}
+    assert sorted(want.values()) == list(range(len(ids)))
+    assert {x["doc_id"]: (x["shard"], x["slot"]) for x in got} == {i: (p % 16, p // 16) for i, p in want.items()}
+
+
+def test_shards_of_many_equal_rows(spark):
+    rows = spark.range(9000).select(F.lit(7).alias("doc_id"))
+    got = sharding.shard_rows(rows, ["doc_id"], 4).groupBy("shard").agg(F.count("*").alias("n"), F.max("slot").alias("m")).collect()
+    assert sorted((x["n"], x["m"]) for x in got) == [(2250, 2249)] * 4
