@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrule.llm import decontam, linededup, sentencepiece_fst, simhash, toxicity
-from tallyrule.llm.common import staged
+from tallyrule.scratch import remove, scratch_path, scratch_scope
 
 BATCH_ROWS = "1000"  # rows in an Arrow batch
 
@@ -73,8 +73,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``, each one's result written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages applied to ``documents``, each one's result written and read again.
+
+    What a stage staged on its way goes when its result is written, and that
+    result goes when the next one is; the last stage's input stays, since its
+    result is lazy.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with scratch_scope(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        docs, before = spark.read.schema(kept.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
