@@ -60,22 +60,24 @@ def _salted(df: DataFrame, cols: list[str], salt: int | None, rows_per_file: int
     taken = {c.lower() for c in df.columns}
     copy, salts = (next(n for n in (f"__{s}{'_' * k}" for k in range(len(taken) + 1)) if n not in taken) for s in ("copy", "salts"))
     labels = [F.col(f"`{c}`") for c in cols]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = _numbered_copies(df, copy)
     if salt is not None:
         rows = rows.withColumn(salts, F.lit(salt).cast("long"))
     else:
         counts = df.groupBy(*labels).agg(F.count(F.lit(1)).alias(salts))
         total = counts.agg(F.sum(salts)).first()[0] or 0
-        most = max(rows_per_file, -(-total // MAX_LARGE))
-        # Fewer than MAX_LARGE labels can have more than that many rows each.
-        large = counts.filter(F.col(salts) > most).withColumn(salts, F.ceil(F.col(salts) / F.lit(most)))
+        # A file's worth of rows, or a task's fair share if that is less.
+        most = max(min(rows_per_file, -(-total // parts)), -(-total // MAX_LARGE))
+        # Fewer than MAX_LARGE labels can have more than that many rows each. Buckets meet
+        # in partitions by chance, so there are two for each share.
+        large = counts.filter(F.col(salts) > most).withColumn(salts, 2 * F.ceil(F.col(salts) / F.lit(most)))
         names = [f"{salts}{i}" for i in range(len(cols))]
         large = large.select(*[c.alias(n) for c, n in zip(labels, names)], F.col(salts))
         same = [c.eqNullSafe(F.col(n)) for c, n in zip(labels, names)]
         rows = rows.join(F.broadcast(large), same, "left").drop(*names)
     content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], copy)
     # a stated number of partitions, which adaptive execution does not merge
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(parts, *labels, F.pmod(content, F.coalesce(F.col(salts), F.lit(1)))).drop(copy, salts)
 
 
@@ -132,8 +134,9 @@ def write_partitioned(
     """Write ``df`` under ``path`` with one directory per value of ``cols``.
 
     ``adaptive`` says whether adaptive execution deals out the rows, by default
-    as the session has it; if not, a label gets a bucket for every
-    ``rows_per_file`` rows, or ``salt`` buckets where that is given. ``maxRecordsPerFile`` can be passed to bound files.
+    as the session has it; if not, a label with more than ``rows_per_file`` rows,
+    or than its share of a task, is split into buckets, or into ``salt`` buckets
+    where that is given. ``maxRecordsPerFile`` can be passed to bound files.
     ``rebalance=False`` skips the shuffle: each task writes straight into the
     directories of the labels it holds (no data movement, up to tasks × labels
     files).
