@@ -1,8 +1,8 @@
 """Exact top-k inner products by norm-bucketed retrieval.
 
 Candidates are sorted by length and packed into buckets. A query keeps a lower
-bound on its k-th best product, first from the bucket of the longest vectors.
-For another bucket that bound, divided by the lengths of the query and of the
+bound on its k-th best product, first from the bucket of the longest vectors,
+then from every bucket that its task has read. For another bucket that bound, divided by the lengths of the query and of the
 bucket's longest vector, is the cosine a candidate must reach: over one, the
 bucket is skipped; if high, candidates are pruned by the query's largest
 coordinates; if low, by length alone. What is left is verified by exact
@@ -15,12 +15,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyrule.llm.common import ship, staged
 
 BUCKET = 2_048  # candidates in a bucket
+PACKED = 8  # buckets packed by one task
+HELD_BLOCKS = 32  # query blocks whose best products a task keeps at once
 QUERY_BLOCK = 512
 FOCUS = 4  # coordinates looked at by coordinate pruning
 COORDINATE_COSINE = 0.6  # local thresholds from here on prune by coordinates
@@ -49,7 +51,7 @@ def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Exact integer products of all rows of ``q`` with all of ``c``, saturating at the range of a long."""
     if not q.shape[1] or not q.size or not c.size:
         return np.zeros((len(q), len(c)), dtype=np.int64)
-    most = float(np.abs(q).astype(np.float64).max()) * float(np.abs(c).astype(np.float64).max()) * q.shape[1]
+    most = float(np.abs(q.astype(np.float64)).max()) * float(np.abs(c.astype(np.float64)).max()) * q.shape[1]
     if most < 2**53:  # every partial sum is exact in a double
         return (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
     wide = q.astype(object) @ c.astype(object).T
@@ -92,11 +94,26 @@ def prune(q: np.ndarray, bound: float, c: np.ndarray, norms: np.ndarray) -> np.n
     return np.flatnonzero(((unit >= low) & (unit <= high)).all(axis=1))
 
 
-def _matrix(blob: bytes, dim: int) -> np.ndarray:
-    return np.frombuffer(blob, dtype=np.int64).reshape(-1, dim) if dim else np.zeros((0, 0), dtype=np.int64)
+def _blob(v: np.ndarray) -> bytes:
+    """The numbers in the narrowest signed type that holds them all."""
+    if not v.size:
+        return b""
+    low, high = int(v.min()), int(v.max())
+    return v.astype(np.result_type(np.min_scalar_type(min(low, -1)), np.min_scalar_type(min(-1, -high - 1)))).tobytes()
 
 
-def _packed(rows: DataFrame, size: int, with_bound: bool = False) -> DataFrame:
+def _matrix(blob: bytes, n: int, dim: int) -> np.ndarray:
+    """``n`` vectors of a blob, in the type they were stored in."""
+    if not n or not dim:
+        return np.zeros((n, dim), dtype=np.int64)
+    return np.frombuffer(blob, dtype=f"i{len(blob) // (n * dim)}").reshape(n, dim)
+
+
+def _lengths(m: np.ndarray) -> np.ndarray:
+    return np.sqrt((m.astype(np.float64) ** 2).sum(axis=1))
+
+
+def _packed(rows: DataFrame, size: int) -> DataFrame:
     """Rows ``(dim, id, v)`` of a partition, in their order, as blocks of at most ``size`` of one ``dim``."""
 
     def pack(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -113,9 +130,9 @@ def _packed(rows: DataFrame, size: int, with_bound: bool = False) -> DataFrame:
 
     def block(pdf: pd.DataFrame) -> pd.DataFrame:
         v = np.array(pdf["v"].tolist(), dtype=np.int64).reshape(len(pdf), -1)
-        norm = float(np.sqrt((v.astype(np.float64) ** 2).sum(axis=1)).max())
+        norm = float(_lengths(v).max())
         return pd.DataFrame(
-            [(int(pdf["dim"].iloc[0]), len(pdf), norm, pdf["id"].to_numpy(dtype=np.int64).tobytes(), v.tobytes())],
+            [(int(pdf["dim"].iloc[0]), len(pdf), norm, pdf["id"].to_numpy(dtype=np.int64).tobytes(), _blob(v))],
             columns=["dim", "n", "norm", "ids", "m"],
         )
 
@@ -143,9 +160,10 @@ def top_products(
     are candidates each, and a query id that repeats gives its ranks for each
     of its rows. Scores beyond a long saturate. An empty table gives no rows.
 
-    Queries and candidates meet in packed blocks, so a task holds one block of
-    each; the seed bounds and the table of blocks are all that is looked at
-    beforehand.
+    Queries and candidates meet in packed blocks. A task holds one bucket and
+    the best products so far of at most ``HELD_BLOCKS`` query blocks, ``k`` a
+    query; what it hands on are those, not the buckets' own. A bucket's size
+    follows from ``bucket`` alone, whatever the number of partitions.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -157,7 +175,7 @@ def top_products(
     )
     norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     n = rows.count()
-    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n // bucket + 1))
+    parts = n // (PACKED * bucket) + 1
     sorted_rows = rows.withColumn("w", norm).repartitionByRange(parts, "dim", F.desc("w"), "id")
     # Blocks are numbered in the written tables: equal blocks stay apart, and a number is of one dimension.
     buckets = staged(
@@ -166,7 +184,8 @@ def top_products(
         ),
         "buckets",
     )
-    queries = rows.filter("q").select("dim", "id", "v").repartition(max(1, min(parts, n // (20 * query_block) + 1)), "dim", "id")
+    n_queries = rows.filter("q").count()
+    queries = rows.filter("q").select("dim", "id", "v").repartition(n_queries // (PACKED * query_block) + 1, "dim", "id")
     blocks = staged(
         _packed(queries.sortWithinPartitions("dim", "id"), query_block).withColumn("qb", F.monotonically_increasing_id()),
         "queries",
@@ -179,7 +198,7 @@ def top_products(
         out = []
         for dim, ids, m, own, c in zip(*(pdf[x] for x in ("dim", "ids", "m", "sids", "sm")), strict=True):
             q_ids, c_ids = np.frombuffer(ids, np.int64), np.frombuffer(own, np.int64)
-            got = products(_matrix(m, dim), _matrix(c, dim)) if dim else np.zeros((q_ids.size, c_ids.size), np.int64)
+            got = products(_matrix(m, q_ids.size, dim), _matrix(c, c_ids.size, dim))
             bounds = np.full(q_ids.size, np.iinfo(np.int64).min)
             for i, q in enumerate(q_ids):
                 s = got[i][c_ids != q]
@@ -190,10 +209,7 @@ def top_products(
 
     def seeded(parts_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts_:
-            norms = [
-                np.sqrt((_matrix(m, d).astype(np.float64) ** 2).sum(axis=1)) if d else np.zeros(c)
-                for m, d, c in zip(pdf["m"], pdf["dim"], pdf["n"], strict=True)
-            ]
+            norms = [_lengths(_matrix(m, c, d)) for m, d, c in zip(pdf["m"], pdf["dim"], pdf["n"], strict=True)]
             bounds = seed(pdf)
             reach = [
                 float(np.min(np.where(np.frombuffer(t, np.int64) > 0, np.frombuffer(t, np.int64) / np.maximum(x, 1e-300), 0)))
@@ -217,55 +233,86 @@ def top_products(
         bounded.select("dim", "qb", "reach", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
         .join(buckets.select("dim", "b", "norm", F.pmod(F.xxhash64("b"), F.lit(salts)).cast("int").alias("salt")), ["dim", "salt"])
         .filter(F.col("norm") >= F.col("reach") * F.lit(1 - SLACK))
-        .select("qb", "b")
+        .select("qb", "b", "norm")
+        .repartition("qb")
+        .sortWithinPartitions("qb", F.desc("norm"))  # kept where the blocks are small enough to be broadcast
     )
 
     def scan(parts_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, _Best] = {}
         for pdf in parts_:
             for qb, dim, qids, qm, bounds, ids, m in zip(
                 *(pdf[x] for x in ("qb", "dim", "qids", "qm", "bounds", "ids", "m")), strict=True
             ):
-                yield _scan(dim, qids, qm, bounds, ids, m, k).assign(qb=qb)
+                if qb in held:
+                    held[qb] = held.pop(qb)  # last used goes last
+                else:
+                    if len(held) >= HELD_BLOCKS:
+                        first = next(iter(held))
+                        yield held.pop(first).rows().assign(qb=first)
+                    held[qb] = _Best(dim, qids, qm, bounds, k)
+                held[qb].read(ids, m)
+        for qb, found_ in held.items():
+            yield found_.rows().assign(qb=qb)
 
     found = (
         pairs.join(bounded.drop("reach"), "qb")
         .join(buckets.select("b", "ids", "m"), "b")
         .mapInPandas(scan, "query_id long, row int, vec_id long, score long, qb long")
     )
+    order = Window.partitionBy("qb", "row").orderBy(F.desc("score"), "vec_id")
+    return (
+        found.withColumn("rank", F.row_number().over(order))
+        .filter(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score")
+    )
+
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.iloc[best(pdf["vec_id"].to_numpy(), pdf["score"].to_numpy(), k)]
-        return pdf.assign(rank=np.arange(1, len(pdf) + 1, dtype=np.int32))[["query_id", "rank", "vec_id", "score"]]
-
-    return found.groupBy("qb", "row").applyInPandas(merge, "query_id long, rank int, vec_id long, score long")
-
-
-def _scan(dim: int, qids: bytes, qm: bytes, bounds: bytes, ids: bytes, m: bytes, k: int) -> pd.DataFrame:
-    """A block of queries against a bucket: at most ``k`` verified products a query."""
-    q_ids, c_ids = np.frombuffer(qids, np.int64), np.frombuffer(ids, np.int64)
-    bound = np.frombuffer(bounds, np.int64)
-    q = _matrix(qm, dim) if dim else np.zeros((q_ids.size, 0), np.int64)
-    c = _matrix(m, dim) if dim else np.zeros((c_ids.size, 0), np.int64)
-    norms = np.sqrt((c.astype(np.float64) ** 2).sum(axis=1))
-    wanted: list[np.ndarray | None] = [prune(q[i], float(bound[i]), c, norms) for i in range(q_ids.size)]
-    out = []
-
-    def keep(i: int, at: np.ndarray, s: np.ndarray) -> None:
-        ok = (s >= bound[i]) & (c_ids[at] != q_ids[i])
-        at, s = at[ok], s[ok]
-        top = best(c_ids[at], s, k)
-        out.append((np.full(top.size, q_ids[i]), np.full(top.size, i), c_ids[at[top]], s[top]))
-
-    most = [i for i, w in enumerate(wanted) if w is None or w.size > c_ids.size // 4]
-    if most:  # little pruned: one product of matrices for all of them
-        got = products(q[most], c)
-        for row, i in enumerate(most):
-            at = np.arange(c_ids.size) if wanted[i] is None else wanted[i]
-            keep(i, at, got[row][at])
-    done = set(most)
-    for i, w in enumerate(wanted):
-        if i not in done and w.size:
-            keep(i, w, products(q[i : i + 1], c[w])[0])
-    columns = ["query_id", "row", "vec_id", "score"]
-    parts = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.empty(0, np.int64)] * 4
-    return pd.DataFrame(dict(zip(columns, parts, strict=True))).astype({"row": "int32"})
+class _Best:
+    """The best ``k`` verified products of a block of queries over the buckets read so far."""
+
+    def __init__(self, dim: int, qids: bytes, qm: bytes, bounds: bytes, k: int):
+        self.dim, self.k = dim, k
+        self.ids = np.frombuffer(qids, np.int64)
+        self.q = _matrix(qm, self.ids.size, dim).astype(np.int64)
+        self.bound = np.frombuffer(bounds, np.int64).copy()
+        self.found = [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in self.ids]
+
+    def _keep(self, i: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        ok = (scores >= self.bound[i]) & (ids != self.ids[i])
+        if not ok.any():
+            return
+        ids = np.concatenate((self.found[i][0], ids[ok]))
+        scores = np.concatenate((self.found[i][1], scores[ok]))
+        top = best(ids, scores, self.k)
+        self.found[i] = ids[top], scores[top]
+        if top.size == self.k:
+            self.bound[i] = max(self.bound[i], scores[top[-1]])
+
+    def read(self, ids: bytes, m: bytes) -> None:
+        c_ids = np.frombuffer(ids, np.int64)
+        c = _matrix(m, c_ids.size, self.dim).astype(np.int64)
+        norms = _lengths(c)
+        wanted = [prune(self.q[i], float(self.bound[i]), c, norms) for i in range(self.ids.size)]
+        most = [i for i, w in enumerate(wanted) if w is None or w.size > c_ids.size // 4]
+        if most:  # little pruned: one product of matrices for all of them
+            got = products(self.q[most], c)
+            for row, i in enumerate(most):
+                at = slice(None) if wanted[i] is None else wanted[i]
+                self._keep(i, c_ids[at], got[row][at])
+        done = set(most)
+        for i, w in enumerate(wanted):
+            if i not in done and w.size:
+                self._keep(i, c_ids[w], products(self.q[i : i + 1], c[w])[0])
+
+    def rows(self) -> pd.DataFrame:
+        sizes = [x.size for x, _ in self.found]
+        at = np.repeat(np.arange(self.ids.size), sizes)
+        return pd.DataFrame(
+            {
+                "query_id": self.ids[at],
+                "row": at.astype(np.int32),
+                "vec_id": np.concatenate([x for x, _ in self.found]),
+                "score": np.concatenate([x for _, x in self.found]),
+            }
+        )
