@@ -233,9 +233,8 @@ def top_products(
         bounded.select("dim", "qb", "reach", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
         .join(buckets.select("dim", "b", "norm", F.pmod(F.xxhash64("b"), F.lit(salts)).cast("int").alias("salt")), ["dim", "salt"])
         .filter(F.col("norm") >= F.col("reach") * F.lit(1 - SLACK))
-        .select("qb", "b", "norm")
-        .repartition("qb")
-        .sortWithinPartitions("qb", F.desc("norm"))  # kept where the blocks are small enough to be broadcast
+        .select("qb", "b")
+        .repartition("qb")  # keys only; where the blocks are small enough to be broadcast, a task reads all of a query block
     )
 
     def scan(parts_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

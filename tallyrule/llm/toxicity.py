@@ -2,12 +2,13 @@
 
 Positives are documents confirmed as toxic; everything else that may be
 learned from is unlabelled, neither clean nor toxic. A linear classifier over
-hashed words is trained in numpy on the risk
+hashed words and word beginnings is trained in numpy on the risk
 
     prior * E_P[l(f)] + max(0, E_U[l(-f)] - prior * E_P[l(-f)])
 
 whose second part, the risk on the unknown negatives, is kept from falling
-below zero: when a step would push it there, the step goes back instead.
+below zero: when a step would push it there, the step goes back instead. How
+sparse the weights are is chosen by the same risk on a part kept from training.
 """
 
 from __future__ import annotations
@@ -25,18 +26,21 @@ from pyspark.sql import functions as F
 from tallyrule.llm.common import fresh_name, held_out, ship
 
 BITS = 18
+PREFIX = 4  # letters of a word's beginning that count as a feature of their own
+SPARSITIES = (3.6e-3, 1e-2, 3e-2)  # tried by the risk on a kept quarter, least first
 THRESHOLD = 0.3
 MAX_POSITIVES, MAX_UNLABELLED = 4_000, 8_000  # the bounded sample that the classifier is fitted on
 _WORD = re.compile(r"\w+")
 
 
 class _Buckets(dict):
-    """Hash buckets of words, emptied when full."""
+    """Hash buckets of words and, of longer ones, of their beginnings; emptied when full."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) > 100_000:
             self.clear()
-        b = self[word] = zlib.crc32(word.encode()) & (1 << BITS) - 1
+        parts = (word, "^" + word[:PREFIX])[: 1 + (len(word) > PREFIX)]
+        b = self[word] = tuple(zlib.crc32(x.encode()) & (1 << BITS) - 1 for x in parts)
         return b
 
 
@@ -44,8 +48,8 @@ _BUCKETS = _Buckets()
 
 
 def features(text: str | None) -> list[int]:
-    """Buckets of a whole text's distinct lower-cased words."""
-    return [_BUCKETS[w] for w in set(_WORD.findall((text or "").lower()))]
+    """Distinct buckets of a whole text's lower-cased words and their beginnings."""
+    return list({b for w in set(_WORD.findall((text or "").lower())) for b in _BUCKETS[w]})
 
 
 @dataclass
@@ -77,16 +81,20 @@ def fit(
     prior: float,
     steps: int = 150,
     rate: float = 0.05,
-    sparsity: float = 3.6e-3,
+    sparsity: float | None = None,
 ) -> Model:
     """Minimise the non-negative risk by Adam with soft thresholding of the weights.
 
     The threshold is ``sparsity`` over the root of the number of positives, the
-    scale of a weight's noise. Without positives or prior all scores are near 0.
+    scale of a weight's noise; by default ``choose_sparsity`` gives it. Features
+    that one positive alone has are left out, as they tell nothing of others.
+    Without positives or prior all scores are near 0.
     """
     if not positive or not unlabelled or prior <= 0:
         return Model([0.0] * (1 << BITS), -30.0)
     prior = min(prior, 0.99)
+    if sparsity is None:
+        sparsity = choose_sparsity(positive, unlabelled, prior, steps, rate)
     seen = np.bincount(np.concatenate([np.unique(r) for r in positive]).astype(np.int64), minlength=1 << BITS) > 1
     positive, unlabelled = ([r[seen[r]] for r in rows] for rows in (positive, unlabelled))
     sparsity /= math.sqrt(len(positive))
@@ -115,6 +123,36 @@ def fit(
     return Model(w.tolist(), float(b))
 
 
+def risk(model: Model, positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> tuple[float, float]:
+    """The non-negative risk of a model on rows, and its standard error."""
+    w = np.array(model.weights)
+    f_p, f_u = (np.array([model.bias + w[r].sum() for r in rows]) for rows in (positive, unlabelled))
+    as_one, as_zero, unknown = np.logaddexp(0, -f_p), np.logaddexp(0, f_p), np.logaddexp(0, f_u)
+    value = prior * as_one.mean() + max(0.0, unknown.mean() - prior * as_zero.mean())
+    error = math.sqrt((prior * (as_one - as_zero)).var() / f_p.size + unknown.var() / f_u.size)
+    return float(value), error
+
+
+def choose_sparsity(
+    positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 150, rate: float = 0.05
+) -> float:
+    """The least of ``SPARSITIES`` whose risk on a kept quarter is within one standard error of the lowest.
+
+    The quarter is chosen by a hash of a row's features, so copies stay together.
+    """
+
+    def split(rows: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        kept = [zlib.crc32(np.sort(r).astype("<i8").tobytes()) % 4 == 0 for r in rows]
+        return [r for r, k in zip(rows, kept, strict=True) if not k], [r for r, k in zip(rows, kept, strict=True) if k]
+
+    (learn_p, test_p), (learn_u, test_u) = split(positive), split(unlabelled)
+    if not (learn_p and test_p and learn_u and test_u):
+        return SPARSITIES[0]
+    found = [risk(fit(learn_p, learn_u, prior, steps, rate, s), test_p, test_u, prior) for s in SPARSITIES]
+    lowest, error = min(found)
+    return next(s for s, (value, _) in zip(SPARSITIES, found, strict=True) if value <= lowest + error)
+
+
 def _share(key: Column, n: int, most: int) -> Column:
     """A reproducible share of about ``most`` of ``n`` rows, by a hash of the key."""
     return F.pmod(F.xxhash64(F.lit("share"), key), F.lit(1 << 31)) < F.lit(math.ceil((1 << 31) * min(1.0, most / max(1, n))))
@@ -137,7 +175,10 @@ def train(
     ``max_unlabelled`` of all documents, labelled or not. Both bounds hold at
     any size of input. ``prior``, the share of label 1, is by default that of
     all learnable labels. A document with several labels counts as positive if
-    any is 1; null labels and null ids are passed over.
+    any is 1; null labels and null ids are passed over. Rows that share an id are
+    examples each. Null and empty texts are examples without features, very long
+    ones are read whole, and an example is as large as its distinct words. Empty
+    tables give the model without positives.
     """
     ship(docs.sparkSession)
     known = (
@@ -168,8 +209,9 @@ def train(
 def score_documents(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Add ``score`` (0 to 1) and ``predicted`` (1 if at or over ``threshold``) to every row.
 
-    Only the text is read. Null and empty texts score by the bias alone.
-    Columns called ``score`` or ``predicted`` are replaced.
+    Only the text is read, whole however long it is, so repeated rows score
+    alike. Null and empty texts score by the bias alone. An empty table stays
+    empty. Columns called ``score`` or ``predicted`` are replaced.
     """
     ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)

@@ -30,6 +30,19 @@ def test_languages_of_held_out_documents(spark):
     assert sum(r["lang_pred"] == langs[r["doc_id"]] for r in rows) >= 0.9 * len(rows) > 0
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="driver tables not present")
+def test_toxic_held_out_documents_are_found(spark):
+    """The smaller tables have 14 held-out toxic documents or fewer."""
+    sf = "/root/testdata/sf0.1"
+    marks = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = [r for r in QUERIES["op5_toxicity_nnpu"](spark, sf).collect() if r["held_out"] and marks.get(r["doc_id"]) is not None]
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) and fold(r["doc_id"]) == 2 for r in rows)
+    toxic = [r["predicted"] for r in rows if marks[r["doc_id"]] == 1]
+    clean = [r["predicted"] for r in rows if marks[r["doc_id"]] == 0]
+    assert len(toxic) >= 100 and sum(toxic) >= 0.9 * len(toxic)
+    assert sum(clean) <= 0.02 * len(clean)
+
+
 def test_shards_are_reproducible(spark):
     rows = QUERIES["op8_feistel"](spark, SF).collect()
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
