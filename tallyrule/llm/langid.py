@@ -23,7 +23,7 @@ from tallyrule.llm.common import fresh_name, held_out, ship
 BITS = 15  # n-gram buckets: 32,768 for each language
 ORDERS = (2, 3, 4)
 SMOOTHING = 0.5
-MAX_LANGUAGES = 512  # of a model; more than that is refused, not cut
+MAX_LANGUAGES = 512  # of a model, by default; more than asked for are refused, not cut
 EM_STEPS = 25
 UNKNOWN = "und"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -103,20 +103,29 @@ def _em(lik: np.ndarray, counts: np.ndarray, share: np.ndarray) -> tuple[np.ndar
     return share, float(counts @ np.log(lik @ share))
 
 
-def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
+def train(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    lang: str = "lang",
+    max_languages: int = MAX_LANGUAGES,
+) -> Model:
     """Count n-grams of every learnable text by language.
 
     Learnable are rows outside the held-out fold with a text and a language.
     Counts cover all of them: each task sums its rows to one vector a language,
-    then partial sums are added by bucket. What reaches the driver is bounded
-    by languages times buckets. Without any such row the model has no language
-    and predicts ``und``.
+    partial sums are added by bucket and packed to one row a language. A
+    language takes 256 KB on the driver and in each worker, so more than
+    ``max_languages`` are an error. Rows that repeat, by id or in all columns,
+    count each time; very long texts count whole, and empty ones hold no more
+    than blanks. Without any learnable row, as in an empty table, the model has
+    no language and predicts ``und``. Other columns are not read.
     """
     ship(docs.sparkSession)
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(F.col(doc_id)))
-    languages = sorted(r[0] for r in rows.select(lang).distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"over {MAX_LANGUAGES} languages")
+    languages = sorted(r[0] for r in rows.select(lang).distinct().limit(max_languages + 1).collect())
+    if len(languages) > max_languages:
+        raise ValueError(f"over {max_languages} languages; raise max_languages (256 KB a language)")
     size = 1 << BITS
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -129,17 +138,25 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
             at = np.flatnonzero(held)
             yield pd.DataFrame({"lang": name, "bucket": at.astype(np.int32), "n": held[at]})
 
-    counted = (
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        held = np.zeros(size, dtype=np.int64)
+        held[pdf["bucket"].to_numpy()] = pdf["n"].to_numpy()
+        return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "counts": [held.tobytes()]})
+
+    packed = (
         rows.select(F.col(lang).alias("l"), F.col(text).alias("t"))
         .mapInPandas(count, "lang string, bucket int, n long")
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
-        .toPandas()
+        .groupBy("lang")  # at most one row a bucket
+        .applyInPandas(pack, "lang string, counts binary")
     )
     n = np.full((size, len(languages)), SMOOTHING)
     column = {name: k for k, name in enumerate(languages)}
-    np.add.at(n, (counted["bucket"].to_numpy(), counted["lang"].map(column).to_numpy(dtype=np.int64)), counted["n"].to_numpy())
-    return Model(languages, n / n.sum(axis=0))
+    for r in packed.toLocalIterator():
+        n[:, column[r["lang"]]] += np.frombuffer(r["counts"], dtype=np.int64)
+    n /= n.sum(axis=0)
+    return Model(languages, n)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -148,7 +165,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     ``langs`` are the chosen languages with their proportions in ``shares``,
     largest first (equal ones by name); ``lang_pred`` is the first and
     ``score`` its proportion. A text that is null, empty or without a letter
-    is ``und`` with score 0. Columns with the four names are replaced.
+    is ``und`` with score 0. Very long texts are read whole, rows that repeat
+    are judged alike and an empty table stays empty. Columns with the four names
+    are replaced.
     """
     ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)

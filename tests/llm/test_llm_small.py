@@ -526,6 +526,91 @@ def test_toxicity_learning_lowers_the_risk_of_rows_not_learnt_from():
     assert np.argsort(model.weights)[-5:].max() < 5  # the five marks weigh most
 
 
+def plain_grams(text):
+    """Buckets of the byte n-grams with their counts, one at a time."""
+    b = b" " + b" ".join(text.lower().encode().split()) + b" "
+    found = Counter()
+    for n in langid.ORDERS:
+        for k in range(len(b) - n + 1):
+            code = int.from_bytes(bytes([n]) + b[k : k + n], "big")
+            found[(code * 0x9E3779B97F4A7C15 % (1 << 64)) >> (64 - langid.BITS)] += 1
+    return found
+
+
+def plain_mixture(counts, models, penalty=1.0):
+    """Greedy choice of languages and plain EM; ``models`` are languages' bucket probabilities."""
+    total = sum(counts.values())
+
+    def value(share):
+        return sum(c * math.log(sum(p * models[x][g] for x, p in share.items())) for g, c in counts.items())
+
+    def em(share):
+        for _ in range(langid.EM_STEPS):
+            new = dict.fromkeys(share, 0.0)
+            for g, c in counts.items():
+                whole = sum(p * models[x][g] for x, p in share.items())
+                for x, p in share.items():
+                    new[x] += c * p * models[x][g] / whole / total
+            step, share = max(abs(new[x] - share[x]) for x in share), new
+            if step < 1e-4:
+                break
+        return share
+
+    share = max(({x: 1.0} for x in sorted(models)), key=value)
+    cost = penalty * math.log(max(2.0, total / len(langid.ORDERS))) * len(langid.ORDERS)
+    while len(share) < len(models):
+        slopes = {
+            x: sum(c * models[x][g] / sum(p * models[y][g] for y, p in share.items()) for g, c in counts.items()) - total
+            for x in sorted(models)
+            if x not in share
+        }
+        nxt = max(slopes, key=slopes.get)
+        trial = em({**{x: 0.9 * p for x, p in share.items()}, nxt: 0.1})
+        if slopes[nxt] <= cost or value(trial) - value(share) <= cost:
+            break
+        share = trial
+    return share
+
+
+def test_mixtures_equal_plain_expectation_maximisation(spark):
+    r = random.Random(8)
+    tongues = {x: [f"{x}{a}{b}" for a in "abcde" for b in "lmn"] for x in ("qu", "xi", "za")}
+    rows = [(i, " ".join(r.choices(tongues[x], k=30)), x) for i, x in enumerate(r.choices(sorted(tongues), k=90))]
+    rows += [(100 + i, " ".join(sum((r.choices(tongues[x], k=k) for x, k in zip(sorted(tongues), ks)), [])), None)
+             for i, ks in enumerate([(30, 30, 0), (5, 40, 1), (20, 20, 20), (0, 0, 50), (3, 0, 2)])]
+    rows += [(200, None, "qu"), (201, "", "xi"), (202, "12 3", None), (0, rows[0][1], rows[0][2]), (203, "Quam " * 3000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="max_languages"):
+        langid.train(docs, max_languages=2)
+    got = {x["doc_id"]: x for x in langid.identify(docs, langid.train(docs, max_languages=3)).collect()}
+    seen = {x: Counter() for x in tongues}
+    for i, t, x in rows:
+        if x is not None and t is not None and fold(i) != 2:
+            seen[x].update(plain_grams(t))
+    size = 1 << langid.BITS
+    models = {}
+    for x, c in seen.items():
+        whole = sum(c.values()) + langid.SMOOTHING * size
+        models[x] = {g: (c[g] + langid.SMOOTHING) / whole for g in range(size)}
+    for i, t, _ in rows:
+        if t is None or not any(map(str.isalpha, t)):
+            assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0.0)
+            continue
+        want = plain_mixture(plain_grams(t), models)
+        assert set(got[i]["langs"]) == set(want)
+        assert dict(zip(got[i]["langs"], got[i]["shares"])) == pytest.approx(want, abs=1e-6)
+        assert got[i]["lang_pred"] == max(sorted(want), key=want.get) and got[i]["score"] == max(got[i]["shares"])
+
+
+def test_any_number_of_languages(spark):
+    rows = [(i, f"word{i} tongue{i}", f"l{i}") for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    with pytest.raises(ValueError):
+        langid.train(docs, max_languages=100)
+    known = sum(fold(i) != 2 for i in range(700))
+    assert len(langid.train(docs, max_languages=700).languages) == known
+
+
 def test_language_on_held_out_rows_and_mixtures(spark):
     r = random.Random(6)
     words = {"x": ["kala", "poro", "tuuli", "meri"], "y": ["brzo", "crkva", "vrh", "smrt"], "z": ["the", "wind", "sea", "fish"]}
