@@ -1,38 +1,45 @@
-"""Substring dedup by a join of windows on their hashes, in blocks of hash ranges.
-
-This is not a relative Lempel-Ziv parse: no longest match against a reference
-text is taken and a span has no source. A parse of every document against
-every block of text would cost documents times blocks, and the result needs
-only the words that some window of ``min_words`` words with an earlier source
-covers; all windows decide that, and windows of one span may have different
-sources.
-
-Each block holds the seeds (hashes of ``min_words`` consecutive words) of one
-hash range, with the smallest document that has them. Documents are read in
-chunks; a chunk sends each seed once to the block that can hold it, and the
-block answers which seeds an earlier document has. Runs of neighbouring
-answered seeds become the duplicate spans.
+"""Substring dedup by relative Lempel-Ziv parsing against blocks of reference text.
+
+Three steps, each one shuffle:
+
+1. *Which blocks.* The hashes of all windows of ``min_words`` words meet by
+   hash, and each window that an earlier document has learns one such source.
+   This only routes: a document is sent to the reference blocks that hold one of
+   its windows, not to all, and a block need hold no text that nobody asks for.
+2. *Parse.* A reference block holds the asked stretches of the documents dealt to
+   it, indexed by a suffix array over word numbers with the document of every
+   suffix. Each stretch sent there is factored greedily: the longest match that a
+   smaller document id has is a factor, and the parse goes on behind it. Factors
+   of ``min_words`` or more are duplicates; the windows across a factor's end,
+   which lie in no factor, are looked up one by one.
+3. *Cut.* The factors come back to their document, and the words that they cover go.
 """
 
 from __future__ import annotations
 
-import hashlib
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyrule.llm.common import fresh_name, ship
 
 MIN_WORDS = 13
-BLOCK_BYTES = 16 << 20  # corpus text for one reference block
+BLOCK_BYTES = 16 << 20  # corpus text for one block of hashes, or of references
 CHUNK_SEEDS = 1 << 20  # seeds held at once by a reading task
+NO_ID = 1 << 40  # version of rows without an id; others are 32-bit hashes
+FAN = 64  # documents of one window that a block sends to the same source
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 
+_ASKED = "block long, ids binary, texts binary, counts binary, places binary, seeds binary, sources binary"
+_FOUND = "part long, ids binary, texts binary, counts binary, places binary, sources binary"
+_STRETCH = "block long, doc long, version long, place int, words string, asks boolean"
+
 
 class _WordHashes(dict):
     """64-bit hashes of words; emptied when it is full, so memory stays bounded."""
@@ -56,37 +63,40 @@ def seeds(words: list[bytes], size: int, cache: _WordHashes) -> tuple[np.ndarray
     return h, (g ^ g >> np.uint64(29)) * np.uint64(_ODD[2]) >> np.uint64(32)
 
 
-def factors(hits: np.ndarray, size: int) -> list[tuple[int, int]]:
-    """Runs of neighbouring places, sorted, as spans ``[from, to)`` of the words they cover."""
-    if not len(hits):
-        return []
-    ends = np.flatnonzero(np.diff(hits) > 1)
-    first = hits[np.concatenate(([0], ends + 1))]
-    last = hits[np.concatenate((ends, [len(hits) - 1]))]
-    return list(zip(first.tolist(), (last + size).tolist(), strict=True))
-
-
 def _pack(a: np.ndarray) -> bytes:
-    """Small or rising numbers as compressed differences."""
-    return zlib.compress(np.diff(a, prepend=a.dtype.type(0)).tobytes(), 1)
+    """Small or rising numbers as compressed differences, equal bytes of neighbours together."""
+    d = np.diff(a, prepend=a.dtype.type(0))
+    return zlib.compress(np.ascontiguousarray(d.view(np.uint8).reshape(d.size, -1).T).tobytes(), 1)
 
 
 def _unpack(b: bytes, kind: type) -> np.ndarray:
-    return np.cumsum(np.frombuffer(zlib.decompress(b), kind), dtype=kind)
+    planes = np.frombuffer(zlib.decompress(b), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).reshape(-1).view(kind), dtype=kind)
 
 
 def _part(doc: np.ndarray, parts: int) -> np.ndarray:
-    """The part of the documents that an id belongs to."""
+    """The part of the documents, and the reference block, that an id belongs to."""
     return ((doc.astype(np.uint64) * np.uint64(_ODD[0]) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
+def _changes(doc: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Where the next document begins."""
+    new = np.ones(doc.size, dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])
+    return new
+
+
+# --- step 1: which reference blocks hold a document's windows --------------------------
+
+
 def _questions(chunk: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]], blocks: int) -> pd.DataFrame:
     """One row for each block that the chunk's seeds fall in, and for each part of the documents with settled seeds.
 
     A document has each of its seeds once. Seeds that an earlier document of
-    the same chunk has are settled here: they need no block and go, without
-    their hash, to their documents' part ``p`` under the number ``-1 - p``. So
-    a seed that very many documents share reaches its block once per chunk.
+    the same chunk has are settled here, with that document as their source:
+    they need no block and go, without their hash, to their documents' part
+    ``p`` under the number ``-1 - p``, as do the places of the sources. So a
+    seed that very many documents share reaches its block once per chunk.
     """
     chunk.sort(key=lambda x: x[0])
     ids = np.array([x[0] for x in chunk], dtype=np.int64)
@@ -98,58 +108,78 @@ def _questions(chunk: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]],
     place = np.concatenate([x[4] for x in chunk]).astype(np.int32)
     order = np.argsort(h, kind="stable")
     new = np.concatenate(([True], h[order][1:] != h[order][:-1]))
-    first = order[new][np.cumsum(new) - 1]  # earliest place in the chunk of the same seed
-    known = np.zeros(h.size, dtype=bool)
-    known[order] = ids[row[order]] > ids[row[first]]
-    block[known] = -1 - _part(ids, blocks)[row[known]]
+    first = np.empty(h.size, dtype=np.int64)
+    first[order] = order[new][np.cumsum(new) - 1]  # earliest place in the chunk of the same seed
+    known = ids[row] > ids[row[first]]
+    given = np.unique(first[known])
+    home = -1 - _part(ids, blocks)
 
     out = []
-    for settled in (False, True):
-        some = np.flatnonzero(known == settled)
-        some = some[np.argsort(block[some], kind="stable")]
-        for q in np.split(some, np.flatnonzero(np.diff(block[some])) + 1):
-            if q.size:
-                at = np.flatnonzero(np.diff(row[q], prepend=-1))
-                of = row[q][at]
-                counts = np.diff(at, append=q.size).astype(np.int32)
-                out.append(
-                    (int(block[q[0]]), _pack(ids[of]), texts[of].tobytes(), _pack(counts), _pack(place[q]), None if settled else h[q].tobytes())
-                )
-    return pd.DataFrame(out, columns=["block", "ids", "texts", "counts", "places", "seeds"])
-
-
-def _answers(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
-    """Of one block: the places of seeds that a smaller id has, packed by part of the documents.
-
-    Settled rows pass through as they are.
+    for some, where, kind in (
+        (np.flatnonzero(~known), block[~known], "seeds"),
+        (np.flatnonzero(known), home[row[known]], "asks"),
+        (given, home[row[given]], "gives"),
+    ):
+        by = np.argsort(where, kind="stable")
+        some, where = some[by], where[by]
+        for a, b in _slices(where):
+            q = some[a:b]
+            at = np.flatnonzero(np.diff(row[q], prepend=-1))
+            of = row[q][at]
+            counts = np.diff(at, append=q.size).astype(np.int32)
+            head = (int(where[a]), _pack(ids[of]), texts[of].tobytes(), _pack(counts), _pack(place[q]))
+            out.append((*head, h[q].tobytes() if kind == "seeds" else None, _pack(ids[row[first[q]]]) if kind == "asks" else None))
+    return pd.DataFrame(out, columns=["block", "ids", "texts", "counts", "places", "seeds", "sources"])
+
+
+def _slices(a: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of equal neighbours."""
+    cuts = (np.flatnonzero(np.diff(a)) + 1).tolist() if a.size else []
+    return list(zip([0, *cuts], [*cuts, a.size], strict=True)) if a.size else []
+
+
+def _answers(pdf: pd.DataFrame, parts: int, fan: int = FAN) -> pd.DataFrame:
+    """Of one block: the places of seeds that a smaller id has, with a source, and the sources' places, by part of the documents.
+
+    The first ``fan`` documents behind a seed's first one have it as source,
+    the next ones the second, and so on, so that no document serves more than
+    ``fan`` others. Settled rows pass through as they are.
     """
     if pdf["block"].iloc[0] < 0:
-        return pdf.assign(part=-1 - pdf["block"])[["part", "ids", "texts", "counts", "places"]]
+        return pdf.assign(part=-1 - pdf["block"])[["part", "ids", "texts", "counts", "places", "sources"]]
     doc, text, place = _opened(pdf)
     seed = np.concatenate([np.frombuffer(h, np.uint64) for h in pdf["seeds"]])
-    order = np.lexsort((doc, seed))
-    new = np.diff(seed[order], prepend=np.uint64(0)) != 0
-    new[:1] = True
-    least = doc[order][new][np.cumsum(new) - 1]
-    hit = order[doc[order] > least]
-    part = _part(doc[hit], parts)
-    by = np.lexsort((place[hit], text[hit], doc[hit], part))
-    hit, part = hit[by], part[by]
+    order = np.lexsort((text, doc, seed))
+    doc, text, place, seed = doc[order], text[order], place[order], seed[order]
+    start = np.ones(seed.size, dtype=bool)
+    start[1:] = seed[1:] != seed[:-1]
+    group = np.cumsum(start) - 1
+    fresh = start.copy()
+    fresh[1:] |= doc[1:] != doc[:-1]
+    nth = np.cumsum(fresh) - 1  # documents of all groups, numbered through
+    head = np.flatnonzero(fresh)  # first entry of each of them
+    begin = nth[np.flatnonzero(start)][group]
+    place_in_group = nth - begin
+    hit = np.flatnonzero(place_in_group > 0)
+    source = head[begin[hit] + (place_in_group[hit] - 1) // fan]
+    out = _packed(doc[hit], text[hit], place[hit], doc[source], parts)
+    given = np.unique(source)
+    out += _packed(doc[given], text[given], place[given], None, parts)
+    return pd.DataFrame(out, columns=["part", "ids", "texts", "counts", "places", "sources"])
+
+
+def _packed(doc: np.ndarray, text: np.ndarray, place: np.ndarray, source: np.ndarray | None, parts: int) -> list[tuple]:
+    """Places by part of their documents, packed."""
+    part = _part(doc, parts)
+    by = np.lexsort((place, text, doc, part))
+    doc, text, place, part = doc[by], text[by], place[by], part[by]
     out = []
-    for q in np.split(np.arange(hit.size), np.flatnonzero(np.diff(part)) + 1):
-        if q.size:
-            d, t = doc[hit[q]], text[hit[q]]
-            at = np.flatnonzero(_changes(d, t))
-            counts = np.diff(at, append=q.size).astype(np.int32)
-            out.append((int(part[q[0]]), _pack(d[at]), t[at].tobytes(), _pack(counts), _pack(place[hit[q]])))
-    return pd.DataFrame(out, columns=["part", "ids", "texts", "counts", "places"])
-
-
-def _changes(doc: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """Where the next document begins."""
-    new = np.ones(doc.size, dtype=bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])
-    return new
+    for a, b in _slices(part):
+        at = a + np.flatnonzero(_changes(doc[a:b], text[a:b]))
+        counts = np.diff(at, append=b).astype(np.int32)
+        sources = None if source is None else _pack(source[by[a:b]])
+        out.append((int(part[a]), _pack(doc[at]), text[at].tobytes(), _pack(counts), _pack(place[a:b]), sources))
+    return out
 
 
 def _opened(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,56 +191,268 @@ def _opened(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _gathered(pdf: pd.DataFrame) -> pd.DataFrame:
-    """All blocks' answers for a part of the documents: one row a document."""
-    doc, text, place = _opened(pdf)
-    by = np.lexsort((place, text, doc))
-    doc, text, place = doc[by], text[by], place[by]
-    at = np.flatnonzero(_changes(doc, text))
-    rows = [(int(doc[a]), int(text[a]), _pack(place[a:b])) for a, b in zip(at, [*at[1:], doc.size], strict=True)]
-    return pd.DataFrame(rows, columns=["doc", "version", "hits"]).astype({"doc": "int64", "version": "int32"})
-
-
-def duplicate_positions(
-    docs: DataFrame, doc_id: str, text: str, min_words: int, block_bytes: int, chunk_seeds: int
-) -> DataFrame:
-    """``(doc, version, hits)``: packed first places of seeds that an earlier document has, one row a document.
-
-    ``version`` is a hash of the text, which tells rows sharing an id apart.
+    """All answers for a part of the documents: a row a document with asked places and their sources, and one with given places."""
+    rows = []
+    for asks in (True, False):
+        some = pdf[pdf["sources"].notna() == asks]
+        if some.empty:
+            continue
+        doc, text, place = _opened(some)
+        by = np.lexsort((place, text, doc))
+        doc, text, place = doc[by], text[by], place[by]
+        source = np.concatenate([_unpack(x, np.int64) for x in some["sources"]])[by] if asks else None
+        new = _changes(doc, text)
+        once = new.copy()
+        once[1:] |= place[1:] != place[:-1]
+        at = np.flatnonzero(new)
+        for a, b in zip(at, [*at[1:], doc.size], strict=True):
+            q = a + np.flatnonzero(once[a:b])
+            rows.append((int(doc[a]), int(text[a]), _pack(place[q]), _pack(source[q]) if asks else None))
+    return pd.DataFrame(rows, columns=["doc", "version", "places", "sources"]).astype({"doc": "int64", "version": "int64"})
+
+
+def routed_places(asked: DataFrame, min_words: int, blocks: int, chunk_seeds: int) -> DataFrame:
+    """``(doc, version, places, sources)``, packed: asked places with the document to look in, or (no sources) places that others ask for.
+
+    ``asked`` has the columns ``d``, ``v`` and ``t``: id, hash of the text
+    (which tells rows sharing an id apart) and text.
     """
-    spark = docs.sparkSession
-    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // block_bytes))
 
     def ask(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, chunk, held = _WordHashes(), [], 0
+        cache, chunk, seen, held = _WordHashes(), [], set(), 0
         for pdf in parts:
             for doc, version, t in zip(pdf["d"], pdf["v"], pdf["t"], strict=True):
+                if (doc, version) in seen:
+                    continue
                 h, g = seeds(t.encode().split(), min_words, cache)
                 at = np.sort(np.unique(h, return_index=True)[1])
-                h, g = h[at], g[at]
-                if h.size:
-                    chunk.append((doc, version, h, g, at))
-                    held += h.size
+                if at.size:
+                    seen.add((doc, version))
+                    chunk.append((doc, version, h[at], g[at], at))
+                    held += at.size
                 if held >= chunk_seeds:
                     yield _questions(chunk, blocks)
-                    chunk, held = [], 0
+                    chunk, seen, held = [], set(), 0
         if chunk:
             yield _questions(chunk, blocks)
 
-    asked = docs.select(
-        F.col(doc_id).cast("long").alias("d"), F.hash(text).alias("v"), F.col(text).alias("t")
-    ).filter("d is not null and t is not null")
     return (
-        asked.mapInPandas(ask, "block long, ids binary, texts binary, counts binary, places binary, seeds binary")
+        asked.mapInPandas(ask, _ASKED)
+        .repartition(blocks, "block")
         .groupBy("block")
-        .applyInPandas(
-            lambda pdf: _answers(pdf, blocks), "part long, ids binary, texts binary, counts binary, places binary"
-        )
+        .applyInPandas(lambda pdf: _answers(pdf, blocks), _FOUND)
+        .repartition(blocks, "part")
         .groupBy("part")
-        .applyInPandas(_gathered, "doc long, version int, hits binary")
+        .applyInPandas(_gathered, "doc long, version long, places binary, sources binary")
+    )
+
+
+# --- step 2: the parse ---------------------------------------------------------------
+
+
+def _runs(places: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """Runs of neighbouring places, sorted, as spans ``[from, to)`` of the words they cover."""
+    if not len(places):
+        return []
+    ends = np.flatnonzero(np.diff(places) > 1)
+    first = places[np.concatenate(([0], ends + 1))]
+    last = places[np.concatenate((ends, [len(places) - 1]))]
+    return list(zip(first.tolist(), (last + size).tolist(), strict=True))
+
+
+def _stretches(words: list[bytes], places: np.ndarray, sources: np.ndarray | None, size: int, blocks: int, cache: _WordHashes):
+    """``(block, from, to)`` of the stretches to parse against a block, wherever the document has an asked window."""
+    h, _ = seeds(words, size, cache)
+    keys, block = h[places], _part(sources, blocks)
+    by = np.argsort(keys)
+    at = np.minimum(np.searchsorted(keys[by], h), keys.size - 1)
+    where = np.flatnonzero(keys[by][at] == h)
+    of = block[by][at[where]]
+    for b in np.unique(of).tolist():
+        for start, end in _runs(where[of == b], size):
+            yield b, start, end
+
+
+class Reference:
+    """Stretches of reference text, indexed by a suffix array over word numbers; each has a document id."""
+
+    def __init__(self, texts: list[list[bytes]], docs: list[int]):
+        self.numbers: dict[bytes, int] = {}
+        text, owner = [], []
+        for words, doc in zip(texts, docs, strict=True):
+            text += [self.numbers.setdefault(w, len(self.numbers) + 1) for w in words]
+            text.append(0)  # no word: a match never leaves its stretch
+            owner += [doc] * (len(words) + 1)
+        codes = np.array(text, dtype=np.int64)
+        order = _suffix_array(codes, max(map(len, texts), default=0))
+        self.codes = codes.astype(">u4").tobytes()
+        self.owner = np.array(owner, dtype=np.int64)[order]
+        self.order = order.tolist()
+
+    def numbered(self, words: list[bytes]) -> bytes:
+        """Words as the index compares them; words that the references lack match nothing."""
+        return np.array([self.numbers.get(w, 0xFFFFFFFF) for w in words], dtype=">u4").tobytes()
+
+    def _places(self, pattern: bytes, lo: int, hi: int) -> tuple[int, int]:
+        size, codes = len(pattern), self.codes
+
+        def key(i: int) -> bytes:
+            return codes[4 * i : 4 * i + size]
+
+        lo = bisect_left(self.order, pattern, lo, hi, key=key)
+        return lo, bisect_right(self.order, pattern, lo, hi, key=key)
+
+    def _narrowed(self, codes: bytes, at: int, size: int, below: int, lo: int, hi: int) -> tuple[int, int, int] | None:
+        """The suffixes in ``lo:hi`` that begin with ``size`` words from ``at``, and their least id if it is below ``below``."""
+        lo, hi = self._places(codes[4 * at : 4 * (at + size)], lo, hi)
+        if lo == hi:
+            return None
+        least = int(self.owner[lo:hi].min())
+        return (lo, hi, least) if least < below else None
+
+    def has(self, codes: bytes, at: int, size: int, below: int) -> int | None:
+        """Least id below ``below`` of a document with the ``size`` words from ``at``."""
+        found = self._narrowed(codes, at, size, below, 0, len(self.order))
+        return None if found is None else found[2]
+
+    def longest(self, codes: bytes, at: int, below: int, first: int) -> tuple[int, int | None]:
+        """Length and source of the longest match from ``at`` in documents with an id below ``below``.
+
+        Lengths are tried from ``first`` on, doubled while they match, then halved in between.
+        """
+        end = len(codes) // 4 - at
+        good, bad, best = 0, end + 1, (0, len(self.order), None)
+        size = min(first, end)
+        while bad - good > 1:
+            found = self._narrowed(codes, at, size, below, best[0], best[1])
+            if found is None:
+                bad = size
+            else:
+                good, best = size, found
+            size = min(2 * good, end) if bad > end and good else (good + bad) // 2
+        return good, best[2]
+
+    def parse(self, words: list[bytes], below: int, size: int) -> list[tuple[int, int, int]]:
+        """Greedy factors of ``size`` words or more, and windows of ``size`` words across a factor's end, as ``(from, to, source)``."""
+        codes, out, at = self.numbered(words), [], 0
+        while at + size <= len(words):
+            length, source = self.longest(codes, at, below, size)
+            if length >= size:
+                out.append((at, at + length, source))
+            behind = at + max(1, length)
+            for k in range(max(at + 1, behind - size + 1), min(behind, len(words) - size + 1)):
+                held = self.has(codes, k, size, below)
+                if held is not None:
+                    out.append((k, k + size, held))
+            at = behind
+        return out
+
+
+def _suffix_array(text: np.ndarray, longest: int) -> np.ndarray:
+    """Suffixes in the order of their first ``longest`` words, by doubling."""
+    rank, size = text, 1
+    order = np.argsort(rank, kind="stable")
+    while size < longest and text.size > 1:
+        second = np.zeros(text.size, dtype=np.int64)
+        second[:-size] = rank[size:] + 1
+        key = rank * (int(rank.max()) + 2) + second
+        order = np.argsort(key, kind="stable")
+        rank = np.empty(text.size, dtype=np.int64)
+        rank[order] = np.cumsum(np.diff(key[order], prepend=key[order[0]]) != 0)
+        if rank[order[-1]] == text.size - 1:
+            break
+        size *= 2
+    return order
+
+
+def _parsed(pdf: pd.DataFrame, size: int) -> pd.DataFrame:
+    """Factors of every stretch sent to one block, in places of its document."""
+    asks = pdf["asks"].to_numpy(dtype=bool)
+    given = pdf[~asks]
+    index = Reference([w.encode().split() for w in given["words"]], given["doc"].tolist())
+    rows = []
+    for doc, version, place, words in pdf[asks][["doc", "version", "place", "words"]].itertuples(index=False):
+        found = index.parse(words.encode().split(), doc, size)
+        rows += [(doc, version, place + a, place + b, source) for a, b, source in found]
+    return pd.DataFrame(rows, columns=["doc", "version", "from", "to", "source"]).astype(
+        {"doc": "int64", "version": "int64", "from": "int32", "to": "int32", "source": "int64"}
     )
 
 
+def factors(texts: DataFrame, min_words: int, block_bytes: int, chunk_seeds: int) -> DataFrame:
+    """``(doc, version, from, to, source)``: the factors of ``min_words`` words or more that a smaller id has, and such windows across factor ends.
+
+    ``texts`` has the columns ``d``, ``v`` and ``t``. Documents are dealt to
+    reference blocks by a hash of their id; there are as many blocks as keep one's
+    share of the corpus near ``block_bytes``.
+    """
+    spark = texts.sparkSession
+    size = texts.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // block_bytes))
+
+    def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache = _WordHashes()
+        for pdf in parts:
+            rows = []
+            for doc, version, t, packed, sources in pdf[["d", "v", "t", "places", "sources"]].itertuples(index=False):
+                words, places = t.encode().split(), _unpack(packed, np.int32)
+                if sources is None:
+                    own = int(_part(np.array([doc]), blocks)[0])
+                    found = [(own, a, b) for a, b in _runs(places, min_words)]
+                else:
+                    found = _stretches(words, places, _unpack(sources, np.int64), min_words, blocks, cache)
+                rows += [(b, doc, version, start, b" ".join(words[start:end]).decode(), sources is not None) for b, start, end in found]
+            yield pd.DataFrame(rows, columns=["block", "doc", "version", "place", "words", "asks"])
+
+    asked = texts.filter((F.col("v") != NO_ID) & F.col("t").isNotNull())
+    found = routed_places(asked, min_words, blocks, chunk_seeds)
+    each = texts.join(found, (F.col("d") == F.col("doc")) & (F.col("v") == F.col("version")))
+    each = each.groupBy("d", "v", F.col("sources").isNull()).agg(*[F.first(c).alias(c) for c in ("t", "places", "sources")])
+    return (
+        each.select("d", "v", "t", "places", "sources")
+        .mapInPandas(cut, _STRETCH)
+        .repartition(blocks, "block")
+        .groupBy("block")
+        .applyInPandas(lambda pdf: _parsed(pdf, min_words), "doc long, version long, from int, to int, source long")
+    )
+
+
+# --- step 3: the cut -----------------------------------------------------------------
+
+
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans that touch or overlap become one."""
+    out: list[list[int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(b, out[-1][1])
+        else:
+            out.append([a, b])
+    return [tuple(x) for x in out]
+
+
+def _cut(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    for texts, lists in parts:
+        rows = []
+        for t, found in zip(texts, lists, strict=True):
+            words = (t or "").encode().split()
+            spans = _joined([(f["from"], f["to"]) for f in found]) if found is not None else []
+            left, end = [], 0
+            for a, b in spans:
+                left += words[end:a]
+                end = b
+            left += words[end:]
+            rows.append((len(words), len(words) - len(left), [{"from": a, "to": b} for a, b in spans], b" ".join(left).decode()))
+        yield pd.DataFrame(rows, columns=["n_words", "n_removed", "spans", "kept"])
+
+
+def _id(docs: DataFrame, doc_id: str) -> Column:
+    kind = docs.schema[doc_id].dataType.typeName()
+    if kind not in ("byte", "short", "integer", "long", "void"):
+        raise TypeError(f"{doc_id} must hold whole numbers, not {kind}: sources are ordered by it")
+    return F.col(doc_id).cast("long")
+
+
 def duplicate_spans(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -219,67 +461,52 @@ def duplicate_spans(
     block_bytes: int = BLOCK_BYTES,
     chunk_seeds: int = CHUNK_SEEDS,
 ) -> DataFrame:
-    """``docs`` with ``n_words``, ``n_removed``, ``spans`` and ``kept``.
+    """``docs`` with ``n_words``, ``n_removed``, ``spans``, ``factors`` and ``kept``.
 
     Words are runs without ASCII white space, unchanged. A window of
     ``min_words`` words is a duplicate if its words also start somewhere in a
-    document with a smaller id; windows are judged on the input. ``spans`` are
-    the maximal word spans ``from``, ``to`` that duplicate windows cover;
-    ``kept`` is what is left, joined by one space.
+    document with a smaller id; windows are judged on the input. ``factors``
+    are the copied stretches ``from``, ``to`` with the document ``source``
+    that they were found in, by ``from`` (they may overlap); ``spans`` are the
+    maximal word spans ``from``, ``to`` that they cover; ``kept`` is what is
+    left, joined by one space.
 
     A null text has no words, no spans and an empty ``kept``. Rows with a null
     id are nobody's source and lose nothing. Rows that share an id are one
-    document: neither is the other's source, and a window's position is a
-    duplicate in each row that has that seed there. Other columns pass
-    through; columns with the four names are replaced.
-
-    Seeds are compared by 64 bits within a block of an independent range, so
-    a false match has odds of about the square of the corpus' windows over
-    2**65.
+    document: neither is the other's source. Ids are whole numbers; other types
+    raise ``TypeError``. Other columns pass through; columns with the five names
+    are replaced. A very long text is parsed like any other, in stretches. An
+    empty table gives an empty one.
+
+    Windows are compared by 64 bits within a block of an independent range to
+    choose where to look; words decide. Of two different windows with equal
+    hashes, odds about the square of the corpus' windows over 2**65, one may be
+    sent to the wrong block and stay.
     """
     ship(docs.sparkSession)
-    docs = docs.drop("n_words", "n_removed", "spans", "kept")
-    found = duplicate_positions(docs, doc_id, text, min_words, block_bytes, chunk_seeds)
-    d, v, hits = fresh_name(docs, "d"), fresh_name(docs, "v"), fresh_name(docs, "hits")
-    lists = found.select(F.col("doc").alias(d), F.col("version").alias(v), F.col("hits").alias(hits))
-
-    @F.pandas_udf("n_words long, n_removed long, spans array<struct<from: int, to: int>>, kept string")
-    def parse(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        cache = _WordHashes()
-        for texts, blobs in parts:
-            rows = []
-            for t, places in zip(texts, blobs, strict=True):
-                words = (t or "").encode().split()
-                spans = []
-                if places is not None:
-                    # The answers are first places; a seed is a duplicate wherever the document has it.
-                    h, _ = seeds(words, min_words, cache)
-                    spans = _join(factors(np.flatnonzero(np.isin(h, h[_unpack(places, np.int32)])), min_words))
-                left, end = [], 0
-                for a, b in spans:
-                    left += words[end:a]
-                    end = b
-                left += words[end:]
-                rows.append((len(words), len(words) - len(left), [{"from": a, "to": b} for a, b in spans], b" ".join(left).decode()))
-            yield pd.DataFrame(rows, columns=["n_words", "n_removed", "spans", "kept"])
-
-    same = (docs[doc_id].cast("long") == lists[d]) & (F.hash(docs[text]) == lists[v])
-    joined = docs.join(lists, same, "left").drop(d, v)
-    r = fresh_name(joined, "r")
-    out = joined.withColumn(r, parse(F.col(text), F.col(hits)))
-    return out.select(*docs.columns, *[F.col(r)[c].alias(c) for c in ("n_words", "n_removed", "spans", "kept")])
-
-
-def _join(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Neighbouring factors that touch or overlap become one span."""
-    out: list[list[int]] = []
-    for a, b in spans:
-        if out and a <= out[-1][1]:
-            out[-1][1] = b
-        else:
-            out.append([a, b])
-    return [tuple(x) for x in out]
-
-
-def kept_digest(kept: str) -> str:
-    return hashlib.sha256(kept.encode()).hexdigest()
+    docs = docs.drop("n_words", "n_removed", "spans", "factors", "kept")
+    whole, kind = _id(docs, doc_id), docs.schema[doc_id].dataType
+    d, v, t, f, r = (fresh_name(docs, x) for x in "dvtfr")
+    # Keys that are never null, and the id and text only from them: so the two joins with
+    # the texts read one shuffle of them, unless there are other columns to carry.
+    keyed = docs.select(
+        *[c for c in docs.columns if c not in (doc_id, text)],
+        F.coalesce(whole, F.lit(0)).alias(d),
+        F.when(F.col(doc_id).isNull(), F.lit(NO_ID)).otherwise(F.hash(text)).alias(v),
+        F.col(text).alias(t),
+    )
+    texts = keyed.select(F.col(d).alias("d"), F.col(v).alias("v"), F.col(t).alias("t"))
+    lists = (
+        factors(texts, min_words, block_bytes, chunk_seeds)
+        .groupBy("doc", "version")
+        .agg(F.array_sort(F.collect_set(F.struct("from", "to", "source"))).alias(f))
+    )
+    cut = F.pandas_udf(_cut, "n_words long, n_removed long, spans array<struct<from: int, to: int>>, kept string")
+    joined = keyed.join(lists, (F.col(d) == F.col("doc")) & (F.col(v) == F.col("version")), "left")
+    own = {doc_id: F.when(F.col(v) != NO_ID, F.col(d)).cast(kind), text: F.col(t)}
+    return joined.withColumn(r, cut(F.col(t), F.col(f))).select(
+        *[own[c].alias(c) if c in own else keyed[c] for c in docs.columns],
+        *[F.col(r)[c].alias(c) for c in ("n_words", "n_removed", "spans")],
+        F.coalesce(f, F.array()).alias("factors"),
+        F.col(r)["kept"].alias("kept"),
+    )

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -223,6 +224,73 @@ def test_substrings_equal_brute_force(spark, chunk):
     assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got) == brute_windows(rows, 6)
 
 
+def brute_parse(refs, owners, words, below, size):
+    """Greedy factors word by word, without an index."""
+
+    def held(at, n):
+        ids = [d for t, d in zip(refs, owners, strict=True) if d < below and any(t[i : i + n] == words[at : at + n] for i in range(len(t) - n + 1))]
+        return min(ids) if ids and at + n <= len(words) else None
+
+    out, at = [], 0
+    while at + size <= len(words):
+        n = 0
+        while held(at, n + 1) is not None:
+            n += 1
+        if n >= size:
+            out.append((at, at + n, held(at, n)))
+        end = at + max(1, n)
+        for k in range(at + 1, end):
+            if k + size > end and held(k, size) is not None:
+                out.append((k, k + size, held(k, size)))
+        at = end
+    return out
+
+
+def test_factors_equal_a_plain_greedy_parse():
+    r = random.Random(1)
+    for _ in range(400):
+        letters = [b"a", b"b", b"c", b"dd", b"e"][: r.choice([1, 2, 3, 5])]
+        refs = [[r.choice(letters) for _ in range(r.randint(0, 25))] for _ in range(r.randint(0, 5))]
+        owners = [r.randint(0, 6) for _ in refs]
+        words = [r.choice(letters) for _ in range(r.randint(0, 25))]
+        below, size = r.randint(0, 7), r.randint(1, 6)
+        got = substring.Reference(refs, owners).parse(words, below, size)
+        assert got == brute_parse(refs, owners, words, below, size)
+
+
+def test_factors_carry_a_source_that_holds_them(spark):
+    rows = text_rows(5, 60, vocabulary=3)
+    texts = dict(rows)
+    found = 0
+    for r in substring.duplicate_spans(spark.createDataFrame(rows, DOCS), min_words=6, chunk_seeds=200).collect():
+        words, covered = r["text"].split(), set()
+        for f in r["factors"]:
+            found += 1
+            assert f["source"] < r["doc_id"]
+            assert f" {' '.join(words[f['from']:f['to']])} " in f" {texts[f['source']]} "
+            covered.update(range(f["from"], f["to"]))
+        assert covered == {k for s in r["spans"] for k in range(s["from"], s["to"])}
+    assert found > 60
+
+
+def test_a_hot_window_is_dealt_to_many_sources():
+    doc = np.arange(300, dtype=np.int64)
+    chunk = [(int(i), 0, np.array([7], np.uint64), np.array([0], np.uint64), np.array([3])) for i in doc]
+    asked = pd.concat([substring._questions([c], 4) for c in chunk])
+    out = substring._answers(asked, 4, fan=10)
+    asks = out[out["sources"].notna()]
+    sources = np.concatenate([substring._unpack(x, np.int64) for x in asks["sources"]])
+    ids = substring._opened(asks)[0]
+    assert sorted(ids) == list(range(1, 300)) and (sources < ids).all()
+    assert np.bincount(sources).max() == 10
+    assert set(substring._opened(out[out["sources"].isna()])[0]) == set(sources)
+
+
+def test_substrings_want_whole_number_ids(spark):
+    with pytest.raises(TypeError):
+        substring.duplicate_spans(spark.createDataFrame([("a", "x")], "doc_id string, text string"))
+
+
 def test_substrings_of_odd_rows(spark):
     got = substring.duplicate_spans(docs_of(spark, ODD)).collect()
     removed = {(r["doc_id"], r["n_words"]): r["n_removed"] for r in got}
@@ -242,7 +310,9 @@ def test_a_hot_seed_reaches_its_block_once_a_chunk():
     asked = out[out["block"] >= 0]
     assert sum(len(x) // 8 for x in asked["seeds"]) == len(set().union(*(set(x[2].tolist()) for x in chunk)))
     settled = out[out["block"] < 0]
-    assert settled["seeds"].isna().all() and set(substring._opened(settled)[0]) == set(range(1, 30))
+    asks = settled[settled["sources"].notna()]
+    assert settled["seeds"].isna().all() and set(substring._opened(asks)[0]) == set(range(1, 30))
+    assert set(substring._opened(settled[settled["sources"].isna()])[0]) == {0}
 
 
 def test_repeated_windows_of_one_document(spark):
