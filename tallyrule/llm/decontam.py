@@ -21,11 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrule.llm.common import fresh_name, ship, staged
-from tallyrule.llm.substring import _WordHashes
 
 WINDOW = 10
 COVERAGE = 0.9  # share of hit words from which a document goes
@@ -42,6 +42,16 @@ _TABLE = bytes(
 )
 
 
+class _WordHashes(dict):
+    """64-bit hashes of words; emptied when it is full, so memory stays bounded."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
 def words(text: str | None) -> list[bytes]:
     """Normalised words of a whole text."""
     return (text or "").encode().translate(_TABLE).split()

@@ -36,37 +36,48 @@ NO_ID = 1 << 40  # version of rows without an id; others are 32-bit hashes
 FAN = 64  # documents of one window that a block sends to the same source
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 
-_ASKED = "block long, ids binary, texts binary, counts binary, places binary, seeds binary, sources binary"
-_FOUND = "part long, ids binary, texts binary, counts binary, places binary, sources binary"
-_STRETCH = "block long, doc long, version long, place int, words string, asks boolean"
+_ASKED = "block int, ids binary, texts binary, counts binary, places binary, seeds binary, sources binary"
+_FOUND = "part int, ids binary, texts binary, counts binary, places binary, sources binary"
+_STRETCH = "block int, doc long, version long, place int, words string, asks boolean"
 
 
-class _WordHashes(dict):
-    """64-bit hashes of words; emptied when it is full, so memory stays bounded."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-def seeds(words: list[bytes], size: int, cache: _WordHashes) -> tuple[np.ndarray, np.ndarray]:
+def seeds(words: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     """For every run of ``size`` words, in order: its hash, and a second one that chooses its block."""
-    n = max(0, len(words) - size + 1)
-    h, g = np.zeros(n, dtype=np.uint64), np.zeros(n, dtype=np.uint64)
-    if n:
-        w = np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))
-        for k in range(size):
-            h = h * np.uint64(_ODD[0]) + w[k : k + n]
-            g = g * np.uint64(_ODD[1]) + w[k : k + n]
+    if len(words) < size:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
+    w = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), dtype=np.uint64)
+    h, g = (_polynomials(w, size, odd) for odd in _ODD[:2])
     return h, (g ^ g >> np.uint64(29)) * np.uint64(_ODD[2]) >> np.uint64(32)
 
 
+def _polynomials(w: np.ndarray, size: int, odd: int) -> np.ndarray:
+    """The sum of ``w[i + k] * odd ** (size - 1 - k)`` for every run of ``size`` numbers, by doubling the length."""
+    h, n = w, 1
+    for bit in f"{size:b}"[1:]:
+        h = h[:-n] * np.uint64(pow(odd, n, 1 << 64)) + h[n:]
+        n *= 2
+        if bit == "1":
+            h = h[:-1] * np.uint64(odd) + w[n:]
+            n += 1
+    return h
+
+
 def _pack(a: np.ndarray) -> bytes:
     """Small or rising numbers as compressed differences, equal bytes of neighbours together."""
     d = np.diff(a, prepend=a.dtype.type(0))
-    return zlib.compress(np.ascontiguousarray(d.view(np.uint8).reshape(d.size, -1).T).tobytes(), 1)
+    z = zlib.compressobj(1, strategy=zlib.Z_RLE)
+    return z.compress(np.ascontiguousarray(d.view(np.uint8).reshape(d.size, -1).T).tobytes()) + z.flush()
+
+
+def _short(h: np.ndarray) -> bytes:
+    """The low seven bytes of every seed; its block gives the rest."""
+    return np.ascontiguousarray(h.view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
+
+
+def _seeds_of(b: bytes) -> np.ndarray:
+    out = np.zeros((len(b) // 7, 8), dtype=np.uint8)
+    out[:, :7] = np.frombuffer(b, np.uint8).reshape(-1, 7)
+    return out.reshape(-1).view(np.uint64)
 
 
 def _unpack(b: bytes, kind: type) -> np.ndarray:
@@ -94,9 +105,9 @@ def _questions(chunk: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]],
 
     A document has each of its seeds once. Seeds that an earlier document of
     the same chunk has are settled here, with that document as their source:
-    they need no block and go, without their hash, to their documents' part
-    ``p`` under the number ``-1 - p``, as do the places of the sources. So a
-    seed that very many documents share reaches its block once per chunk.
+    they need no answer and go, without their hash, to the block that is their
+    documents' part, as do the places of the sources. So a seed that very many
+    documents share reaches its own block once per chunk.
     """
     chunk.sort(key=lambda x: x[0])
     ids = np.array([x[0] for x in chunk], dtype=np.int64)
@@ -112,7 +123,7 @@ def _questions(chunk: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]],
     first[order] = order[new][np.cumsum(new) - 1]  # earliest place in the chunk of the same seed
     known = ids[row] > ids[row[first]]
     given = np.unique(first[known])
-    home = -1 - _part(ids, blocks)
+    home = _part(ids, blocks)
 
     out = []
     for some, where, kind in (
@@ -128,7 +139,7 @@ def _questions(chunk: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]],
             of = row[q][at]
             counts = np.diff(at, append=q.size).astype(np.int32)
             head = (int(where[a]), _pack(ids[of]), texts[of].tobytes(), _pack(counts), _pack(place[q]))
-            out.append((*head, h[q].tobytes() if kind == "seeds" else None, _pack(ids[row[first[q]]]) if kind == "asks" else None))
+            out.append((*head, _short(h[q]) if kind == "seeds" else None, _pack(ids[row[first[q]]]) if kind == "asks" else None))
     return pd.DataFrame(out, columns=["block", "ids", "texts", "counts", "places", "seeds", "sources"])
 
 
@@ -145,10 +156,13 @@ def _answers(pdf: pd.DataFrame, parts: int, fan: int = FAN) -> pd.DataFrame:
     the next ones the second, and so on, so that no document serves more than
     ``fan`` others. Settled rows pass through as they are.
     """
-    if pdf["block"].iloc[0] < 0:
-        return pdf.assign(part=-1 - pdf["block"])[["part", "ids", "texts", "counts", "places", "sources"]]
+    known = pdf["seeds"].isna()
+    settled = pdf[known].rename(columns={"block": "part"})[["part", "ids", "texts", "counts", "places", "sources"]]
+    pdf = pdf[~known]
+    if pdf.empty:
+        return settled
     doc, text, place = _opened(pdf)
-    seed = np.concatenate([np.frombuffer(h, np.uint64) for h in pdf["seeds"]])
+    seed = np.concatenate([_seeds_of(h) for h in pdf["seeds"]])
     order = np.lexsort((text, doc, seed))
     doc, text, place, seed = doc[order], text[order], place[order], seed[order]
     start = np.ones(seed.size, dtype=bool)
@@ -165,7 +179,7 @@ def _answers(pdf: pd.DataFrame, parts: int, fan: int = FAN) -> pd.DataFrame:
     out = _packed(doc[hit], text[hit], place[hit], doc[source], parts)
     given = np.unique(source)
     out += _packed(doc[given], text[given], place[given], None, parts)
-    return pd.DataFrame(out, columns=["part", "ids", "texts", "counts", "places", "sources"])
+    return pd.concat([settled, pd.DataFrame(out, columns=settled.columns)])
 
 
 def _packed(doc: np.ndarray, text: np.ndarray, place: np.ndarray, source: np.ndarray | None, parts: int) -> list[tuple]:
@@ -219,12 +233,12 @@ def routed_places(asked: DataFrame, min_words: int, blocks: int, chunk_seeds: in
     """
 
     def ask(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, chunk, seen, held = _WordHashes(), [], set(), 0
+        chunk, seen, held = [], set(), 0
         for pdf in parts:
             for doc, version, t in zip(pdf["d"], pdf["v"], pdf["t"], strict=True):
                 if (doc, version) in seen:
                     continue
-                h, g = seeds(t.encode().split(), min_words, cache)
+                h, g = seeds(t.encode().split(), min_words)
                 at = np.sort(np.unique(h, return_index=True)[1])
                 if at.size:
                     seen.add((doc, version))
@@ -238,10 +252,10 @@ def routed_places(asked: DataFrame, min_words: int, blocks: int, chunk_seeds: in
 
     return (
         asked.mapInPandas(ask, _ASKED)
-        .repartition(blocks, "block")
+        .repartitionById(blocks, "block")
         .groupBy("block")
         .applyInPandas(lambda pdf: _answers(pdf, blocks), _FOUND)
-        .repartition(blocks, "part")
+        .repartitionById(blocks, "part")
         .groupBy("part")
         .applyInPandas(_gathered, "doc long, version long, places binary, sources binary")
     )
@@ -260,9 +274,9 @@ def _runs(places: np.ndarray, size: int) -> list[tuple[int, int]]:
     return list(zip(first.tolist(), (last + size).tolist(), strict=True))
 
 
-def _stretches(words: list[bytes], places: np.ndarray, sources: np.ndarray | None, size: int, blocks: int, cache: _WordHashes):
+def _stretches(words: list[bytes], places: np.ndarray, sources: np.ndarray | None, size: int, blocks: int):
     """``(block, from, to)`` of the stretches to parse against a block, wherever the document has an asked window."""
-    h, _ = seeds(words, size, cache)
+    h, _ = seeds(words, size)
     keys, block = h[places], _part(sources, blocks)
     by = np.argsort(keys)
     at = np.minimum(np.searchsorted(keys[by], h), keys.size - 1)
@@ -391,7 +405,6 @@ def factors(texts: DataFrame, min_words: int, block_bytes: int, chunk_seeds: int
     blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // block_bytes))
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = _WordHashes()
         for pdf in parts:
             rows = []
             for doc, version, t, packed, sources in pdf[["d", "v", "t", "places", "sources"]].itertuples(index=False):
@@ -400,7 +413,7 @@ def factors(texts: DataFrame, min_words: int, block_bytes: int, chunk_seeds: int
                     own = int(_part(np.array([doc]), blocks)[0])
                     found = [(own, a, b) for a, b in _runs(places, min_words)]
                 else:
-                    found = _stretches(words, places, _unpack(sources, np.int64), min_words, blocks, cache)
+                    found = _stretches(words, places, _unpack(sources, np.int64), min_words, blocks)
                 rows += [(b, doc, version, start, b" ".join(words[start:end]).decode(), sources is not None) for b, start, end in found]
             yield pd.DataFrame(rows, columns=["block", "doc", "version", "place", "words", "asks"])
 
@@ -411,7 +424,7 @@ def factors(texts: DataFrame, min_words: int, block_bytes: int, chunk_seeds: int
     return (
         each.select("d", "v", "t", "places", "sources")
         .mapInPandas(cut, _STRETCH)
-        .repartition(blocks, "block")
+        .repartitionById(blocks, "block")
         .groupBy("block")
         .applyInPandas(lambda pdf: _parsed(pdf, min_words), "doc long, version long, from int, to int, source long")
     )
@@ -478,10 +491,11 @@ def duplicate_spans(
     are replaced. A very long text is parsed like any other, in stretches. An
     empty table gives an empty one.
 
-    Windows are compared by 64 bits within a block of an independent range to
-    choose where to look; words decide. Of two different windows with equal
-    hashes, odds about the square of the corpus' windows over 2**65, one may be
-    sent to the wrong block and stay.
+    Windows are compared by 56 bits within a block of an independent range to
+    choose where to look; words decide. Of two different windows that share block
+    and bits (some 2.4 million windows are in a block, so odds of about 3e-11 a
+    window), one may be sent to the wrong reference. Its words are still found if
+    a neighbouring window covers them.
     """
     ship(docs.sparkSession)
     docs = docs.drop("n_words", "n_removed", "spans", "factors", "kept")
