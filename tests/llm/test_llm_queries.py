@@ -126,3 +126,26 @@ def test_pipeline_stages(spark):
         before = docs.count()
     rows = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
     assert len(rows) == before and all(r["exact"] for r in rows)
+
+
+@pytest.mark.parametrize("rows", [14, 0])
+def test_pipeline_of_odd_rows(spark, scratch, rows):
+    clean = [f"{w} words that nobody repeats are in text {w} and in no other one {w}" for w in ("red", "blue")]
+    odd = [(1, None), (2, ""), (3, " \t\n "), (4, "one"), (4, "one"), (5, "long " * 20_000), (None, clean[0]), (7, clean[1])]
+    odd += [(i, f"shared line of more than twenty letters\n{i} own {i * i} things {i + 70} said {i}") for i in range(10, 16)]
+    path = scratch("odd")
+    names = "doc_id long, text string, lang string, source string, n_chars long, hits int, __d int"
+    table = [(i, t, "en", "web", len(t or ""), 1, 2) for i, t in odd[:rows]]
+    spark.createDataFrame(table, names).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(7, None), (None, 1), (5, 0)], "doc_id long, toxic int").write.parquet(f"{path}/labels.parquet")
+    items = [("a", None), ("b", ""), ("c", "not to be found"), ("c", "not to be found")]
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{path}/benchmark.parquet")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = corpus_pipeline.run(spark, path).collect()
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+    found = {r["doc_id"]: r for r in got}
+    assert len(found) == len(got)
+    assert set(found) == ({1, 4, 5, None, 7, *range(10, 16)} if rows else set())
+    if rows:
+        assert found[1]["n_ids"] == 0 and not found[1]["exact"] and all(r["exact"] for r in got if r["doc_id"] != 1)
+        assert found[15]["n_ids"] > found[14]["n_ids"] + 5
