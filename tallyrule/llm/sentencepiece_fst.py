@@ -39,8 +39,10 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
 SLICE = 256  # texts encoded before their ids leave the worker
-MEMO, MEMO_CHARS = 120_000, 48  # remembered stretches in each generation of a worker, and their longest
-PAIRS, HEADS, HEAD = 1 << 16, 1 << 15, 4  # remembered pairs, remembered starts of arc lists and their characters
+MEMO, MEMO_CHARS = 200_000, 48  # remembered words in each generation of a worker, and their longest
+PARTS = 1 << 16  # remembered stretches within words
+PAIRS, HEADS, HEAD = 1 << 18, 1 << 15, 4  # remembered pairs, remembered starts of arc lists and their characters
+UNIT = re.compile(" +[^ ]*")
 
 
 def _varint(b: bytes, i: int) -> tuple[int, int]:
@@ -108,6 +110,8 @@ class Processor:
         alone = not any(c != SPACE and d == SPACE for c, d in self.inner)
         words = f"{SPACE}*[^\\W_{SPACE}]+|{SPACE}*(?:[^\\w{SPACE}]|_)+|{SPACE}+"
         self.stretch = re.compile(words if alone else "(?s).+")
+        # Without bytes, unknown neighbours join across any cut.
+        self.by_word = alone and self.add_prefix and self.escape and self.bytes is not None
         # Pieces that the merges of their own text do not give occur in no encoding.
         self.halves: dict[str, tuple[str, str]] = {}
         if self.kind == BPE:
@@ -119,13 +123,14 @@ class Processor:
                     len(h) == 1 or (self.plain[h] and self.scores[self.ids[h]] > self.scores[k])
                     for h in self.halves.get(t, ())
                 ) and (len(t) == 1 or counts[self.scores[k]] == 1)
-        # Trie arcs: character to (next state, piece that ends there or -1).
+        # Trie arcs: character to (next state, ``(length, piece)`` of the piece that ends there or None).
         self.trie: dict = {}
+        self.longest = max(map(len, self.ids), default=1)
         for text, k in self.ids.items():
             node = self.trie
             for c in text[:-1]:
-                node = node.setdefault(c, [{}, -1])[0]
-            node.setdefault(text[-1], [{}, -1])[1] = k
+                node = node.setdefault(c, [{}, None])[0]
+            node.setdefault(text[-1], [{}, None])[1] = (len(text), k)
         self.spelled = [
             bytes([int(text[3:5], 16)])
             if kind == BYTE
@@ -138,20 +143,24 @@ class Processor:
         ]
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.part = lru_cache(PARTS)(self._packed)
         self.edge = lru_cache(1 << 16)(self._edge)
-        self.pair = lru_cache(PAIRS)(self._pair)
+        self.pairs: dict[int, dict[int, bool]] = {}
+        self.held_pairs = 0
         self.heads: dict[str, tuple] = {}
+        self.spelled_array = pa.array(self.spelled, pa.large_binary())
 
     # normaliser
 
-    def normalise(self, text: str) -> str:
-        """The text as pieces spell it."""
+    def _spaced(self, text: str) -> str:
+        """The normalised text before its spaces are escaped."""
         if self.squeeze:
             text = re.sub(" +", " ", text.strip(" "))
-        if not text:
-            return ""
-        if self.add_prefix:
-            text = " " + text
+        return " " + text if text and self.add_prefix else text
+
+    def normalise(self, text: str) -> str:
+        """The text as pieces spell it."""
+        text = self._spaced(text)
         return text.replace(" ", SPACE) if self.escape else text
 
     # pieces and byte fallback
@@ -159,45 +168,50 @@ class Processor:
     def _head(self, ahead: str) -> tuple:
         """Arcs within a text's first characters, and the trie state after them if pieces go on."""
         node, found = self.trie, []
-        for i, c in enumerate(ahead, 1):
+        for c in ahead:
             step = node.get(c)
             if step is None:
                 node = None
                 break
-            node, k = step
-            if k >= 0:
-                found.append((i, k, ahead[:i]))
+            node, arc = step
+            if arc is not None:
+                found.append(arc)
         if not found or found[0][0] != 1:
-            found.insert(0, (1, -1, ahead[0]))
+            found.insert(0, (1, -1 - ord(ahead[0])))
         if len(self.heads) >= HEADS:
             self.heads.clear()
         entry = self.heads[ahead] = (tuple(reversed(found)), node or None)
         return entry
 
-    def arcs(self, text: str, at: int) -> tuple[tuple[int, int, str], ...]:
-        """Arcs that leave place ``at``: ``(length, piece, characters)``, longest first; -1 is the fallback."""
+    def arcs(self, text: str, at: int) -> tuple[tuple[int, int], ...]:
+        """Arcs that leave place ``at``: ``(length, piece)``, longest first.
+
+        The fallback of a character is -1 minus its code point.
+        """
         ahead = text[at : at + HEAD]
         found, node = self.heads.get(ahead) or self._head(ahead)
         if node is None:
             return found
         longer = ()
-        for i in range(at + HEAD, len(text)):
-            step = node.get(text[i])
+        for c in text[at + HEAD : at + self.longest]:
+            step = node.get(c)
             if step is None:
                 break
-            node, k = step
-            if k >= 0:
-                longer = ((i + 1 - at, k, text[at : i + 1]), *longer)
-        return longer + found
+            node, arc = step
+            if arc is not None:
+                longer = (arc, *longer)
+        return longer + found if longer else found
 
-    def _spell(self, path: list[tuple[int, str]]) -> list[int]:
+    def _spell(self, path: list[int]) -> list[int]:
         """Ids of a path; the fallback of a character is its bytes, or the unknown piece."""
+        if min(path, default=0) >= 0:
+            return path
         out: list[int] = []
-        for k, char in path:
+        for k in path:
             if k >= 0:
                 out.append(k)
             elif self.bytes is not None:
-                out += [self.bytes[b] for b in char.encode()]
+                out += [self.bytes[b] for b in chr(-1 - k).encode()]
             elif not out or out[-1] != self.unknown:
                 out.append(self.unknown)  # neighbouring unknown characters are one
         return out
@@ -247,85 +261,140 @@ class Processor:
 
     # composition and shortest path
 
-    def _best_unigram(self, text: str) -> list[tuple[int, str]]:
-        best: list[tuple[float, int, str]] = [(0.0, -1, "")] + [(math.inf, -1, "")] * len(text)
+    def _best_unigram(self, text: str) -> list[int]:
+        best: list[tuple[float, int, int]] = [(0.0, -1, 0)] + [(math.inf, -1, 0)] * len(text)
         for at in range(len(text)):
             here = best[at][0]
-            for size, k, piece in reversed(self.arcs(text, at)):
+            for size, k in reversed(self.arcs(text, at)):
                 w = here - (self.scores[k] if k >= 0 else self.unknown_score)
                 if w < best[at + size][0]:
-                    best[at + size] = (w, k, piece)
+                    best[at + size] = (w, k, size)
         path, to = [], len(text)
         while to:
-            path.append(best[to][1:])
-            to -= len(best[to][2])
+            path.append(best[to][1])
+            to -= best[to][2]
         return path[::-1]
 
-    def _best_bpe(self, text: str) -> list[tuple[int, str]]:
+    def _fits(self, a: int, b: int) -> bool:
+        """Whether arc ``b`` may follow arc ``a``; remembered in ``pairs``."""
+        first, second = (self.pieces[k] if k >= 0 else chr(-1 - k) for k in (a, b))
+        if self.held_pairs >= PAIRS:
+            self.pairs.clear()
+            self.held_pairs = 0
+        fits = self.pairs.setdefault(a, {})[b] = self._pair(first, second)
+        self.held_pairs += 1
+        return fits
+
+    def _best_bpe(self, text: str) -> list[int]:
         # Weights are nothing or infinite, so a search in any order finds the least.
         # Each place has one path of finite weight (the encoding of the text
         # before it): longer arcs go first and no place is entered twice.
-        n, pair, arcs = len(text), self.pair, self.arcs
-        path: list[tuple[int, str]] = []
-        open_ = [iter(arcs(text, 0))]
-        seen, at, before = {0}, 0, ""
-        while at < n:
-            for size, k, piece in open_[-1]:
-                if at + size not in seen and (not at or pair(before, piece)):
-                    at += size
-                    before = piece
-                    seen.add(at)
-                    path.append((k, piece))
-                    if at < n:
-                        open_.append(iter(arcs(text, at)))
-                    break
+        n, pairs, heads = len(text), self.pairs, self.heads
+        path: list[int] = []
+        open_, left = [], set()
+        at, before, fit, arcs = 0, 0, {}, iter(self.arcs(text, 0))
+        while True:
+            for size, k in arcs:
+                to = at + size
+                if to in left:
+                    continue
+                if at:
+                    fits = fit.get(k)
+                    if not (self._fits(before, k) if fits is None else fits):
+                        continue
+                path.append(k)
+                if to == n:
+                    return path
+                open_.append((at, before, fit, arcs))
+                at, before, fit = to, k, pairs.get(k) or {}
+                found = heads.get(text[at : at + HEAD])
+                arcs = iter(found[0] if found is not None and found[1] is None else self.arcs(text, at))
+                break
             else:
-                open_.pop()
-                at -= len(path.pop()[1])
-                before = path[-1][1] if path else ""
-        return path
+                left.add(at)
+                at, before, fit, arcs = open_.pop()
+                path.pop()
 
     def _encode(self, text: str) -> list[int]:
+        if not text:
+            return []
         return self._spell(self._best_bpe(text) if self.kind == BPE else self._best_unigram(text))
 
-    def encode(self, text: str | None) -> np.ndarray:
-        """Piece ids of a whole text; a null or empty text has none.
+    def _packed(self, text: str) -> bytes:
+        return array("i", self._encode(text)).tobytes()
 
-        The text is cut where no piece can cross, since a shortest path through
-        such a place is two shortest paths; stretches are remembered.
-        """
-        text = self.normalise(text or "")
-        if self.bytes is None:  # unknown neighbours join across any cut
-            return np.array(self._encode(text), dtype=np.int32)
-        memo, inner, out, held = self.memo, self.inner, [], ""
+    def _cut(self, text: str) -> list[str]:
+        """The text's stretches, cut where no piece can cross: a shortest path through there is two shortest paths."""
+        inner, out, held = self.inner, [], ""
         for part in self.stretch.findall(text):
             if part[0] != SPACE and held and held[-1] + part[0] in inner:
                 held += part
                 continue
             if held:
-                out.append(memo.get(held) or self._remember(held))
+                out.append(held)
             held = part
         if held:
-            out.append(memo.get(held) or self._remember(held))
-        return np.frombuffer(b"".join(out), dtype=np.int32)
+            out.append(held)
+        return out
 
-    def _remember(self, part: str) -> bytes:
-        """The packed ids of a stretch. Two generations: what was not used since the last one goes."""
-        ids = self.older.pop(part, None) or array("i", self._encode(part)).tobytes()
-        if len(part) <= MEMO_CHARS:
+    def _part(self, part: str) -> bytes:
+        """The packed ids of a stretch, remembered if it is short."""
+        return self.part(part) if len(part) <= MEMO_CHARS else self._packed(part)
+
+    def _word(self, word: str) -> bytes:
+        """The packed ids of a space and ``word``. Two generations: what was not used since the last one goes."""
+        ids = self.older.pop(word, None)
+        if ids is None:
+            first, *rest = self._cut(SPACE + word.replace(" ", SPACE))
+            if rest:
+                start = first[1:].replace(SPACE, " ")
+                ids = b"".join([self.memo.get(start) or self._word(start), *map(self._part, rest)])
+            else:
+                ids = self._packed(first)
+        if len(word) < MEMO_CHARS:
             if len(self.memo) >= MEMO:
                 self.older = dict(self.memo)
                 self.memo.clear()
-            self.memo[part] = ids
+            self.memo[word] = ids
         return ids
 
+    def pack(self, text: str | None) -> bytes:
+        """Piece ids of a whole text as packed 32-bit integers; a null or empty text has none.
+
+        The text is cut before its spaces where no piece crosses one, else as
+        ``_cut`` does; what was found for words and stretches is remembered.
+        """
+        if not text:
+            return b""
+        if not self.by_word:
+            text = self.normalise(text)
+            return self._packed(text) if self.bytes is None else b"".join(map(self._part, self._cut(text)))
+        text = self._spaced(text).replace(SPACE, " ")
+        words = [unit[1:] for unit in UNIT.findall(text)] if "  " in text else text[1:].split(" ") if text else []
+        known, word = self.memo.get, self._word
+        return b"".join([known(w) or word(w) for w in words])
+
+    def encode(self, text: str | None) -> np.ndarray:
+        """Piece ids of a whole text; a null or empty text has none."""
+        return np.frombuffer(self.pack(text), dtype=np.int32)
+
     def decode(self, ids) -> str:
         """The text of the ids; bytes that are no UTF-8 become U+FFFD."""
-        text = b"".join(map(self.spelled.__getitem__, ids)).decode(errors="replace")
+        return self._text(b"".join(map(self.spelled.__getitem__, ids)))
+
+    def _text(self, spelled: bytes) -> str:
+        text = spelled.decode(errors="replace")
         if self.escape:
             text = text.replace(SPACE, " ")
         return text[1:] if self.add_prefix and text.startswith(" ") else text
 
+    def decode_lists(self, ids: pa.Array, ends: np.ndarray) -> Iterator[str]:
+        """The texts of the lists of ids that ``ends`` cuts from ``ids``, spelled by one look-up for all."""
+        _, places, data = self.spelled_array.take(ids).buffers()
+        cuts = np.frombuffer(places, np.int64)[ends].tolist()
+        spelled = memoryview(data or b"")
+        return (self._text(bytes(spelled[i:j])) for i, j in zip(cuts, cuts[1:]))
+
 
 def load_model(path: str) -> bytes:
     """The model file, read on the driver; it is sent to the executors as bytes."""
@@ -339,7 +408,7 @@ _COMPILED: dict[int, Processor] = {}
 def _compiled(held) -> Processor:
     """The worker's processor: compiled once in each Python worker, and kept for its later tasks.
 
-    It stays bounded: one model, ``MEMO`` stretches of ``MEMO_CHARS`` characters.
+    It stays bounded: one model, ``MEMO`` words and ``PARTS`` stretches of ``MEMO_CHARS`` characters.
     """
     key = hash(held.value)
     if key not in _COMPILED:
@@ -364,15 +433,16 @@ def _mapped(docs: DataFrame, model: bytes, text: str, names: list[str], exact: b
             for start in range(0, batch.num_rows, SLICE):
                 part = batch.slice(start, SLICE)
                 texts = part.column(at).to_pylist()
-                ids = [p.encode(t) for t in texts]
-                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                values = pa.array(np.concatenate([np.empty(0, np.int32), *ids]), pa.int32())
+                ids = [p.pack(t) for t in texts]
+                ends = (np.cumsum([0, *map(len, ids)]) // 4).astype(np.int32)
+                values = pa.array(np.frombuffer(b"".join(ids), np.int32), pa.int32())
                 found = [pa.ListArray.from_arrays(pa.array(ends), values)]
                 if exact:
                     found.append(pa.array(np.diff(ends).astype(np.int64)))
-                    found.append(pa.array([p.decode(i.tolist()) == t for i, t in zip(ids, texts, strict=True)], pa.bool_()))
+                    back = p.decode_lists(values, ends)
+                    found.append(pa.array([s == t for s, t in zip(back, texts, strict=True)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays([*part.columns, *found], names=columns)
-        # Workers live on: the compiled model and the stretches last used stay for the next task.
+        # Workers live on: the compiled model and the words last used stay for the next task.
         p.older = {}
         pa.default_memory_pool().release_unused()
 

@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -531,6 +532,41 @@ def test_encoding_equals_the_library(spark):
     assert sentencepiece_fst.round_trip(df.limit(0), model).count() == 0
 
 
+def test_known_words_are_not_cut_again(monkeypatch):
+    """Whole words are looked up; the stretch pattern runs on words not seen before only."""
+    p = sentencepiece_fst.Processor(sentencepiece_fst.load_model(sentencepiece_fst.tokenizer_path()))
+    text = "It's nothing. As  said,\n\n- as said:  nothing.  "
+    want = p.encode(text).tolist()
+    monkeypatch.setattr(p, "stretch", None)
+    assert p.encode(text).tolist() == want and len(p.encode("as nothing. It's")) > 0
+    with pytest.raises(AttributeError):
+        p.encode("never")
+
+
+@pytest.mark.parametrize("limit", [None, 2])
+def test_words_and_their_spaces_equal_the_library(monkeypatch, limit):
+    sp = pytest.importorskip("sentencepiece")
+    path = sentencepiece_fst.tokenizer_path()
+    lib = sp.SentencePieceProcessor(model_file=path)
+    if limit:
+        for name in ("MEMO", "MEMO_CHARS", "PARTS", "PAIRS", "HEADS"):
+            monkeypatch.setattr(sentencepiece_fst, name, limit)
+    p = sentencepiece_fst.Processor(sentencepiece_fst.load_model(path))
+    r = random.Random(7)
+    bits = [" ", "  ", "▁", "\n", "\t", "the", "The", "don't", "...", "%%%", "é", "日本", "\U0001f600", "\x00", "_", "x" * 60]
+    texts = ["", " ", "  ", "▁", " a", "a ", "a  ", "  a", "a▁ b", "a ▁b", "\u00a0a", " ▁ "]
+    texts += ["".join(r.choices(bits, k=r.randint(1, 12))) for _ in range(400)]
+    ids = [p.encode(t).tolist() for t in texts]
+    assert ids == [lib.encode(t) for t in texts]
+    byte = p.bytes
+    ids += [[byte[0xE2]], [byte[0x96], byte[0x81]], [], [byte[0xE2], byte[0x96], byte[0x81]], [0, 1, 2], []]
+    ends = np.cumsum([0, *map(len, ids)])
+    back = list(p.decode_lists(pa.array([k for x in ids for k in x], pa.int32()), ends))
+    assert back == [p.decode(x) for x in ids]
+    assert back[: len(texts)] == [lib.decode(x) for x in ids[: len(texts)]]
+    assert list(p.decode_lists(pa.array([], pa.int32()), np.array([0, 0]))) == [""]
+
+
 # --- classifiers --------------------------------------------------------------------
 
 
